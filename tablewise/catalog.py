@@ -43,4 +43,6 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict:
 # Importing the query modules fills REGISTRY.
 from .queries import (  # noqa: E402,F401
     base_queries,
+    explore_queries,
+    clean_queries,
 )

@@ -13,3 +13,18 @@ def safe_div(num: Column, den: Column) -> Column:
 
 def revenue(price: str = "l_extendedprice", discount: str = "l_discount") -> Column:
     return F.col(price) * (F.lit(1) - F.col(discount))
+
+
+def stable_round(x: Column, digits: int) -> Column:
+    """Half-up rounding written as plain IEEE arithmetic,
+    floor(x * 10^d + 0.5) / 10^d, so any engine that evaluates the same
+    expression on the same double gets the same result (engines' own
+    `round` differ on doubles that sit next to a tie). For |x| < 9e18/10^d."""
+    scale = float(10 ** digits)
+    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
+def exact_mean(x: Column) -> Column:
+    """Mean from an exact decimal sum: independent of summation order, so the
+    same on any partitioning. Values need fewer than 28 integer digits."""
+    return F.sum(x.cast("decimal(38,10)")).cast("double") / F.count(x)

@@ -59,6 +59,20 @@ def duck_rows(con, sql):
     return [cols[i] for i in order], rows, types
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(t_spark, t_duck):
+    out = {}
+    for k, v in t_spark.items():
+        want = SPARK_TO_DUCK.get(v, v)
+        if t_duck.get(k) != want:
+            out[k] = (v, t_duck.get(k))
+    return out
+
+
 def compare(df, con, sql):
     c1, r1, t1 = spark_rows(df)
     c2, r2, t2 = duck_rows(con, sql)
@@ -69,7 +83,7 @@ def compare(df, con, sql):
         "values_match": a == b,
         "only_spark": list((a - b).elements())[:3],
         "only_duck": list((b - a).elements())[:3],
-        "types": (t1, t2),
+        "types": type_mismatches(t1, t2),
     }
 
 
@@ -78,7 +92,8 @@ def main(argv):
     names = argv[2:]
     from tablewise.catalog import REGISTRY
     from tablewise.session import build_session
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8,
+                          extra={"spark.ui.showConsoleProgress": "false"})
     con = duck(sf_dir)
     bad = 0
     for name, q in REGISTRY.items():
@@ -91,7 +106,7 @@ def main(argv):
             print(f"{q.survey_id} {name:32s} rows-only rows={n} {time.time()-t0:.1f}s")
             continue
         res = compare(df, con, q.sql)
-        ok = res["cols_match"] and res["values_match"]
+        ok = res["cols_match"] and res["values_match"] and not res["types"]
         bad += not ok
         print(f"{q.survey_id} {name:32s} {'OK ' if ok else 'BAD'} rows={res['rows_spark']}/{res['rows_duck']} {time.time()-t0:.1f}s")
         if not ok:
