@@ -45,4 +45,5 @@ from .queries import (  # noqa: E402,F401
     base_queries,
     explore_queries,
     clean_queries,
+    behaviour_queries,
 )

@@ -8,6 +8,13 @@ position inside its slice (the low 33 bits of
 `monotonically_increasing_id`, taken right after `sortWithinPartitions`)
 plus the number of rows in earlier slices. The slice-size table has one row
 per partition, so it is bounded by the partition count and broadcast.
+
+The numbered rows are written with `checkpoint()` to the session's shared
+checkpoint folder before they are used twice (slice sizes, then positions).
+Range bounds come from sampling, and Spark re-samples badly balanced inputs
+with a seed tied to the RDD, so two evaluations of the same plan may split
+the rows differently; the checkpoint fixes one split for every later use and
+also means a lost executor recomputes nothing inconsistent.
 """
 
 from __future__ import annotations
@@ -17,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row number
 
 
@@ -37,6 +46,8 @@ def global_row_index(df: DataFrame, order: Sequence[Column | str], index_col: st
               .sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
+    checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
     # One row per partition: safe to order globally and to broadcast.
     offsets = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
                .withColumn("_off", F.coalesce(
