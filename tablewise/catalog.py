@@ -46,4 +46,5 @@ from .queries import (  # noqa: E402,F401
     explore_queries,
     clean_queries,
     behaviour_queries,
+    evaluate_queries,
 )
