@@ -47,4 +47,5 @@ from .queries import (  # noqa: E402,F401
     clean_queries,
     behaviour_queries,
     evaluate_queries,
+    text_vector_queries,
 )

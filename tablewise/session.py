@@ -22,15 +22,19 @@ DEFAULT_CONF = {
 
 def build_session(master: str | None = None, app: str = "tablewise",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  driver_memory: str = "16g") -> SparkSession:
     """Create (or reuse) a session with the package defaults.
 
     On a cluster leave ``master`` unset and let spark-submit decide; the
-    shuffle partition count then stays whatever the cluster configured.
+    shuffle partition count then stays whatever the cluster configured. In
+    local mode the driver JVM runs every task, so it gets ``driver_memory``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
