@@ -48,4 +48,5 @@ from .queries import (  # noqa: E402,F401
     behaviour_queries,
     evaluate_queries,
     text_vector_queries,
+    stream_queries,
 )
