@@ -31,9 +31,12 @@ def instant_to_ntz(ts: Column) -> Column:
 
 def daily_counts(events: DataFrame, delay: str = "1 hour", width: str = "1 day") -> DataFrame:
     """Tumbling event-time window counts per ``width``, finalised once the
-    watermark (max event time - ``delay``) passes the window end; events
-    later than that are dropped. Output (append mode): window_start,
-    window_end, events."""
+    watermark (max event time - ``delay``) passes the window end. Output
+    (append mode): window_start, window_end, events. Spark's guarantee:
+    rows within ``delay`` are always counted; rows older than the watermark
+    of the previous micro-batch are dropped (an emitted window never
+    changes); a row arriving in the very batch where the watermark first
+    passes it may still be counted if its window is still open."""
     ev = events.select(utc_instant(F.col("ts")).alias("event_time"))
     return (ev.withWatermark("event_time", delay)
             .groupBy(F.window("event_time", width).alias("w"))
