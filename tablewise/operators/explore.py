@@ -4,6 +4,7 @@ correlation matrix, straight-line fit."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -24,20 +25,22 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, approx_distinct
     The mean comes from an exact decimal sum, so it does not depend on how
     rows are split across tasks.
 
-    Everything is computed in a single aggregate over one scan (partial
-    aggregation map-side, so no column or value skew matters), then turned
-    into long form with `inline`. Exact distinct counts let Spark expand each
-    row once per column and de-duplicate map-side; ``approx_distinct=True``
-    uses HyperLogLog++ sketches instead, which merge without any shuffle of
-    values -- the form to use on very wide or very large tables.
+    Moments come from one aggregate over one scan (partial aggregation, no
+    column or value skew matters). Exact distinct counts are one
+    `select(c).distinct()` per column, unioned: each reads one Parquet
+    column, de-duplicates map-side and shuffles only distinct values --
+    far cheaper than the row expansion Spark uses for several
+    `count(DISTINCT)` in one aggregate. ``approx_distinct=True`` uses
+    HyperLogLog++ sketches inside the single aggregate instead.
     """
     columns = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    distinct = (lambda c: F.approx_count_distinct(c)) if approx_distinct else (lambda c: F.count_distinct(c))
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(columns):
         col = F.col(c)
-        aggs += [F.count(col).alias(f"_nn{i}"), distinct(col).alias(f"_d{i}")]
+        aggs.append(F.count(col).alias(f"_nn{i}"))
+        if approx_distinct:
+            aggs.append(F.approx_count_distinct(col).alias(f"_d{i}"))
         if isinstance(types[c], _NUMERIC):
             x = col.cast("double")
             aggs += [F.min(x).alias(f"_min{i}"), F.max(x).alias(f"_max{i}"),
@@ -47,17 +50,26 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, approx_distinct
     rows = []
     for i, c in enumerate(columns):
         numeric = isinstance(types[c], _NUMERIC)
-        rows.append(F.struct(
-            F.lit(c).alias("column_name"),
-            F.col("_rows").alias("rows"),
-            (F.col("_rows") - F.col(f"_nn{i}")).alias("nulls"),
-            F.col(f"_d{i}").cast("bigint").alias("distinct_values"),
+        fields = [F.lit(c).alias("column_name"), F.col("_rows").alias("rows"),
+                  (F.col("_rows") - F.col(f"_nn{i}")).alias("nulls")]
+        if approx_distinct:
+            fields.append(F.col(f"_d{i}").cast("bigint").alias("distinct_values"))
+        fields += [
             (stable_round(F.col(f"_min{i}"), digits) if numeric else null_d).alias("min_value"),
             (stable_round(F.col(f"_max{i}"), digits) if numeric else null_d).alias("max_value"),
             (stable_round(F.col(f"_avg{i}"), digits) if numeric else null_d).alias("mean"),
             (stable_round(F.col(f"_sd{i}"), digits) if numeric else null_d).alias("stddev"),
-        ))
-    return wide.select(F.inline(F.array(*rows)))
+        ]
+        rows.append(F.struct(*fields))
+    stats = wide.select(F.inline(F.array(*rows)))
+    if approx_distinct:
+        return stats
+    distinct = reduce(DataFrame.unionByName, [
+        df.select(c).distinct().agg(F.lit(c).alias("column_name"),
+                                    F.count(F.col(c)).alias("distinct_values"))
+        for c in columns])
+    return stats.join(distinct, "column_name").select(
+        "column_name", "rows", "nulls", "distinct_values", "min_value", "max_value", "mean", "stddev")
 
 
 def iqr_outliers(df: DataFrame, value: str, group: str, id_col: str, k: float = 1.5,
