@@ -77,18 +77,19 @@ def shingle_rows(docs: DataFrame, id_col: str, text_col: str, n: int = 3) -> Dat
     """Distinct (id, shingle) rows: word n-grams of the whole lower-cased
     text; a text with fewer than n tokens is one shingle.
 
-    Each token position becomes a row (`posexplode`) and its n-gram is the
-    slice starting there. No lambda walks the token array, so nothing the
-    optimizer inlines or pushes into a filter can turn into per-position
-    re-tokenisation of the text.
+    The n-grams come from `arrays_zip` of the token array with itself
+    shifted by 1 .. n-1 positions, exploded: each output row holds only its
+    n words. (Exploding positions while carrying the token array would copy
+    the whole array into every row -- quadratic in text length -- and an
+    n-gram lambda over the array is re-tokenised per position once the
+    optimizer inlines the tokens.)
     """
     toks = docs.select(id_col, tokens(F.col(text_col)).alias("_tok"))
-    pos = toks.select(id_col, F.size("_tok").alias("_len"), "_tok",
-                      F.posexplode("_tok").alias("_p", "_w"))
-    gram = (F.when(F.col("_len") >= n, F.array_join(F.slice("_tok", F.col("_p") + 1, n), " "))
-            .otherwise(F.array_join("_tok", " ")))
-    keep = F.col("_p") <= F.greatest(F.col("_len") - n, F.lit(0))
-    return pos.where(keep).select(id_col, gram.alias("_g")).distinct()
+    zipped = F.arrays_zip(*[F.slice("_tok", j + 1, F.size("_tok")).alias(f"_w{j}") for j in range(n)])
+    rows = toks.select(id_col, F.size("_tok").alias("_len"), F.posexplode(zipped).alias("_p", "_z"))
+    keep = (F.col("_p") <= F.col("_len") - n) | ((F.col("_len") < n) & (F.col("_p") == 0))
+    gram = F.concat_ws(" ", *[F.col("_z").getField(f"_w{j}") for j in range(n)])
+    return rows.where(keep).select(id_col, gram.alias("_g")).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, rows: int = 4,
@@ -98,9 +99,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, ro
     dup_of is the smallest id among documents that share an LSH band bucket
     with doc_id and reach Jaccard >= ``threshold`` with it.
 
-    Everything is rows, joins and aggregates. Each shingle row is hashed
-    with the ``bands * rows`` seeds (xxhash64) and the minimum per
-    (doc, seed) folds map-side. Band keys hash each band's ``rows`` minima.
+    Everything is rows, joins and aggregates. The signature is one
+    aggregate per document: ``bands * rows`` minima of xxhash64(shingle,
+    seed), folded map-side. Band keys hash each band's ``rows`` minima.
     Band buckets are grouped and every member is paired only with the
     bucket's smallest id -- a star, never all pairs -- so a bucket holding a
     third of all documents yields one candidate per member. A candidate's
@@ -110,20 +111,28 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, ro
     """
     k = bands * rows
     grams = shingle_rows(docs, id_col, text_col)
-    sizes = grams.groupBy(id_col).agg(F.count(F.lit(1)).alias("_size"))
-    seeds = F.lit(list(range(k)))
-    hashed = grams.select(id_col, F.posexplode(F.transform(seeds, lambda s: F.xxhash64(F.col("_g"), s)))
-                          .alias("_i", "_h"))
-    minima = hashed.groupBy(id_col, "_i").agg(F.min("_h").alias("_m"))
-    members = (minima.groupBy(id_col, F.floor(F.col("_i") / rows).cast("int").alias("band"))
-               .agg(F.xxhash64(F.sort_array(F.collect_list(F.struct("_i", "_m")))).alias("key")))
+    # One row per document: set size and the k minimum hashes, as k `min`
+    # aggregates in generated code (partial per task, no row per seed).
+    sig = grams.groupBy(id_col).agg(
+        F.count(F.lit(1)).alias("_size"),
+        *[F.min(F.xxhash64(F.col("_g"), F.lit(i))).alias(f"_m{i}") for i in range(k)])
+    sizes = sig.select(id_col, "_size")
+    band_keys = F.array(*[
+        F.struct(F.lit(b).alias("band"),
+                 F.xxhash64(*[F.col(f"_m{b * rows + r}") for r in range(rows)]).alias("key"))
+        for b in range(bands)])
+    members = sig.select(id_col, F.inline(band_keys))
     reps = (members.groupBy("band", "key").agg(F.min(id_col).alias("dup_of"), F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") > 1).drop("_n"))
     cand = (members.join(reps, ["band", "key"])
             .where(F.col(id_col) != F.col("dup_of"))
             .select(id_col, "dup_of").distinct())
-    theirs = grams.select(F.col(id_col).alias("dup_of"), "_g")
-    overlap = (cand.join(grams, id_col).join(theirs, ["dup_of", "_g"])
+    # Exact overlap needs shingle sets again, but only of documents that are
+    # in some candidate pair: the corpus is tokenised in full only once.
+    need = cand.select(id_col).unionByName(cand.select(F.col("dup_of").alias(id_col))).distinct()
+    cgrams = shingle_rows(docs.join(need, id_col, "left_semi"), id_col, text_col)
+    theirs = cgrams.select(F.col(id_col).alias("dup_of"), "_g")
+    overlap = (cand.join(cgrams, id_col).join(theirs, ["dup_of", "_g"])
                .groupBy(id_col, "dup_of").agg(F.count(F.lit(1)).alias("_inter")))
     size_b = sizes.select(F.col(id_col).alias("dup_of"), F.col("_size").alias("_size_b"))
     jac = F.col("_inter") / (F.col("_size") + F.col("_size_b") - F.col("_inter"))

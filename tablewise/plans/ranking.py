@@ -29,20 +29,19 @@ from ..session import checkpoint_dir
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row number
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def global_row_index(df: DataFrame, order: Sequence[Column | str], index_col: str = "_idx",
                      num_partitions: int | None = None) -> DataFrame:
     """Add ``index_col``: the 0-based position of each row in the total order
     ``order`` over the whole frame. Rows equal on ``order`` get distinct,
     adjacent positions in an unspecified order."""
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    n = _partitions(df, num_partitions)
-    tagged = (df.repartitionByRange(n, *order)
+    # Without an explicit count the range shuffle is sized by adaptive
+    # execution: it starts from the shuffle (or initial) partition number and
+    # coalesces neighbouring ranges to the advisory size, which keeps the
+    # order contiguous. The slice table below has one row per final slice.
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    tagged = (ranged
               .sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
