@@ -94,6 +94,8 @@ def main(argv):
     from tablewise.session import build_session
     spark = build_session("local[8]", shuffle_partitions=8,
                           extra={"spark.ui.showConsoleProgress": "false"})
+    if os.environ.get("ORACLE_TZ"):  # check independence from the session zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
     con = duck(sf_dir)
     bad = 0
     for name, q in REGISTRY.items():
