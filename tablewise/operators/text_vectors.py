@@ -10,6 +10,7 @@ from ..functions.numeric import stable_round
 from ..functions.text import tokens
 from ..functions.vectors import as_double, dot, norm
 from ..plans.broadcast import bounded_broadcast, row_count_at_most
+from ..session import checkpoint_dir
 
 
 def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: str = "lang",
@@ -35,7 +36,7 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group
 
 
 # Query vectors are inlined into the plan; more than this many is refused.
-MAX_QUERY_VECTORS = 10_000
+MAX_QUERY_VECTORS = 1_000
 
 
 def nearest_to_centroids(emb: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -73,9 +74,10 @@ def nearest_to_centroids(emb: DataFrame, k: int = 5, id_col: str = "vec_id", vec
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def shingle_rows(docs: DataFrame, id_col: str, text_col: str, n: int = 3) -> DataFrame:
-    """Distinct (id, shingle) rows: word n-grams of the whole lower-cased
-    text; a text with fewer than n tokens is one shingle.
+def shingle_rows(docs: DataFrame, id_col: str, text_col: str, n: int = 3, distinct: bool = True) -> DataFrame:
+    """(id, shingle) rows, distinct unless ``distinct=False``: word n-grams
+    of the whole lower-cased text; a text with fewer than n tokens is one
+    shingle.
 
     The n-grams come from `arrays_zip` of the token array with itself
     shifted by 1 .. n-1 positions, exploded: each output row holds only its
@@ -89,7 +91,8 @@ def shingle_rows(docs: DataFrame, id_col: str, text_col: str, n: int = 3) -> Dat
     rows = toks.select(id_col, F.size("_tok").alias("_len"), F.posexplode(zipped).alias("_p", "_z"))
     keep = (F.col("_p") <= F.col("_len") - n) | ((F.col("_len") < n) & (F.col("_p") == 0))
     gram = F.concat_ws(" ", *[F.col("_z").getField(f"_w{j}") for j in range(n)])
-    return rows.where(keep).select(id_col, gram.alias("_g")).distinct()
+    out = rows.where(keep).select(id_col, gram.alias("_g"))
+    return out.distinct() if distinct else out
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, rows: int = 4,
@@ -110,13 +113,17 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, ro
     probability 1 - (1 - 0.8^rows)^bands (0.9998 with 16 x 4).
     """
     k = bands * rows
-    grams = shingle_rows(docs, id_col, text_col)
-    # One row per document: set size and the k minimum hashes, as k `min`
-    # aggregates in generated code (partial per task, no row per seed).
+    # Repeated shingles do not change a minimum, so the signature needs no
+    # de-duplication (no shuffle of shingle strings): one row per document
+    # with the k minima, as k `min` aggregates folded in each task.
+    grams = shingle_rows(docs, id_col, text_col, distinct=False)
     sig = grams.groupBy(id_col).agg(
-        F.count(F.lit(1)).alias("_size"),
         *[F.min(F.xxhash64(F.col("_g"), F.lit(i))).alias(f"_m{i}") for i in range(k)])
-    sizes = sig.select(id_col, "_size")
+    # Signatures (one small row per document) feed several branches below;
+    # writing them once to the shared checkpoint folder means the corpus is
+    # read and tokenised once for them, and cuts the lineage back to the texts.
+    checkpoint_dir(docs.sparkSession)
+    sig = sig.checkpoint(eager=True)
     band_keys = F.array(*[
         F.struct(F.lit(b).alias("band"),
                  F.xxhash64(*[F.col(f"_m{b * rows + r}") for r in range(rows)]).alias("key"))
@@ -131,6 +138,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, ro
     # in some candidate pair: the corpus is tokenised in full only once.
     need = cand.select(id_col).unionByName(cand.select(F.col("dup_of").alias(id_col))).distinct()
     cgrams = shingle_rows(docs.join(need, id_col, "left_semi"), id_col, text_col)
+    sizes = cgrams.groupBy(id_col).agg(F.count(F.lit(1)).alias("_size"))
     theirs = cgrams.select(F.col(id_col).alias("dup_of"), "_g")
     overlap = (cand.join(cgrams, id_col).join(theirs, ["dup_of", "_g"])
                .groupBy(id_col, "dup_of").agg(F.count(F.lit(1)).alias("_inter")))
