@@ -29,25 +29,41 @@ from ..session import checkpoint_dir
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row number
 
 
-def global_row_index(df: DataFrame, order: Sequence[Column | str], index_col: str = "_idx",
-                     num_partitions: int | None = None) -> DataFrame:
-    """Add ``index_col``: the 0-based position of each row in the total order
-    ``order`` over the whole frame. Rows equal on ``order`` get distinct,
-    adjacent positions in an unspecified order."""
+def numbered_slices(df: DataFrame, order: Sequence[Column | str],
+                    num_partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted on ``order``, tagged with their slice
+    (``_pid``) and ``_mid``; checkpointed (see the module note).
+
+    Range partitioning sends equal keys to one slice, so a value held by a
+    third of the rows would make one slice a third of the data. A
+    tie-breaker -- the row's position in the input, `monotonically_
+    increasing_id` -- is appended to the range key, so runs of equal keys
+    are cut into slices like any other range.
+    """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
+    keyed = df.withColumn("_tb", F.monotonically_increasing_id())
+    full = [*order, F.col("_tb")]
     # Without an explicit count the range shuffle is sized by adaptive
     # execution: it starts from the shuffle (or initial) partition number and
     # coalesces neighbouring ranges to the advisory size, which keeps the
-    # order contiguous. The slice table below has one row per final slice.
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order))
-    tagged = (ranged
-              .sortWithinPartitions(*order)
+    # order contiguous.
+    ranged = (keyed.repartitionByRange(num_partitions, *full) if num_partitions
+              else keyed.repartitionByRange(*full))
+    tagged = (ranged.sortWithinPartitions(*full)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .drop("_tb"))
     checkpoint_dir(df.sparkSession)
-    tagged = tagged.checkpoint(eager=True)
-    # One row per partition: safe to order globally and to broadcast.
+    return tagged.checkpoint(eager=True)
+
+
+def global_row_index(df: DataFrame, order: Sequence[Column | str], index_col: str = "_idx",
+                     num_partitions: int | None = None) -> DataFrame:
+    """Add ``index_col``: the 0-based position of each row in the total order
+    ``order`` over the whole frame. Rows equal on ``order`` get distinct,
+    adjacent positions."""
+    tagged = numbered_slices(df, order, num_partitions)
+    # One row per slice: safe to order globally and to broadcast.
     offsets = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
                .withColumn("_off", F.coalesce(
                    F.sum("_n").over(Window.orderBy("_pid")

@@ -59,3 +59,14 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "g int, v double")
     assert exact_percentiles(df, "v", [0.5], ["g"]).count() == 0
     assert global_row_index(df, ["v"]).count() == 0
+
+
+def test_hot_equal_value_spreads_over_slices(spark):
+    from tablewise.plans.ranking import numbered_slices
+    # a third of the rows share one value: they must not all land in one slice
+    hot = spark.range(3000).select(F.lit(7.0).alias("v"))
+    rest = spark.range(6000).select((F.col("id") % 97).cast("double").alias("v"))
+    tagged = numbered_slices(hot.unionByName(rest), ["v"], num_partitions=8)
+    per_slice = tagged.where("v = 7.0").groupBy("_pid").count().collect()
+    assert len(per_slice) >= 3
+    assert max(r["count"] for r in per_slice) < 3000
