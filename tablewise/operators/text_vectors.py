@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import stable_round
-from ..functions.text import tokens
+from ..functions.text import token_rows, tokens
 from ..functions.vectors import as_double, dot, norm
 from ..plans.broadcast import bounded_broadcast, row_count_at_most
 from ..session import checkpoint_dir
@@ -26,7 +26,7 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group
     (group, token) -- a shuffle join that adaptive execution splits for very
     common tokens -- and N (one row per group, size-checked) is broadcast.
     """
-    toks = docs.select(id_col, group, F.explode(tokens(F.col(text_col))).alias("token"))
+    toks = token_rows(docs, [id_col, group], text_col)
     tf = toks.groupBy(id_col, group, "token").agg(F.count(F.lit(1)).alias("tf"))
     df_ = tf.groupBy(group, "token").agg(F.count(F.lit(1)).alias("df"))
     n_docs = bounded_broadcast(docs.groupBy(group).agg(F.count(F.lit(1)).alias("_N")), 10_000)
