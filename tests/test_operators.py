@@ -63,7 +63,7 @@ def brute_sessions(pdf, gap):
     return sorted(out)
 
 
-def test_sessions_across_hour_buckets_match_brute_force(spark):
+def test_sessions_across_slices_match_brute_force(spark):
     rng = np.random.default_rng(5)
     ts = T0 + pd.to_timedelta(np.sort(rng.choice(3 * 24 * 3600, 800, replace=False)), unit="s")
     users = np.where(rng.random(800) < 0.5, 1, rng.integers(2, 6, 800))
@@ -79,7 +79,7 @@ def test_sessions_across_hour_buckets_match_brute_force(spark):
     assert [(u, s.to_pydatetime(), e.to_pydatetime(), n) for u, s, e, n in exp] == got
 
 
-def test_latest_before_carries_over_empty_buckets(spark):
+def test_latest_before_carries_across_gaps(spark):
     rows = [(1, T0, 1, "view"),
             (2, T0 + dt.timedelta(hours=5), 1, "purchase"),       # view 5 buckets earlier
             (3, T0 + dt.timedelta(hours=5, minutes=1), 2, "purchase"),  # no view at all
@@ -158,3 +158,19 @@ def test_histogram_edges(spark):
     df = spark.createDataFrame([(-1.0,), (0.0,), (24.99,), (25.0,), (500.0,), (None,)], "value double")
     got = {r.bin: r.n for r in explore.histogram(df, "value", 0.0, 500.0, 20).collect()}
     assert got == {0: 1, 1: 2, 2: 1, 21: 1}
+
+
+def test_hot_user_hour_is_split_and_sessions_stay_right(spark):
+    from tablewise.plans.ordered import sliced
+    rng = np.random.default_rng(11)
+    # user 1: 900 events inside one hour (gaps up to ~8 s); 5 other users spread out
+    hot = [(i, T0 + dt.timedelta(seconds=int(s)), 1, "view")
+           for i, s in enumerate(np.sort(rng.choice(3600, 900, replace=False)))]
+    other = [(1000 + i, T0 + dt.timedelta(minutes=int(m)), int(u), "view")
+             for i, (m, u) in enumerate(zip(rng.choice(5000, 400, replace=False), rng.integers(2, 7, 400)))]
+    df = ev(spark, hot + other)
+    parts = sliced(df, ["user_id"], "ts").where("user_id = 1").select("_pid").distinct().count()
+    assert parts > 1
+    got = sorted((r.user_id, r.session_start, r.session_end, r.events) for r in behaviour.sessions(df).collect())
+    exp = brute_sessions(df.toPandas(), pd.Timedelta(minutes=30))
+    assert [(u, s.to_pydatetime(), e.to_pydatetime(), n) for u, s, e, n in exp] == got
