@@ -3,6 +3,8 @@ MinHash near-duplicate detection."""
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from ..functions.numeric import stable_round
 from ..functions.text import token_rows, tokens
 from ..functions.vectors import as_double, dot, norm
 from ..plans.broadcast import bounded_broadcast, row_count_at_most
-from ..session import checkpoint_dir
+from ..plans.lineage import materialize
+from ..plans.spread import spread_by
 
 
 def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: str = "lang",
@@ -25,8 +28,10 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group
     row per document and partial sums. The df table is joined back on
     (group, token) -- a shuffle join that adaptive execution splits for very
     common tokens -- and N (one row per group, size-checked) is broadcast.
+    Texts are spread over the cores by document id when the scan has too
+    few tasks (`spread_by`); tf then groups on that partitioning.
     """
-    toks = token_rows(docs, [id_col, group], text_col)
+    toks = token_rows(spread_by(docs.select(id_col, group, text_col), id_col), [id_col, group], text_col)
     tf = toks.groupBy(id_col, group, "token").agg(F.count(F.lit(1)).alias("tf"))
     df_ = tf.groupBy(group, "token").agg(F.count(F.lit(1)).alias("df"))
     n_docs = bounded_broadcast(docs.groupBy(group).agg(F.count(F.lit(1)).alias("_N")), 10_000)
@@ -95,16 +100,28 @@ def shingle_rows(docs: DataFrame, id_col: str, text_col: str, n: int = 3, distin
     return out.distinct() if distinct else out
 
 
+# Smallest prime above 2^32: the modulus of the MinHash permutations.
+_MINHASH_PRIME = 4294967311
+
+
+def _minhash_coefficients(k: int, seed: int) -> list[tuple[int, int]]:
+    """k pairs (a, b), 1 <= a < 2^30 and 0 <= b < p, from a seeded generator."""
+    rng = random.Random(seed)
+    return [(rng.randrange(1, 1 << 30), rng.randrange(0, _MINHASH_PRIME)) for _ in range(k)]
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, rows: int = 4,
-                    id_col: str = "doc_id", text_col: str = "text", digits: int = 6) -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", digits: int = 6,
+                    seed: int = 42) -> DataFrame:
     """Near-duplicate documents by MinHash LSH, verified by exact Jaccard
     similarity of word 3-gram sets. Output: doc_id, dup_of, jaccard, where
-    dup_of is the smallest id among documents that share an LSH band bucket
-    with doc_id and reach Jaccard >= ``threshold`` with it.
+    dup_of is the smallest id among the representatives (smallest member)
+    of the LSH band buckets doc_id belongs to that reach Jaccard >=
+    ``threshold`` with it.
 
     Everything is rows, joins and aggregates. The signature is one
-    aggregate per document: ``bands * rows`` minima of xxhash64(shingle,
-    seed), folded map-side. Band keys hash each band's ``rows`` minima.
+    aggregate per document: ``bands * rows`` minima of seeded hash functions
+    of the shingle, folded map-side. Band keys hash each band's ``rows`` minima.
     Band buckets are grouped and every member is paired only with the
     bucket's smallest id -- a star, never all pairs -- so a bucket holding a
     third of all documents yields one candidate per member. A candidate's
@@ -113,17 +130,26 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, ro
     probability 1 - (1 - 0.8^rows)^bands (0.9998 with 16 x 4).
     """
     k = bands * rows
+    # Shingling and hashing are the CPU-heavy part: spread the texts over the
+    # cores when the scan has too few tasks; the signature aggregate then
+    # groups on the same doc-id partitioning without another shuffle.
+    docs = spread_by(docs.select(id_col, text_col), id_col)
     # Repeated shingles do not change a minimum, so the signature needs no
     # de-duplication (no shuffle of shingle strings): one row per document
     # with the k minima, as k `min` aggregates folded in each task.
     grams = shingle_rows(docs, id_col, text_col, distinct=False)
-    sig = grams.groupBy(id_col).agg(
-        *[F.min(F.xxhash64(F.col("_g"), F.lit(i))).alias(f"_m{i}") for i in range(k)])
+    # One string hash per shingle, cut to 32 bits, then k cheap hash
+    # functions (a*h + b) mod p with p prime above 2^32: each is one-to-one
+    # on the 32-bit hashes and is evaluated as long arithmetic in generated
+    # code. a < 2^30 keeps a*h + b below 2^63 (no overflow under ANSI).
+    h = F.xxhash64(F.col("_g")).bitwiseAND(F.lit(0xFFFFFFFF))
+    sig = grams.select(id_col, h.alias("_h")).groupBy(id_col).agg(
+        *[F.min(F.pmod(F.col("_h") * F.lit(a) + F.lit(b), F.lit(_MINHASH_PRIME))).alias(f"_m{i}")
+          for i, (a, b) in enumerate(_minhash_coefficients(k, seed))])
     # Signatures (one small row per document) feed several branches below;
     # writing them once to the shared checkpoint folder means the corpus is
     # read and tokenised once for them, and cuts the lineage back to the texts.
-    checkpoint_dir(docs.sparkSession)
-    sig = sig.checkpoint(eager=True)
+    sig = materialize(sig)
     band_keys = F.array(*[
         F.struct(F.lit(b).alias("band"),
                  F.xxhash64(*[F.col(f"_m{b * rows + r}") for r in range(rows)]).alias("key"))
@@ -131,13 +157,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, ro
     members = sig.select(id_col, F.inline(band_keys))
     reps = (members.groupBy("band", "key").agg(F.min(id_col).alias("dup_of"), F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") > 1).drop("_n"))
-    cand = (members.join(reps, ["band", "key"])
-            .where(F.col(id_col) != F.col("dup_of"))
-            .select(id_col, "dup_of").distinct())
+    # At most one candidate per document and band; written once, as every
+    # later branch starts from it.
+    cand = materialize(members.join(reps, ["band", "key"])
+                       .where(F.col(id_col) != F.col("dup_of"))
+                       .select(id_col, "dup_of").distinct())
     # Exact overlap needs shingle sets again, but only of documents that are
-    # in some candidate pair: the corpus is tokenised in full only once.
+    # in some candidate pair: the corpus is tokenised in full only once. The
+    # candidate shingle sets are written once and read by three branches.
     need = cand.select(id_col).unionByName(cand.select(F.col("dup_of").alias(id_col))).distinct()
-    cgrams = shingle_rows(docs.join(need, id_col, "left_semi"), id_col, text_col)
+    cgrams = materialize(shingle_rows(docs.join(need, id_col, "left_semi"), id_col, text_col))
     sizes = cgrams.groupBy(id_col).agg(F.count(F.lit(1)).alias("_size"))
     theirs = cgrams.select(F.col(id_col).alias("dup_of"), "_g")
     overlap = (cand.join(cgrams, id_col).join(theirs, ["dup_of", "_g"])

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from .lineage import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row number
 
@@ -53,8 +53,7 @@ def numbered_slices(df: DataFrame, order: Sequence[Column | str],
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
               .drop("_tb"))
-    checkpoint_dir(df.sparkSession)
-    return tagged.checkpoint(eager=True)
+    return materialize(tagged)
 
 
 def global_row_index(df: DataFrame, order: Sequence[Column | str], index_col: str = "_idx",
