@@ -70,3 +70,29 @@ def test_hot_equal_value_spreads_over_slices(spark):
     per_slice = tagged.where("v = 7.0").groupBy("_pid").count().collect()
     assert len(per_slice) >= 3
     assert max(r["count"] for r in per_slice) < 3000
+
+
+def test_spread_only_when_the_scan_has_too_few_tasks(spark):
+    from tablewise.plans.spread import spread_by
+    wide = spark.range(0, 1000, numPartitions=16)
+    assert spread_by(wide, "id", min_partitions=8) is wide
+    narrow = spark.range(0, 1000, numPartitions=1)
+    spread = spread_by(narrow, "id", min_partitions=8)
+    assert spread.rdd.getNumPartitions() == 8
+    assert sorted(r.id for r in spread.collect()) == list(range(1000))
+
+
+def test_aggregate_after_spread_needs_no_second_shuffle(spark):
+    from tablewise.plans.spread import spread_by
+    df = spread_by(spark.range(0, 1000, numPartitions=1).withColumn("k", F.col("id") % 10), "k", 8)
+    plan = df.groupBy("k", "id").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_materialize_keeps_rows_and_cuts_lineage(spark):
+    from tablewise.plans.lineage import materialize
+    df = spark.range(0, 500, numPartitions=4).withColumn("x", F.col("id") * 2)
+    m = materialize(df)
+    assert sorted(tuple(r) for r in m.collect()) == [(i, 2 * i) for i in range(500)]
+    assert "Range" not in m._jdf.queryExecution().optimizedPlan().toString()
+    assert not m.is_cached and not df.is_cached
