@@ -73,16 +73,28 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, approx_distinct
 
 
 def iqr_outliers(df: DataFrame, value: str, group: str, id_col: str, k: float = 1.5,
-                 digits: int = 6) -> DataFrame:
+                 digits: int = 6, approx_accuracy: int | None = None) -> DataFrame:
     """Per group quartiles (interpolated, exact) and, per row, whether the
     value lies outside [q1 - k*IQR, q3 + k*IQR].
 
     Quartiles come from `exact_percentiles`, which never gathers a group in
     one task; the per-group table (one row per group) is joined back, and
     adaptive execution broadcasts it when it is small.
+
+    ``approx_accuracy`` switches to `percentile_approx`: a quantile sketch
+    per group, built map-side and merged, so memory per group is bounded
+    and there is no global sort. Each quartile is then a value of the group
+    whose rank is within n / ``approx_accuracy`` of the exact rank (no
+    interpolation).
     """
-    q = exact_percentiles(df, value, [0.25, 0.75], [group]).withColumnRenamed("p25", "q1") \
-        .withColumnRenamed("p75", "q3")
+    if approx_accuracy:
+        q = (df.groupBy(group)
+             .agg(F.percentile_approx(F.col(value), [0.25, 0.75], approx_accuracy).alias("_q"))
+             .select(group, F.col("_q")[0].cast("double").alias("q1"),
+                     F.col("_q")[1].cast("double").alias("q3")))
+    else:
+        q = exact_percentiles(df, value, [0.25, 0.75], [group]).withColumnRenamed("p25", "q1") \
+            .withColumnRenamed("p75", "q3")
     iqr = F.col("q3") - F.col("q1")
     out = (df.select(id_col, group, value).join(q, group)
            .withColumn("is_outlier", (F.col(value) < F.col("q1") - k * iqr) |

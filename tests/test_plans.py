@@ -96,3 +96,19 @@ def test_materialize_keeps_rows_and_cuts_lineage(spark):
     assert sorted(tuple(r) for r in m.collect()) == [(i, 2 * i) for i in range(500)]
     assert "Range" not in m._jdf.queryExecution().optimizedPlan().toString()
     assert not m.is_cached and not df.is_cached
+
+
+def test_approximate_quartiles_stay_within_rank_error(spark):
+    from tablewise.operators.explore import iqr_outliers
+    df = skewed(spark, n=6000, seed=4).withColumn("id", F.monotonically_increasing_id())
+    acc = 200
+    got = iqr_outliers(df, "v", "g", "id", approx_accuracy=acc).select("g", "q1", "q3").distinct().toPandas()
+    pdf = df.toPandas()
+    for _, r in got.iterrows():
+        vals = np.sort(pdf.loc[pdf.g == r.g, "v"].values)
+        n = len(vals)
+        for q, p in ((r.q1, 0.25), (r.q3, 0.75)):
+            lo, hi = np.searchsorted(vals, q, "left"), np.searchsorted(vals, q, "right")
+            target = p * n
+            # some rank held by the value q lies within n / accuracy of p * n
+            assert lo - n / acc - 1 <= target <= hi + n / acc + 1
