@@ -10,7 +10,12 @@ from pyspark.sql import SparkSession
 # Settings every job in this package assumes. Adaptive execution re-plans
 # joins and coalesces partitions from runtime sizes and splits skewed join
 # partitions; the session zone is pinned so timestamp casts are reproducible.
+# Streaming state (open windows, keys inside the watermark) is kept in
+# RocksDB on the executors' disks rather than on the JVM heap, so a large
+# state spills instead of failing; it is checkpointed to the shared folder.
 DEFAULT_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
