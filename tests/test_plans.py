@@ -112,3 +112,18 @@ def test_approximate_quartiles_stay_within_rank_error(spark):
             target = p * n
             # some rank held by the value q lies within n / accuracy of p * n
             assert lo - n / acc - 1 <= target <= hi + n / acc + 1
+
+
+BATCH_QUERIES = sorted(n for n in __import__("tablewise.catalog", fromlist=["REGISTRY"]).REGISTRY
+                       if not n.startswith("stream_"))
+
+
+@pytest.mark.parametrize("name", BATCH_QUERIES)
+def test_query_plan_has_no_pairs_join_and_no_python_rows(spark, name):
+    """No registered query plans an all-pairs join, and none sends rows
+    through Python: every expression stays in the JVM."""
+    from tablewise.catalog import REGISTRY
+    plan = REGISTRY[name].build(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
+        assert bad not in plan, (name, bad)
