@@ -4,6 +4,7 @@ MinHash near-duplicate detection."""
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ..functions.text import token_rows, tokens
 from ..functions.vectors import as_double, dot, norm
 from ..plans.broadcast import bounded_broadcast, row_count_at_most
 from ..plans.lineage import materialize
+from ..plans.ranking import global_row_index
 from ..plans.spread import spread_by
 
 
@@ -40,30 +42,48 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group
             .select(id_col, group, "token", "tf", "df", stable_round(w, digits).alias("weight")))
 
 
-# Query vectors are inlined into the plan; more than this many is refused.
+# Query vectors inlined into one scoring pass; more are scored in batches.
 MAX_QUERY_VECTORS = 1_000
 
 
 def nearest_to_centroids(emb: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-                         label: str = "label", digits: int = 6) -> DataFrame:
+                         label: str = "label", digits: int = 6,
+                         max_per_pass: int = MAX_QUERY_VECTORS) -> DataFrame:
     """For each label, the ``k`` vectors with the highest cosine similarity
     to the label's centroid (mean vector). Score rounded to ``digits``;
     ties by id.
 
     Centroids are an aggregate per (label, dimension), one row per label and
-    dimension. Their number is checked, then they are fetched and written
-    into the plan as one array literal, so scoring is a single pass over the
-    vectors with no join at all: every vector computes its dot product with
-    each centroid (`aggregate` over `zip_with`, in generated code). Top-k per
-    label uses `row_number`, which Spark limits per map task before the
-    shuffle, so a large label moves only k rows per task.
+    dimension. Up to ``max_per_pass`` of them (checked) are fetched and
+    written into the plan as one array literal, so scoring is a single pass
+    over the vectors with no join at all: every vector computes its dot
+    product with each centroid (`aggregate` over `zip_with`, in generated
+    code). Top-k per label uses `row_number`, which Spark limits per map
+    task before the shuffle, so a large label moves only k rows per task.
+
+    With more labels than that, labels are numbered (`global_row_index`)
+    and cut into batches of ``max_per_pass``; each batch is one such pass,
+    and its top-k (final, as each label is in one batch) is written to the
+    checkpoint folder. The driver holds one batch of centroids at a time.
     """
     parts = emb.select(label, F.posexplode(as_double(F.col(vec_col))).alias("_d", "_x"))
     cent = (parts.groupBy(label, "_d").agg(F.avg("_x").alias("_m"))
             .groupBy(label).agg(F.sort_array(F.collect_list(F.struct("_d", "_m"))).alias("_c")))
-    if not row_count_at_most(cent, MAX_QUERY_VECTORS):
-        raise ValueError(f"more than {MAX_QUERY_VECTORS} query vectors")
-    rows = cent.collect()  # bounded: one row per label, checked above
+    if row_count_at_most(cent, max_per_pass):
+        # bounded: at most max_per_pass rows, checked above
+        return _top_k_to(emb, cent.collect(), k, id_col, vec_col, label, digits)
+    numbered = materialize(global_row_index(cent, [label], "_i")
+                           .withColumn("_batch", F.floor(F.col("_i") / max_per_pass)))
+    batches = numbered.agg(F.max("_batch")).first()[0] + 1
+    done = [materialize(_top_k_to(emb, numbered.where(F.col("_batch") == b).collect(),
+                                  k, id_col, vec_col, label, digits))
+            for b in range(batches)]
+    return reduce(DataFrame.unionByName, done)
+
+
+def _top_k_to(emb: DataFrame, rows: list, k: int, id_col: str, vec_col: str, label: str,
+              digits: int) -> DataFrame:
+    """Top ``k`` vectors by cosine to each centroid row (label, _c)."""
     labels = [r[label] for r in rows]
     vectors = [[float(e["_m"]) for e in r["_c"]] for r in rows]
     norms = [sum(x * x for x in v) ** 0.5 for v in vectors]

@@ -70,3 +70,11 @@ def test_rows_only_queries_run(spark):
     for name, q in REGISTRY.items():
         if q.sql is None and not name.startswith("stream_"):
             assert q.build(spark, SF_SMALL).count() >= 0
+
+
+def test_centroid_neighbours_in_batches_equal_one_pass(spark):
+    from tablewise.operators import text_vectors
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    one = sorted(tuple(r) for r in text_vectors.nearest_to_centroids(emb, 5).collect())
+    batched = sorted(tuple(r) for r in text_vectors.nearest_to_centroids(emb, 5, max_per_pass=3).collect())
+    assert len(one) == 50 and one == batched
