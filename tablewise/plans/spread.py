@@ -24,7 +24,11 @@ def spread_by(df: DataFrame, key: str, min_partitions: int | None = None) -> Dat
     """``df`` hash-partitioned on ``key`` into ``min_partitions`` (default:
     the cluster's default parallelism) if it has fewer partitions, else
     ``df`` unchanged. Counting partitions plans the scan; it runs no job."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan as it is
+        return df
+    if partitions >= target:
         return df
     return df.repartition(target, key)

@@ -28,12 +28,19 @@ DEFAULT_CONF = {
 def build_session(master: str | None = None, app: str = "tablewise",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None,
-                  driver_memory: str = "16g") -> SparkSession:
+                  driver_memory: str = "16g",
+                  shuffle_bytes: int | None = None) -> SparkSession:
     """Create (or reuse) a session with the package defaults.
 
     On a cluster leave ``master`` unset and let spark-submit decide; the
     shuffle partition count then stays whatever the cluster configured. In
     local mode the driver JVM runs every task, so it gets ``driver_memory``.
+
+    ``shuffle_bytes`` -- the expected size of the largest shuffle, after
+    column pruning and map-side aggregation (not the raw input) -- sizes
+    the shuffles: adaptive execution only merges partitions, never splits
+    them (skewed joins aside), so it has to start from enough partitions
+    and coalesces them to the advisory size.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -44,6 +51,9 @@ def build_session(master: str | None = None, app: str = "tablewise",
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if shuffle_bytes:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                                 str(initial_partitions(shuffle_bytes)))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -51,6 +61,12 @@ def build_session(master: str | None = None, app: str = "tablewise",
     return spark
 
 
+def initial_partitions(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> int:
+    """Shuffle partitions to start from: one per ``partition_bytes`` of the
+    largest shuffle, at least 200 (a 20 TB shuffle -> about 75,000)."""
+    return max(200, -(-shuffle_bytes // partition_bytes))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints and state.
 
