@@ -195,3 +195,19 @@ def test_hot_user_hour_is_split_and_sessions_stay_right(spark):
     assert parts > 1
     exp = brute_sessions(df.toPandas(), pd.Timedelta(minutes=30))
     assert [(u, s.to_pydatetime(), e.to_pydatetime(), n) for u, s, e, n in exp] == got
+
+
+def test_hour_truncation_ignores_daylight_saving_gaps(spark):
+    from tablewise.functions.timefn import trunc_ntz
+    # 02:30 on 2024-03-10 does not exist in Los Angeles (clocks jump 02:00 -> 03:00)
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 15),)], "ts timestamp_ntz")
+    key = "spark.sql.session.timeZone"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "America/Los_Angeles")
+    try:
+        got = df.select(trunc_ntz("hour", F.col("ts")).alias("h"), trunc_ntz("day", F.col("ts")).alias("d"),
+                        trunc_ntz("minute", F.col("ts")).alias("m")).first()
+    finally:
+        spark.conf.set(key, old)
+    assert got.h == dt.datetime(2024, 3, 10, 2) and got.d == dt.datetime(2024, 3, 10)
+    assert got.m == dt.datetime(2024, 3, 10, 2, 30)
