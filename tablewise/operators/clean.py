@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_bucket
 from ..functions.numeric import safe_div
 from ..functions.text import content_key
+from ..plans.keys import join_on_keys
 
 
 def rule_violations(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -121,8 +122,8 @@ def out_of_fold_target_mean(rows: DataFrame, id_col: str, group: str, target: st
     keyed = rows.select(id_col, group, fold.alias("fold"), F.col(target).cast("double").alias("_y"))
     per_fold = keyed.groupBy(group, "fold").agg(F.sum("_y").alias("_s"), F.count("_y").alias("_c"))
     per_group = per_fold.groupBy(group).agg(F.sum("_s").alias("_s_all"), F.sum("_c").alias("_c_all"))
-    enc = (per_fold.join(per_group, group)
+    enc = (join_on_keys(per_fold, per_group, [group])
            .select(group, "fold",
                    F.round(safe_div(F.col("_s_all") - F.col("_s"), F.col("_c_all") - F.col("_c")), digits)
                    .alias("target_mean")))
-    return keyed.join(enc, [group, "fold"]).select(id_col, group, "fold", "target_mean")
+    return join_on_keys(keyed, enc, [group, "fold"]).select(id_col, group, "fold", "target_mean")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import exact_mean, stable_round
+from ..plans.keys import join_on_keys
 from ..plans.ranking import exact_percentiles
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -96,7 +97,7 @@ def iqr_outliers(df: DataFrame, value: str, group: str, id_col: str, k: float =
         q = exact_percentiles(df, value, [0.25, 0.75], [group]).withColumnRenamed("p25", "q1") \
             .withColumnRenamed("p75", "q3")
     iqr = F.col("q3") - F.col("q1")
-    out = (df.select(id_col, group, value).join(q, group)
+    out = (join_on_keys(df.select(id_col, group, value), q, [group])
            .withColumn("is_outlier", (F.col(value) < F.col("q1") - k * iqr) |
                        (F.col(value) > F.col("q3") + k * iqr)))
     return out.select(id_col, group, value, F.round("q1", digits).alias("q1"),

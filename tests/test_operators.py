@@ -211,3 +211,25 @@ def test_hour_truncation_ignores_daylight_saving_gaps(spark):
         spark.conf.set(key, old)
     assert got.h == dt.datetime(2024, 3, 10, 2) and got.d == dt.datetime(2024, 3, 10)
     assert got.m == dt.datetime(2024, 3, 10, 2, 30)
+
+
+def test_null_group_keys_keep_their_rows(spark):
+    # sessions and as-of: events of an unknown (null) user form their own sequence
+    rows = [(1, T0, None, "view"), (2, T0 + dt.timedelta(minutes=10), None, "purchase"),
+            (3, T0 + dt.timedelta(hours=2), None, "view"), (4, T0, 5, "purchase")]
+    pdf = pd.DataFrame(rows, columns=["event_id", "ts", "user_id", "event_type"]).astype({"user_id": "Int64"})
+    df = spark.createDataFrame(pdf, "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    with full_slices(spark):
+        sess = sorted((r.user_id or 0, r.events) for r in behaviour.sessions(df).collect())
+        asof = {r.event_id: r.match_id for r in behaviour.latest_before(df, "purchase", "view").collect()}
+    assert sess == [(0, 1), (0, 2), (5, 1)]
+    assert asof == {2: 1, 4: None}
+    # target encoding: a null language is a group of its own
+    lab = spark.createDataFrame([(1, None, 1), (2, None, 0), (3, "en", 1)], "doc_id long, lang string, quality int")
+    enc = {r.doc_id: r.target_mean for r in clean.out_of_fold_target_mean(lab, "doc_id", "lang", "quality").collect()}
+    assert enc == {1: 0.0, 2: 1.0, 3: None}
+    # outliers: rows of a null group are kept and scored within that group
+    vals = spark.createDataFrame([(i, None, float(i)) for i in range(8)] + [(99, None, 1000.0)],
+                                 "id long, g string, v double")
+    out = {r.id: r.is_outlier for r in explore.iqr_outliers(vals, "v", "g", "id").collect()}
+    assert len(out) == 9 and out[99] and not out[3]
