@@ -35,7 +35,11 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group
     """
     toks = token_rows(spread_by(docs.select(id_col, group, text_col), id_col), [id_col, group], text_col)
     tf = toks.groupBy(id_col, group, "token").agg(F.count(F.lit(1)).alias("tf"))
-    df_ = tf.groupBy(group, "token").agg(F.count(F.lit(1)).alias("df"))
+    # df counts the documents whose tf is positive. Reading tf keeps tf's
+    # own aggregate in this branch, so both uses of tf share one exchange
+    # and the texts are tokenised once; a row count would let the optimizer
+    # prune it into a separate distinct over the tokens (a second pass).
+    df_ = tf.groupBy(group, "token").agg(F.count_if(F.col("tf") > 0).alias("df"))
     n_docs = bounded_broadcast(docs.groupBy(group).agg(F.count(F.lit(1)).alias("_N")), 10_000)
     w = F.col("tf") * F.log((F.lit(1) + F.col("_N")) / (F.lit(1) + F.col("df")))
     return (tf.join(df_, [group, "token"]).join(n_docs, group)

@@ -127,3 +127,15 @@ def test_query_plan_has_no_pairs_join_and_no_python_rows(spark, name):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert bad not in plan, (name, bad)
+
+
+def test_tfidf_tokenises_each_text_once_at_scale(spark):
+    """With enough input partitions (no spreading), both uses of tf share one
+    exchange: one tokenising Generate in the executed plan."""
+    from tablewise.operators.text_vectors import tfidf
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(16)
+    df = tfidf(docs)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Generate explode") == 1
+    assert "ReusedExchange" in final
