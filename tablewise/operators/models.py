@@ -22,8 +22,10 @@ from ..functions.vectors import as_double
 def kmeans_groups(emb: DataFrame, k: int = 10, seed: int = 42, max_iter: int = 20,
                   id_col: str = "vec_id", vec_col: str = "embedding"):
     """k-means (k-means|| initialisation, fixed seed) over array vectors.
-    Returns (assignments: id, cluster; fitted model)."""
+    Returns (assignments: id, cluster; fitted model, None for empty input)."""
     feats = emb.select(id_col, array_to_vector(as_double(F.col(vec_col))).alias("features"))
+    if feats.isEmpty():  # nothing to fit or to assign
+        return feats.select(id_col, F.lit(None).cast("int").alias("cluster")), None
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
                    predictionCol="cluster").fit(feats)
     out = model.transform(feats).select(id_col, F.col("cluster").cast("int").alias("cluster"))
@@ -34,15 +36,21 @@ def quality_model(rows: DataFrame, split: DataFrame, id_col: str = "doc_id", lab
                   digits: int = 6):
     """Logistic regression of ``label`` on log document length and the
     toxicity flag, fitted on the rows whose ``split`` is 'train'. Returns
-    (held-out predictions: id, label, score = P(label = 1); fitted model)."""
+    (held-out predictions: id, label, score = P(label = 1); fitted model).
+    Without training rows there is no model: held-out rows get a null score."""
     data = (rows.join(split, id_col)
             .select(id_col, F.col(label).cast("double").alias("label"),
                     F.log1p(F.col("n_chars").cast("double")).alias("log_len"),
                     F.col("toxic").cast("double").alias("toxic"), "split"))
     pipe = Pipeline(stages=[VectorAssembler(inputCols=["log_len", "toxic"], outputCol="features"),
                             LogisticRegression(featuresCol="features", labelCol="label", maxIter=100)])
-    model = pipe.fit(data.where(F.col("split") == "train"))
-    pred = model.transform(data.where(F.col("split") == "test"))
+    train = data.where(F.col("split") == "train")
+    test = data.where(F.col("split") == "test")
+    if train.isEmpty():  # no model can be fitted: every held-out row, score unknown
+        return test.select(id_col, F.col("label").cast("int").alias(label),
+                           F.lit(None).cast("double").alias("score")), None
+    model = pipe.fit(train)
+    pred = model.transform(test)
     out = pred.select(id_col, F.col("label").cast("int").alias(label),
                       stable_round(vector_to_array("probability")[1], digits).alias("score"))
     return out, model

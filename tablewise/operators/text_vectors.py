@@ -91,13 +91,16 @@ def _top_k_to(emb: DataFrame, rows: list, k: int, id_col: str, vec_col: str, lab
     labels = [r[label] for r in rows]
     vectors = [[float(e["_m"]) for e in r["_c"]] for r in rows]
     norms = [sum(x * x for x in v) ** 0.5 for v in vectors]
-    qs = F.lit(vectors)
+    # Typed literals: an empty list (no labels) would otherwise be array<void>.
+    label_type = emb.schema[label].dataType.simpleString()
+    qs = F.lit(vectors).cast("array<array<double>>")
     v = as_double(F.col(vec_col))
     sims = F.transform(qs, lambda q: dot(q, v))
     scored = emb.select(id_col, norm(v).alias("_vn"),
                         F.posexplode(sims).alias("_q", "_dot"))
-    score = F.col("_dot") / (F.col("_vn") * F.element_at(F.lit(norms), F.col("_q") + 1))
-    scored = scored.select(F.element_at(F.lit(labels), F.col("_q") + 1).alias("query_label"), id_col,
+    score = F.col("_dot") / (F.col("_vn") * F.element_at(F.lit(norms).cast("array<double>"), F.col("_q") + 1))
+    scored = scored.select(F.element_at(F.lit(labels).cast(f"array<{label_type}>"), F.col("_q") + 1)
+                           .alias("query_label"), id_col,
                            stable_round(score, digits).alias("score"))
     w = Window.partitionBy("query_label").orderBy(F.col("score").desc(), F.col(id_col))
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
