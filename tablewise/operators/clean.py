@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_bucket
 from ..functions.numeric import safe_div
 from ..functions.text import content_key
+from ..plans.broadcast import broadcast_per_group
 from ..plans.keys import join_on_keys
 
 
@@ -116,8 +117,9 @@ def out_of_fold_target_mean(rows: DataFrame, id_col: str, group: str, target: st
     """Target encoding without leakage: for each row, the mean of ``target``
     over rows of the same ``group`` in the other folds (fold = id mod
     ``folds``). Built from sums per (group, fold) -- an aggregate, one row
-    per pair -- minus the row's own fold, joined back; nothing is windowed
-    over a whole group."""
+    per pair -- minus the row's own fold, joined back (written once and
+    broadcast when its size check passes); nothing is windowed over a whole
+    group."""
     fold = F.pmod(F.col(id_col), F.lit(folds)).cast("int")
     keyed = rows.select(id_col, group, fold.alias("fold"), F.col(target).cast("double").alias("_y"))
     per_fold = keyed.groupBy(group, "fold").agg(F.sum("_y").alias("_s"), F.count("_y").alias("_c"))
@@ -126,4 +128,5 @@ def out_of_fold_target_mean(rows: DataFrame, id_col: str, group: str, target: st
            .select(group, "fold",
                    F.round(safe_div(F.col("_s_all") - F.col("_s"), F.col("_c_all") - F.col("_c")), digits)
                    .alias("target_mean")))
-    return join_on_keys(keyed, enc, [group, "fold"]).select(id_col, group, "fold", "target_mean")
+    return join_on_keys(keyed, broadcast_per_group(enc), [group, "fold"]).select(
+        id_col, group, "fold", "target_mean")

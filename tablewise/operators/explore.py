@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import exact_mean, stable_round
+from ..plans.broadcast import broadcast_per_group
 from ..plans.keys import join_on_keys
 from ..plans.ranking import exact_percentiles
 
@@ -79,8 +80,8 @@ def iqr_outliers(df: DataFrame, value: str, group: str, id_col: str, k: float =
     value lies outside [q1 - k*IQR, q3 + k*IQR].
 
     Quartiles come from `exact_percentiles`, which never gathers a group in
-    one task; the per-group table (one row per group) is joined back, and
-    adaptive execution broadcasts it when it is small.
+    one task; the per-group table (one row per group) is written once and
+    joined back, broadcast when its size check passes.
 
     ``approx_accuracy`` switches to `percentile_approx`: a quantile sketch
     per group, built map-side and merged, so memory per group is bounded
@@ -97,7 +98,7 @@ def iqr_outliers(df: DataFrame, value: str, group: str, id_col: str, k: float =
         q = exact_percentiles(df, value, [0.25, 0.75], [group]).withColumnRenamed("p25", "q1") \
             .withColumnRenamed("p75", "q3")
     iqr = F.col("q3") - F.col("q1")
-    out = (join_on_keys(df.select(id_col, group, value), q, [group])
+    out = (join_on_keys(df.select(id_col, group, value), broadcast_per_group(q), [group])
            .withColumn("is_outlier", (F.col(value) < F.col("q1") - k * iqr) |
                        (F.col(value) > F.col("q3") + k * iqr)))
     return out.select(id_col, group, value, F.round("q1", digits).alias("q1"),

@@ -23,3 +23,16 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def broadcast_per_group(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """A per-group table (one row per group or per group and fold) to be
+    joined back to every row: written once (`materialize`), so the size
+    check and the join read the written rows instead of recomputing them,
+    then broadcast if it has at most ``max_rows`` rows. The large side then
+    streams through a broadcast hash join without being shuffled; adaptive
+    execution could only switch to a broadcast after both sides had been
+    shuffled. Beyond the bound it stays a shuffle join."""
+    from .lineage import materialize
+    return bounded_broadcast(materialize(df), max_rows)
+

@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .broadcast import broadcast_per_group
 from .lineage import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row number
@@ -103,7 +104,9 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
                            F.explode(F.array(F.col("_start") + F.col("_lo"),
                                              F.col("_start") + F.col("_hi"))).alias("_idx"))
              .dropDuplicates([*group_cols, "_p", "_idx"]))
-    looked_up = picks.join(indexed.select("_idx", F.col(value).alias("_v")), "_idx")
+    # Two rows per group and probability: written once and, when small,
+    # broadcast, so the numbered rows are looked up without being shuffled.
+    looked_up = indexed.select("_idx", F.col(value).alias("_v")).join(broadcast_per_group(picks), "_idx")
     per_p = (looked_up.groupBy(*group_cols, "_p", "_frac")
              .agg(F.min("_v").alias("_vlo"), F.max("_v").alias("_vhi")))
     interp = F.when(F.col("_frac") == 0, F.col("_vlo")).otherwise(

@@ -139,3 +139,12 @@ def test_tfidf_tokenises_each_text_once_at_scale(spark):
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("Generate explode") == 1
     assert "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("name", ["event_value_outliers", "language_target_encoding"])
+def test_per_group_tables_join_back_without_shuffling_rows(spark, name):
+    from tablewise.catalog import REGISTRY
+    df = REGISTRY[name].build(spark, "/root/testdata/sf0.001")
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
