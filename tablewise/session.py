@@ -75,9 +75,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     private folder is created and registered on the session.
     """
     sc = spark.sparkContext
-    found = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not found:
-        found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        # Already registered. Registering again would make Spark create yet
+        # another sub-folder inside the current one on every call.
+        return current
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not found:
         found = tempfile.mkdtemp(prefix="tablewise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", found)

@@ -148,3 +148,9 @@ def test_per_group_tables_join_back_without_shuffling_rows(spark, name):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+
+
+def test_checkpoint_folder_is_stable_across_calls(spark):
+    from tablewise.session import checkpoint_dir
+    first = checkpoint_dir(spark)
+    assert all(checkpoint_dir(spark) == first for _ in range(5))
