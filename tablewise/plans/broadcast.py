@@ -26,13 +26,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFr
 
 
 def broadcast_per_group(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """A per-group table (one row per group or per group and fold) to be
-    joined back to every row: written once (`materialize`), so the size
-    check and the join read the written rows instead of recomputing them,
-    then broadcast if it has at most ``max_rows`` rows. The large side then
-    streams through a broadcast hash join without being shuffled; adaptive
-    execution could only switch to a broadcast after both sides had been
-    shuffled. Beyond the bound it stays a shuffle join."""
-    from .lineage import materialize
-    return bounded_broadcast(materialize(df), max_rows)
-
+    """A per-group table (one row per group, or per group and fold) that is
+    joined back to every row: broadcast if it has at most ``max_rows`` rows,
+    so the large side streams through a broadcast hash join without being
+    shuffled. (Adaptive execution could only switch to a broadcast after
+    both sides had been shuffled.)
+
+    The table is persisted while its size is checked, so the check and the
+    broadcast compute it once; it is built from already checkpointed or
+    aggregated rows, so a lost cached block is recomputed from a short
+    lineage. Beyond the bound the cache is dropped and the join stays a
+    shuffle join.
+    """
+    from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if row_count_at_most(cached, max_rows):
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
