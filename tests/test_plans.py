@@ -154,3 +154,14 @@ def test_checkpoint_folder_is_stable_across_calls(spark):
     from tablewise.session import checkpoint_dir
     first = checkpoint_dir(spark)
     assert all(checkpoint_dir(spark) == first for _ in range(5))
+
+
+def test_per_group_broadcast_only_below_the_bound(spark):
+    from tablewise.plans.broadcast import broadcast_per_group
+    small = spark.range(10).withColumn("x", F.col("id") * 2)
+    big = spark.range(1000).withColumn("x", F.col("id") * 2)
+    hinted = broadcast_per_group(small, max_rows=10)
+    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
+    assert sorted(r.x for r in hinted.collect()) == [2 * i for i in range(10)]
+    kept = broadcast_per_group(big, max_rows=999)
+    assert kept is big and not big.is_cached
