@@ -5,8 +5,9 @@ are too short or mostly repeat themselves. On top of them, ratio rules reject
 documents above a cutoff, and each cutoff is chosen on labelled documents so
 that, with confidence 1 - delta over all strata, rules and candidate cutoffs
 together, it rejects at most a share alpha / (number of rules) of the good
-documents of its stratum (exact one-sided binomial bound, Bonferroni
-correction). A stratum with too few labelled documents gets no cutoff: its
+documents of its stratum: exact one-sided binomial bounds, tested from the
+lenient to the strict cutoff until one fails (fixed sequence), with a
+Bonferroni correction over strata and rules. A stratum with too few labelled documents gets no cutoff: its
 documents are only held to the base rules.
 
 Empty and null texts have no words and fail the base rules. Repeated rows are
@@ -124,18 +125,27 @@ def choose(counts: list[tuple[str | None, str, float, int, int, int]],
     """Of the certified cutoffs of each stratum and rule, the one that
     rejects the most bad documents less the good ones; ties go to the more
     lenient. ``counts``: (stratum, rule, cutoff, good documents, good
-    rejected, bad rejected)."""
-    rules = len({r for _, r, *_ in counts}) or 1
-    level = delta / max(1, len(counts))
-    best: dict[tuple[str | None, str], tuple[int, float]] = {}
-    for stratum, rule, cutoff, good, good_rejected, bad_rejected in counts:
-        gain = bad_rejected - good_rejected
-        if gain > 0 and certified(good_rejected, good, alpha / rules, level):
-            best[stratum, rule] = max(best.get((stratum, rule), (0, 0.0)), (gain, cutoff))
-    return Thresholds({k: c for k, (_, c) in best.items()})
-
-
-def fit(features: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05) -> Thresholds:
+    rejected, bad rejected), the cutoffs of a stratum and rule from lenient
+    to strict."""
+    tests: dict[tuple[str | None, str], list[tuple[float, int, int, int]]] = {}
+    for stratum, rule, *rest in counts:
+        tests.setdefault((stratum, rule), []).append(tuple(rest))
+    rules = len({r for _, r in tests}) or 1
+    found: dict[tuple[str | None, str], float] = {}
+    for key, sequence in tests.items():
+        best = 0
+        for cutoff, good, good_rejected, bad_rejected in sequence:
+            # Fixed sequence: the first cutoff that fails ends the testing,
+            # so the cutoffs of one sequence share one error level.
+            if not certified(good_rejected, good, alpha / rules, delta / len(tests)):
+                break
+            if bad_rejected - good_rejected > best:
+                best = bad_rejected - good_rejected
+                found[key] = cutoff
+    return Thresholds(found)
+
+
+def fit(features: DataFrame, labels: DataFrame, alpha: float = 0.05, delta: float = 0.05) -> Thresholds:
     """Thresholds from the labelled rows of ``features``. Only documents that
     pass the base rules count. What reaches the driver is one row per
     stratum (of the 1,000 strata with the most labelled documents; others
@@ -166,14 +176,14 @@ def verdict(features: DataFrame, thresholds: Thresholds) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang",
-                  alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
+                  alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
     """One row per document: doc_id, stratum, the counts, base_failed, kept."""
     features = materialize(with_counts(docs, stratum))
     return verdict(features, fit(features, labels, alpha, delta))
 
 
 def passing(docs: DataFrame, labels: DataFrame, stratum: str = "lang",
-            alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
+            alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they
     are. The counts are made twice, once to fit and once beside the text, so
     no text is shuffled."""

@@ -29,3 +29,21 @@ def op10_quality_rules(spark, sf_dir):
     out = quality_rules(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
+
+
+@query
+def op1_token_blocks(spark, sf_dir):
+    """Token ids of every document, written in packed blocks and read back."""
+    from pyspark.sql import functions as F
+
+    from .token_blocks import fresh_path, read_tokens, write_tokens
+    path = fresh_path(spark, "tokens")
+    write_tokens(load(spark, sf_dir, "documents"), path)
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op7_best_fit_packing(spark, sf_dir):
+    """Place of every piece of every document in packed sequences."""
+    from .packing import pack
+    return pack(load(spark, sf_dir, "documents"))
