@@ -47,3 +47,11 @@ def op7_best_fit_packing(spark, sf_dir):
     """Place of every piece of every document in packed sequences."""
     from .packing import pack
     return pack(load(spark, sf_dir, "documents"))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    from .toxicity import toxicity
+    return toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")) \
+        .select("doc_id", "held_out", "score", "predicted")
