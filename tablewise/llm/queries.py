@@ -55,3 +55,10 @@ def op9_toxicity(spark, sf_dir):
     from .toxicity import toxicity
     return toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")) \
         .select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op5_quality_mil(spark, sf_dir):
+    """Quality score of every document."""
+    from .quality_mil import quality_mil
+    return quality_mil(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
