@@ -62,3 +62,13 @@ def op5_quality_mil(spark, sf_dir):
     """Quality score of every document."""
     from .quality_mil import quality_mil
     return quality_mil(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query
+def op6_piece_codec(spark, sf_dir):
+    """SentencePiece ids of every document, with parity and round trip."""
+    from pyspark.sql import functions as F
+
+    from .pieces import encode_texts
+    return encode_texts(load(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "parity", "round_trip")
