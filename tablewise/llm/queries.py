@@ -72,3 +72,42 @@ def op6_piece_codec(spark, sf_dir):
     from .pieces import encode_texts
     return encode_texts(load(spark, sf_dir, "documents")) \
         .select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "parity", "round_trip")
+
+
+def lines_of(text):
+    from pyspark.sql import functions as F
+    return F.size(F.split(F.coalesce(text, F.lit("")), "\n")).cast("long")
+
+
+@query
+def op8_line_dedup(spark, sf_dir):
+    """Lines of every document, how many go with repeated three-line
+    windows, and the SHA-256 of the text that is left."""
+    from pyspark.sql import functions as F
+
+    from .line_dedup import dedup_lines
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", lines_of(F.col("text")).alias("n_lines"))
+    gone = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long")
+    return dedup_lines(docs).select("doc_id", "n_lines", gone.alias("n_removed"),
+                                    F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op8_line_dedup"] = """
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+w AS (SELECT doc_id, pos, array_to_string(ls[pos + 1:pos + 3], chr(10)) AS win
+      FROM (SELECT doc_id, ls, unnest(range(0, len(ls) - 2)) AS pos FROM l)),
+f AS (SELECT win, min(struct_pack(d := doc_id, p := pos)) AS first FROM w GROUP BY win HAVING count(*) > 1),
+later AS (
+  SELECT doc_id, CASE WHEN first.d = doc_id THEN greatest(pos, first.p + 3) ELSE pos END AS a, pos + 2 AS b
+  FROM w JOIN f USING (win) WHERE first.d <> doc_id OR first.p <> pos),
+gone AS (SELECT DISTINCT doc_id, line FROM (SELECT doc_id, unnest(range(a, b + 1)) AS line FROM later)),
+g AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+x AS (SELECT doc_id, unnest(ls) AS line_text, unnest(range(0, len(ls))) AS line FROM l),
+kept AS (
+  SELECT x.doc_id, string_agg(line_text, chr(10) ORDER BY x.line) AS t
+  FROM x LEFT JOIN gone ON x.doc_id = gone.doc_id AND x.line = gone.line
+  WHERE gone.line IS NULL GROUP BY x.doc_id)
+SELECT l.doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM l LEFT JOIN g USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
