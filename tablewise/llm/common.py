@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -31,13 +32,26 @@ def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.xxhash64("text").alias("ksum"))
 
 
+def map_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+               schema: str) -> DataFrame:
+    """``df.mapInArrow`` whose Python workers can import this package from
+    where the driver did, whatever folder they start in. (On a cluster the
+    package is installed or sent along with --py-files.)"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = df.sparkSession.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return df.mapInArrow(fn, schema)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``fn`` to each Arrow batch of ``df``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
-    return df.mapInArrow(run, schema)
+    return map_stream(df, run, schema)
 
 
 def train_fold(doc_id: Column | str) -> Column:

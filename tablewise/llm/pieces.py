@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import texts
+from .common import map_stream, texts
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
@@ -208,7 +208,8 @@ def encode_texts(docs: DataFrame, model: str | None = None, threads: int = 2) ->
                     [doc_ids.slice(a, b - a), pa.array(ids, pa.binary()),
                      pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(same), pa.array(back)],
                     ["doc_id", "ids", "n_tokens", "parity", "round_trip"])
-    return texts(docs).mapInArrow(run, "doc_id long, ids binary, n_tokens long, parity boolean, round_trip boolean")
+    return map_stream(texts(docs), run,
+                      "doc_id long, ids binary, n_tokens long, parity boolean, round_trip boolean")
 
 
 def decode_ids(encoded: DataFrame, model: str | None = None, threads: int = 2) -> DataFrame:
@@ -221,4 +222,4 @@ def decode_ids(encoded: DataFrame, model: str | None = None, threads: int = 2) -
             ids = [b or b"" for b in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(c.decode(ids), pa.string())],
                                              ["doc_id", "text"])
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return map_stream(encoded.select("doc_id", "ids"), run, "doc_id long, text string")

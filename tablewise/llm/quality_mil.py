@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_labels, texts, train_fold
+from .common import binary_labels, map_stream, texts, train_fold
 
 PASSAGE = 512
 PAIRS = 256
@@ -230,7 +230,7 @@ def score(docs: DataFrame, model: MilModel | None, fallback: float = 0.5) -> Dat
             s = np.full(len(raw), fallback) if model is None else score_texts(model, raw)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s, pa.float64())],
                                              ["doc_id", "score"])
-    return texts(docs).mapInArrow(run, "doc_id long, score double")
+    return map_stream(texts(docs), run, "doc_id long, score double")
 
 
 def quality_mil(docs: DataFrame, labels: DataFrame, per_class: int = 2000,

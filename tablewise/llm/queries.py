@@ -111,3 +111,10 @@ SELECT l.doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(coalesce(g.n, 0) AS BI
        sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM l LEFT JOIN g USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op3_embedding_dedup(spark, sf_dir):
+    """Links and component of every vector at cosine 0.95 or more."""
+    from .vector_dedup import near_duplicate_vectors
+    return near_duplicate_vectors(load(spark, sf_dir, "embeddings"))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import map_batches, texts
+from .common import map_batches, map_stream, texts
 from .tokens import default_vocabulary, encoder
 
 BLOCK = 128
@@ -179,7 +179,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
         if ids:
             yield flush()
     # The payload is packed already; compressing it again would cost time only.
-    ordered.mapInArrow(pages, PAGE_SCHEMA).write.option("compression", "none").parquet(path)
+    map_stream(ordered, pages, PAGE_SCHEMA).write.option("compression", "none").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
