@@ -170,8 +170,8 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = 4096,
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         enc = encoder(vocabulary)
         doc_ids, piece, start, length, ids = [], [], [], [], []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            b = enc.ids(text) + end
+        for doc_id, b in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text").to_pylist())):
+            b += end
             for k, at in enumerate(range(0, len(b), 4 * capacity)):
                 part = b[at:at + 4 * capacity]
                 doc_ids.append(doc_id)

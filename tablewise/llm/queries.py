@@ -118,3 +118,24 @@ def op3_embedding_dedup(spark, sf_dir):
     """Links and component of every vector at cosine 0.95 or more."""
     from .vector_dedup import near_duplicate_vectors
     return near_duplicate_vectors(load(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_suffix_dedup(spark, sf_dir):
+    """Bytes of every document covered by repeated 200-byte strings, and the
+    SHA-256 of the rest."""
+    from pyspark.sql import functions as F
+
+    from .suffix_dedup import remove_repeats
+    out = remove_repeats(load(spark, sf_dir, "documents").select("doc_id", "text"), 200)
+    n = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return out.select("row.doc_id", "n_bytes", n.alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op4_ngram_join(spark, sf_dir):
+    """Shingle-set size and component of every document at Jaccard 0.9 of
+    three-word shingles."""
+    from .ngram_join import jaccard_components
+    return jaccard_components(load(spark, sf_dir, "documents"), k=3, num=90, den=100)

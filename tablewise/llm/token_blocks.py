@@ -166,8 +166,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
                  pa.array([payload], pa.binary())],
                 ["file", "page", "first", "n_ids", "doc_ids", "lens", "starts", "payload"])
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                b = enc.ids(text) + end
+            for doc_id, b in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text").to_pylist())):
+                b += end
                 ids.append(doc_id)
                 lens.append(len(b) // 4)
                 parts.append(b)

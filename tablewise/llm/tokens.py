@@ -9,47 +9,100 @@ ASCII letters are lower-cased before the lookup (the vocabulary's normaliser
 does so too) unless the text holds "<|", which starts the strings of special
 tokens; they are matched before normalisation.
 
-A word of ASCII letters followed by plain punctuation has the ids of both
-parts: the vocabulary's splitting rule ends a token between a letter and
-punctuation other than an apostrophe.
+A word of letters followed by plain punctuation has the ids of both parts:
+the vocabulary's splitting rule ends a token between a letter and punctuation
+other than an apostrophe. So what is encoded and kept for long is the part;
+words as they stand are a second, cheaper cache over it. New parts of Latin
+letters only are encoded many at once: each is one unit of the splitting
+rule, and its last token, and no other, is one of the vocabulary's word-end
+tokens.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
 
-CACHE_WORDS = 600_000
+CACHE_PARTS = 500_000
+CACHE_WORDS = 250_000
+SLICE_BYTES = 4 << 20
+JOINED = 2000
 # Punctuation without the apostrophe, which can start a contraction.
 SUFFIX = b".,;:!?%&*$#|"
-LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+LAST_LATIN = 0xC9  # no larger byte: all code points are below U+0280
+WORD_END = "</w>"
 
 
-class WordEncoder(dict):
-    """Maps a word's bytes to its ids as little-endian uint32 bytes."""
+class WordEncoder:
+    """Ids of texts as little-endian uint32 bytes."""
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> bytes:
-        stem = word.rstrip(SUFFIX)
-        if 0 < len(stem) < len(word) and stem[-1] in LETTERS:
-            ids = self[stem] + self[word[len(stem):]]
-        else:
-            e = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False)
-            ids = np.array(e.ids, dtype="<u4").tobytes()
-        self[word] = ids
-        return ids
-
-    def ids(self, text: bytes) -> bytes:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        words = text.split() if b"<|" in text else text.lower().split()
-        return b"".join(map(self.__getitem__, words))
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for w, i in vocabulary.items() if w.endswith(WORD_END)]] = True
+        self.parts: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _learn_letters(self, parts: list[bytes]) -> None:
+        for at in range(0, len(parts), JOINED):
+            some = parts[at:at + JOINED]
+            ids = self._encode(" ".join([w.decode() for w in some]))
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                self.parts.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends], ends))))
+            else:  # some part became several units when it was normalised
+                self.parts.update((w, self._encode(w.decode()).tobytes()) for w in some)
+
+    def _learn(self, words: set[bytes]) -> None:
+        letters, split = set(), []
+        for w in words:
+            stem = w.rstrip(SUFFIX)
+            if stem in self.parts:
+                split.append((w, stem))
+            elif stem and max(stem) <= LAST_LATIN and (text := stem.decode("utf-8", "replace")).isalpha() \
+                    and text.lower().isalpha():
+                letters.add(stem)
+                split.append((w, stem))
+            else:
+                self.words[w] = self._encode(w.decode("utf-8", "replace")).tobytes()
+        self._learn_letters(sorted(letters))
+        for w, stem in split:
+            ids = self.parts[stem]
+            if len(stem) < len(w):
+                tail = w[len(stem):]
+                if tail not in self.words:
+                    self.words[tail] = self._encode(tail.decode()).tobytes()
+                ids += self.words[tail]
+            self.words[w] = ids
+
+    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text, in order."""
+        at, size = 0, 0
+        for i, t in enumerate(texts):
+            size += len(t)
+            if size < SLICE_BYTES and i < len(texts) - 1:
+                continue
+            if len(self.parts) > CACHE_PARTS:
+                self.parts.clear()
+            if len(self.words) > CACHE_WORDS:
+                self.words.clear()
+            words = [t.split() if b"<|" in t else t.lower().split() for t in texts[at:i + 1]]
+            new = set().union(*words).difference(self.words)
+            if new:
+                self._learn(new)
+            get = self.words.__getitem__
+            for w in words:
+                yield b"".join(map(get, w))
+            at, size = i + 1, 0
 
 
 _encoders: dict[str, WordEncoder] = {}
