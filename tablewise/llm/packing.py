@@ -189,7 +189,9 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = 4096,
 def place(lengths: DataFrame, capacity: int = 4096) -> DataFrame:
     """Give every row of ``lengths`` (a column ``length`` from 1 to
     ``capacity``) a ``sequence_id`` and an ``offset``."""
-    ranked = materialize(global_row_index(lengths, [F.desc("length")], "_rank"))
+    # Written first: finding the ranges reads the rows, and the rows may be
+    # costly to make.
+    ranked = materialize(global_row_index(materialize(lengths), [F.desc("length")], "_rank"))
     histogram = {r["length"]: r["n"] for r in  # at most ``capacity`` rows
                  ranked.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = plan(histogram, capacity)
