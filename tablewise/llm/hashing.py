@@ -46,7 +46,7 @@ def span_hash(p: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mixed((p[end] - p[start]) * powers(True, len(p))[start])
 
 
-def _pieces(text: bytes):
+def pieces(text: bytes):
     """The text in pieces of about CHUNK bytes that end at white space."""
     at = 0
     while at < len(text):
@@ -59,7 +59,7 @@ def _pieces(text: bytes):
 def word_hashes(text: bytes, lower: bool = True) -> np.ndarray:
     """Hash of each word (no ASCII white space inside), A-Z lower-cased."""
     out = []
-    for piece in _pieces(text):
+    for piece in pieces(text):
         b = np.frombuffer(piece, np.uint8)
         if lower:
             b = np.where((b >= 65) & (b <= 90), b + np.uint8(32), b)

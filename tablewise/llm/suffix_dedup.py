@@ -316,8 +316,11 @@ def remove_repeats(docs: DataFrame, length: int = 200, hot: int = 20_000) -> Dat
 
 def without_repeats(docs: DataFrame, length: int = 200, hot: int = 20_000) -> DataFrame:
     """``docs`` with the repeated windows cut out of ``text``. Bytes of a
-    character that was cut through are dropped."""
+    character that was cut through are dropped; a null text becomes empty."""
+    def decode(batch: pa.RecordBatch) -> pa.RecordBatch:
+        text = [b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(text, pa.string())], ["row", "text"])
     out = remove_repeats(docs, length, hot)
-    text = F.coalesce(F.expr("try_validate_utf8(cast(kept as string))"),
-                      F.expr("cast(kept as string)"))
-    return out.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    row = out.schema["row"].dataType.simpleString()
+    out = map_batches(out.select("row", "kept"), decode, f"row {row}, text string")
+    return out.select(*["text" if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

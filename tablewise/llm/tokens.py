@@ -1,21 +1,20 @@
 """Token ids of whole texts with the tokenizers library.
 
-The vocabulary in use drops white space and never forms a token across it, so
-a text's ids are the ids of its white-space separated words one after the
-other. Words recur, so each Python worker encodes a word once and keeps its
-ids; the cache has a fixed size and starts anew when it is full.
-
-ASCII letters are lower-cased before the lookup (the vocabulary's normaliser
-does so too) unless the text holds "<|", which starts the strings of special
-tokens; they are matched before normalisation.
-
-A word of letters followed by plain punctuation has the ids of both parts:
-the vocabulary's splitting rule ends a token between a letter and punctuation
-other than an apostrophe. So what is encoded and kept for long is the part;
-words as they stand are a second, cheaper cache over it. New parts of Latin
-letters only are encoded many at once: each is one unit of the splitting
-rule, and its last token, and no other, is one of the vocabulary's word-end
-tokens.
+The vocabulary in use drops white space and never forms a token across it,
+and its splitting rule ends a token between a letter and punctuation other
+than an apostrophe. So a text's ids are the ids of its parts, cut at these
+places, one after the other. Parts recur: each Python worker encodes a part
+once and keeps its ids under the part's 64-bit hash, in a store of fixed size
+that starts anew when it is full. Cutting, looking up and putting together
+are array operations over a few megabytes of text.
+
+ASCII letters are lower-cased first (the vocabulary's normaliser does so
+too). Texts that hold "<|", which starts the strings of special tokens, are
+encoded as they stand: those strings are matched before normalisation.
+
+New parts of Latin letters only are encoded many at once: each is one unit of
+the splitting rule, and its last token, and no other, is one of the
+vocabulary's word-end tokens.
 """
 
 from __future__ import annotations
@@ -25,12 +24,14 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CACHE_PARTS = 500_000
-CACHE_WORDS = 250_000
-SLICE_BYTES = 4 << 20
+from .hashing import SPACE, pieces, prefix_hashes, span_hash
+
+STORE_PARTS = 500_000
+SLICE_BYTES = 1 << 20
 JOINED = 2000
 # Punctuation without the apostrophe, which can start a contraction.
-SUFFIX = b".,;:!?%&*$#|"
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[list(b".,;:!?%&*$#|")] = True
 LAST_LATIN = 0xC9  # no larger byte: all code points are below U+0280
 WORD_END = "</w>"
 
@@ -45,64 +46,97 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for w, i in vocabulary.items() if w.endswith(WORD_END)]] = True
-        self.parts: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[int, int] = {}  # hash of a part -> its number
+        self.ids = np.empty(1 << 16, "<u4")
+        self.first = np.zeros(1, np.int64)  # part n has ids[first[n]:first[n + 1]]
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _learn_letters(self, parts: list[bytes]) -> None:
-        for at in range(0, len(parts), JOINED):
-            some = parts[at:at + JOINED]
-            ids = self._encode(" ".join([w.decode() for w in some]))
+    def _learn(self, hashes: list[int], parts: list[bytes]) -> None:
+        joined, single = [], []
+        for i, w in enumerate(parts):
+            if w.isalpha():  # ASCII letters
+                joined.append(i)
+                continue
+            text = w.decode("utf-8", "replace")
+            if max(w) <= LAST_LATIN and text.isalpha() and text.lower().isalpha():
+                joined.append(i)
+            else:
+                single.append(i)
+        arrays, lengths, order = [], [], []
+        for at in range(0, len(joined), JOINED):
+            some = joined[at:at + JOINED]
+            ids = self._encode(" ".join([parts[i].decode() for i in some]))
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(some) and ends[-1] == len(ids):
-                raw, ends = ids.tobytes(), (4 * ends).tolist()
-                self.parts.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends], ends))))
+                arrays.append(ids)
+                lengths += np.diff(ends, prepend=0).tolist()
+                order += some
             else:  # some part became several units when it was normalised
-                self.parts.update((w, self._encode(w.decode()).tobytes()) for w in some)
-
-    def _learn(self, words: set[bytes]) -> None:
-        letters, split = set(), []
-        for w in words:
-            stem = w.rstrip(SUFFIX)
-            if stem in self.parts:
-                split.append((w, stem))
-            elif stem and max(stem) <= LAST_LATIN and (text := stem.decode("utf-8", "replace")).isalpha() \
-                    and text.lower().isalpha():
-                letters.add(stem)
-                split.append((w, stem))
-            else:
-                self.words[w] = self._encode(w.decode("utf-8", "replace")).tobytes()
-        self._learn_letters(sorted(letters))
-        for w, stem in split:
-            ids = self.parts[stem]
-            if len(stem) < len(w):
-                tail = w[len(stem):]
-                if tail not in self.words:
-                    self.words[tail] = self._encode(tail.decode()).tobytes()
-                ids += self.words[tail]
-            self.words[w] = ids
+                single += some
+        for i in single:
+            arrays.append(self._encode(parts[i].decode("utf-8", "replace")))
+            lengths.append(len(arrays[-1]))
+            order.append(i)
+        n = len(self.number)
+        self.number.update(zip([hashes[i] for i in order], range(n, n + len(order))))
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(lengths)))
+        old, total = int(self.first[n]), int(self.first[-1])
+        if total > len(self.ids):
+            self.ids = np.concatenate((self.ids[:old], np.empty(2 * total - old, "<u4")))
+        self.ids[old:total] = np.concatenate(arrays)
+
+    def _slice(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each of a few texts without special strings."""
+        if len(self.number) > STORE_PARTS:
+            self._forget()
+        buf = np.frombuffer(b"\n".join(texts).lower(), np.uint8)
+        space = SPACE[buf]
+        letter = (buf >= 97) & (buf <= 122)
+        cut = np.concatenate(([True], space[:-1] | (letter[:-1] & PUNCTUATION[buf[1:]])))
+        start = np.flatnonzero(cut & ~space)
+        stop = np.flatnonzero(np.append(cut[1:] | space[1:], True) & ~space) + 1
+        out = [b""] * len(texts)
+        if not len(start):
+            return out
+        hashes, at, which = np.unique(span_hash(prefix_hashes(buf), start, stop),
+                                      return_index=True, return_inverse=True)
+        known = hashes.tolist()
+        number = np.array([self.number.get(h, -1) for h in known])
+        new = np.flatnonzero(number < 0).tolist()
+        if new:
+            raw, a, b = buf.tobytes(), start[at].tolist(), stop[at].tolist()
+            self._learn([known[i] for i in new], [raw[a[i]:b[i]] for i in new])
+            number[new] = [self.number[known[i]] for i in new]
+        part = number[which]
+        count = self.first[part + 1] - self.first[part]
+        before = np.concatenate(([0], np.cumsum(count)))
+        ids = self.ids[np.repeat(self.first[part] - before[:-1], count) + np.arange(before[-1])].tobytes()
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        edge = 4 * before[np.searchsorted(start, np.concatenate(([0], ends)))]
+        return [ids[x:y] for x, y in zip(edge[:-1].tolist(), edge[1:].tolist())]
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text, in order."""
         at, size = 0, 0
         for i, t in enumerate(texts):
-            size += len(t)
-            if size < SLICE_BYTES and i < len(texts) - 1:
-                continue
-            if len(self.parts) > CACHE_PARTS:
-                self.parts.clear()
-            if len(self.words) > CACHE_WORDS:
-                self.words.clear()
-            words = [t.split() if b"<|" in t else t.lower().split() for t in texts[at:i + 1]]
-            new = set().union(*words).difference(self.words)
-            if new:
-                self._learn(new)
-            get = self.words.__getitem__
-            for w in words:
-                yield b"".join(map(get, w))
-            at, size = i + 1, 0
+            if len(t) > SLICE_BYTES or b"<|" in t:
+                yield from self._slice(texts[at:i])
+                if b"<|" in t:
+                    yield self._encode(t.decode("utf-8", "replace")).tobytes()
+                else:  # a long text in pieces that end at white space
+                    yield b"".join(self._slice([p])[0] for p in pieces(t))
+                at, size = i + 1, 0
+            elif size + len(t) > SLICE_BYTES:
+                yield from self._slice(texts[at:i])
+                at, size = i, len(t)
+            else:
+                size += len(t)
+        yield from self._slice(texts[at:])
 
 
 _encoders: dict[str, WordEncoder] = {}
