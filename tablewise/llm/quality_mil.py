@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_labels, map_stream, texts, train_fold
+from .common import labelled_sample, map_stream, texts, train_fold
 
 PASSAGE = 512
 PAIRS = 256
@@ -202,26 +202,6 @@ def train(rows: list[tuple[bytes, int]], good_share: float, hidden: int = 24, at
     return MilModel(**f, out_b=float(p["out_b"][0] + odds))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, name: str, per_class: int,
-                  sample_bytes: int) -> tuple[list[tuple[bytes, int]], float]:
-    """At most ``per_class`` labelled texts of either label outside the
-    held-out fold, in a fixed pseudo-random order, and the share of label 1
-    among all training labels."""
-    known = binary_labels(labels, name).where(train_fold("doc_id") != 0)
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(counts.values())
-    d = texts(docs).where(F.col("doc_id").isNotNull() & (train_fold("doc_id") != 0)
-                          & (F.length("text") <= sample_bytes))
-    rows: list[tuple[bytes, int]] = []
-    for label in (0, 1):
-        # Twice the wanted ids, as some texts may be missing or too long; ids only travel.
-        ids = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_class)
-        picked = (d.join(F.broadcast(ids), "doc_id")
-                  .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(per_class))
-        rows += [(bytes(r["text"]), r["label"]) for r in picked.select("text", "label").collect()]
-    return rows, counts.get(1, 0) / total if total else 0.5
-
-
 def score(docs: DataFrame, model: MilModel | None, fallback: float = 0.5) -> DataFrame:
     """``(doc_id, score)`` of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +216,7 @@ def score(docs: DataFrame, model: MilModel | None, fallback: float = 0.5) -> Dat
 def quality_mil(docs: DataFrame, labels: DataFrame, per_class: int = 2000,
                 sample_bytes: int = 1 << 14) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` of every document."""
-    rows, share = training_rows(docs, labels, "quality", per_class, sample_bytes)
+    rows, share = labelled_sample(docs, labels, "quality", per_class, sample_bytes)
     both = len({label for _, label in rows}) == 2
     model = train(rows, share) if both else None
     return score(docs, model, share).select(

@@ -6,7 +6,9 @@
    an occurrence at least). Its weight is the lower end of the interval of
    ``z`` standard deviations, and it counts if that passes ``min_weight``;
    every other word has the same small negative score. Occurrences are
-   counted once per document, so one long text cannot make a word toxic.
+   counted once per document, so one long text cannot make a word toxic. The
+   first PREFIX bytes of longer words are weighed in the same way and stand
+   in for words that have no weight of their own.
 2. Segments. All maximal scoring segments of a text are found in one pass
    (Ruzzo and Tompa). Runs of unlisted words are one negative item, so the
    pass is linear in the listed words.
@@ -19,9 +21,9 @@
 4. Score. Sum over the significant segments of lambda s - ln(K n), put
    through a logistic curve fitted on the training documents.
 
-The model is fitted on a bounded sample of labelled rows (``sample_rows``,
-by a hash of the id, shorter than ``sample_bytes``); every text is scored
-whole. Defined cases: a null or empty text scores as a text without segments;
+The model is fitted on a bounded sample of labelled rows (``per_class`` of
+each label, by a hash of the id, none longer than ``sample_bytes``), its
+score moved to the labels' true odds; every text is scored whole. Defined cases: a null or empty text scores as a text without segments;
 without usable labels of both kinds every text scores 0; repeated rows are
 scored each.
 """
@@ -37,15 +39,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_labels, map_batches, texts, train_fold
+from .common import labelled_sample, map_batches, texts, train_fold
 
 TRIM = b".,;:!?\"'()[]"
+PREFIX, LONGER = 4, 6  # bytes of a prefix; of the shortest word that has one
 NO_SEGMENT = -1.0  # feature of a text without a significant segment
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
     weights: dict[bytes, float]
+    prefixes: dict[bytes, float]
     gap: float  # score of an unlisted word
     lam: float
     k: float
@@ -95,8 +99,10 @@ def segments(hits: list[tuple[int, float]], gap: float) -> list[tuple[int, int,
 
 
 def text_segments(model: ToxicityModel, text: bytes) -> tuple[int, list[tuple[int, int, float]]]:
-    words, get = word_list(text), model.weights
-    return len(words), segments([(i, get[w]) for i, w in enumerate(words) if w in get], model.gap)
+    words, own, prefix = word_list(text), model.weights, model.prefixes
+    hits = [(i, own[w] if w in own else prefix[w[:PREFIX]]) for i, w in enumerate(words)
+            if w in own or w[:PREFIX] in prefix and len(w) >= LONGER]
+    return len(words), segments(hits, model.gap)
 
 
 def feature(model: ToxicityModel, n_words: int, found: list[tuple[int, int, float]]) -> float:
@@ -135,22 +141,25 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit_model(rows: list[tuple[bytes, int]], prior: float = 500.0, z: float = 1.28, min_weight: float = 3.2,
               gap: float = -0.05, max_expected: float = 0.05) -> ToxicityModel | None:
     """The model from (text, label) rows; None without both labels."""
-    counts, words = (Counter(), Counter()), [0, 0]
+    counts, starts, words = (Counter(), Counter()), (Counter(), Counter()), [0, 0]
     for text, label in rows:
         w = word_list(text)
-        counts[label].update(set(w))
+        once = set(w)
+        counts[label].update(once)
+        starts[label].update({x[:PREFIX] for x in once if len(x) >= LONGER})
         words[label] += len(w)
-    other, toxic = counts
-    if not other or not toxic:
+    if not counts[0] or not counts[1]:
         return None
-    weights = word_weights(toxic, other, prior, z, min_weight)
-    shares = [(other[w] + 0.5) / words[0] for w in weights]
-    lam = decay(list(weights.values()), shares, gap, max(0.0, 1 - sum(shares))) if weights else 1.0
-    model = ToxicityModel(weights, gap, lam, 1.0, 1.0, 0.0, max_expected)
+    weights = word_weights(counts[1], counts[0], prior, z, min_weight)
+    prefixes = word_weights(starts[1], starts[0], prior, z, min_weight)
+    every = [*weights.values(), *prefixes.values()]
+    shares = [(counts[0][w] + 0.5) / words[0] for w in weights] + [(starts[0][w] + 0.5) / words[0] for w in prefixes]
+    lam = decay(every, shares, gap, max(0.0, 1 - sum(shares))) if every else 1.0
+    model = ToxicityModel(weights, prefixes, gap, lam, 1.0, 1.0, 0.0, max_expected)
     done = [(*text_segments(model, text), label) for text, label in rows]
     # K: a text of n words without toxicity has K n e^(-lambda s) segments
     # above s; matched at the smallest weight, half a segment added.
-    least = min(weights.values(), default=1.0)
+    least = min(every, default=1.0)
     above = 0.5 + sum(s >= least for _, f, label in done if not label for _, _, s in f)
     model = replace(model, k=above / words[0] * math.exp(lam * least))
     x = np.array([feature(model, m, f) for m, f, _ in done])
@@ -158,17 +167,6 @@ def fit_model(rows: list[tuple[bytes, int]], prior: float = 500.0, z: float = 1.
     return replace(model, slope=max(slope, 0.0), shift=shift)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, name: str, sample_rows: int,
-                  sample_bytes: int) -> list[tuple[bytes, int]]:
-    """At most ``sample_rows`` labelled texts outside the held-out fold, each
-    of at most ``sample_bytes`` bytes, in a fixed pseudo-random order."""
-    d = texts(docs).where(F.col("doc_id").isNotNull() & (train_fold("doc_id") != 0)
-                          & (F.length("text") <= sample_bytes))
-    picked = (d.join(binary_labels(labels, name).where(train_fold("doc_id") != 0), "doc_id")
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows))
-    return [(bytes(r["text"]), r["label"]) for r in picked.select("text", "label").collect()]
-
-
 def score(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
     """``(doc_id, score, spans)``: spans are the significant segments as
     (first word, words, normalised score)."""
@@ -193,10 +191,15 @@ def score(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
                        "doc_id long, score double, spans array<struct<first: int, words: int, normal: double>>")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000,
-             sample_bytes: int = 1 << 16) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 4000,
+             sample_bytes: int = 1 << 14) -> DataFrame:
     """``(doc_id, held_out, score, predicted, spans)`` of every document."""
-    model = fit_model(training_rows(docs, labels, "toxic", sample_rows, sample_bytes))
+    rows, share = labelled_sample(docs, labels, "toxic", per_class, sample_bytes)
+    model = fit_model(rows)
+    if model:
+        sampled = sum(label for _, label in rows) / len(rows)
+        odds = share * (1 - sampled) / ((1 - share) * sampled)
+        model = replace(model, shift=model.shift + math.log(odds))
     return score(docs, model).select(
         "doc_id", (train_fold("doc_id") == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
