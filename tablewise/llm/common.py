@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 # ASCII white space: the only characters that separate words here.
 SPACES = b" \t\n\r\x0b\x0c"
 
+# Bytes of an Arrow batch that are worked on at once.
+SLICE_BYTES = 4 << 20
+
 # Stands for a null id where ids are joined or ordered (null sorts first).
 NULL_ID = -(1 << 63)
 
@@ -45,12 +48,21 @@ def map_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(fn, schema)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about SLICE_BYTES: a batch holds
+    thousands of rows, and what is made of them should not be in memory at
+    once."""
+    step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch of ``df``."""
+    """Apply ``fn`` to each slice of the Arrow batches of ``df``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            for part in slices(batch):
+                yield fn(part)
     return map_stream(df, run, schema)
 
 

@@ -25,18 +25,15 @@ are encoded each; bytes that are no UTF-8 are replaced before encoding.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_stream, texts
+from .common import map_batches, texts
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
 CACHE_CHUNKS = 1_000_000
-SLICE_BYTES = 2 << 20
 # Fixed values of the model format: model and piece types.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -180,46 +177,30 @@ def codec(path: str, threads: int = 2) -> PieceCodec:
     return _codecs[path, threads]
 
 
-def slices(raw: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about SLICE_BYTES, so that little is held at once."""
-    at, size = 0, 0
-    for i, t in enumerate(raw):
-        size += len(t)
-        if size >= SLICE_BYTES or i == len(raw) - 1:
-            yield at, i + 1
-            at, size = i + 1, 0
-
-
 def encode_texts(docs: DataFrame, model: str | None = None, threads: int = 2) -> DataFrame:
     """``(doc_id, ids, n_tokens, parity, round_trip)``; ``ids`` is binary
     (little-endian uint32)."""
     model = model or default_model()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         c = codec(model, threads)
-        for batch in batches:
-            raw, doc_ids = batch.column("text").to_pylist(), batch.column("doc_id")
-            for a, b in slices(raw):
-                part = [t.decode("utf-8", "replace").encode() for t in raw[a:b]]
-                ids, same = c.encode(part)
-                wanted = [c.clean.normalize_str(t.decode()) for t in part] if c.clean else [t.decode() for t in part]
-                back = [x == y.replace(MARK, " ") for x, y in zip(c.decode(ids), wanted)]
-                yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(a, b - a), pa.array(ids, pa.binary()),
-                     pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(same), pa.array(back)],
-                    ["doc_id", "ids", "n_tokens", "parity", "round_trip"])
-    return map_stream(texts(docs), run,
-                      "doc_id long, ids binary, n_tokens long, parity boolean, round_trip boolean")
+        part = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
+        ids, same = c.encode([t.encode() for t in part])
+        wanted = [(c.clean.normalize_str(t) if c.clean else t).replace(MARK, " ") for t in part]
+        back = [x == y for x, y in zip(c.decode(ids), wanted)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
+             pa.array(same), pa.array(back)], ["doc_id", "ids", "n_tokens", "parity", "round_trip"])
+    return map_batches(texts(docs), run,
+                       "doc_id long, ids binary, n_tokens long, parity boolean, round_trip boolean")
 
 
 def decode_ids(encoded: DataFrame, model: str | None = None, threads: int = 2) -> DataFrame:
     """``(doc_id, text)`` from ``(doc_id, ids)``."""
     model = model or default_model()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(model, threads)
-        for batch in batches:
-            ids = [b or b"" for b in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(c.decode(ids), pa.string())],
-                                             ["doc_id", "text"])
-    return map_stream(encoded.select("doc_id", "ids"), run, "doc_id long, text string")
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = [b or b"" for b in batch.column("ids").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(codec(model, threads).decode(ids), pa.string())],
+                                          ["doc_id", "text"])
+    return map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, text string")

@@ -22,7 +22,6 @@ source and doc_id are no inputs of a score.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, map_stream, texts, train_fold
+from .common import labelled_sample, map_batches, texts, train_fold
 
 PASSAGE = 512
 PAIRS = 256
@@ -204,13 +203,11 @@ def train(rows: list[tuple[bytes, int]], good_share: float, hidden: int = 24, at
 
 def score(docs: DataFrame, model: MilModel | None, fallback: float = 0.5) -> DataFrame:
     """``(doc_id, score)`` of every row."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = batch.column("text").to_pylist()
-            s = np.full(len(raw), fallback) if model is None else score_texts(model, raw)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s, pa.float64())],
-                                             ["doc_id", "score"])
-    return map_stream(texts(docs), run, "doc_id long, score double")
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        raw = batch.column("text").to_pylist()
+        s = np.full(len(raw), fallback) if model is None else score_texts(model, raw)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s, pa.float64())], ["doc_id", "score"])
+    return map_batches(texts(docs), run, "doc_id long, score double")
 
 
 def quality_mil(docs: DataFrame, labels: DataFrame, per_class: int = 2000,

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import map_batches, map_stream, texts
+from .common import map_batches, map_stream, slices, texts
 from .tokens import default_vocabulary, encoder
 
 BLOCK = 128
@@ -165,7 +165,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
                  pa.array([lens], pa.list_(pa.int64())), pa.array([starts], pa.binary()),
                  pa.array([payload], pa.binary())],
                 ["file", "page", "first", "n_ids", "doc_ids", "lens", "starts", "payload"])
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             for doc_id, b in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text").to_pylist())):
                 b += end
                 ids.append(doc_id)

@@ -26,7 +26,7 @@ import numpy as np
 
 from .hashing import SPACE, pieces, prefix_hashes, span_hash
 
-STORE_PARTS = 500_000
+STORE_PARTS = 300_000
 SLICE_BYTES = 1 << 20
 JOINED = 2000
 # Punctuation without the apostrophe, which can start a contraction.

@@ -1,0 +1,136 @@
+"""Token encoder, block format and SentencePiece codec."""
+
+import zlib
+
+import numpy as np
+import pytest
+from helpers import clashing, docs, empty, odd_rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tablewise.llm import pieces, token_blocks, tokens
+
+EDGES = ["", " ", "a", "It's O'Neil's don't 'tis. x'.", "İstanbul İ. ǅ ß ẞ ſ", "<|endoftext|> a<|ENDOFTEXT|>b <| x",
+         "naïve café. É́ é. ́x á.", "日本語。 テスト", "Ω ΟΔΟΣ ΟΔΟΣ. σς", "a1b2 3.14% $5 #tag @x",
+         "\x1c\x1d a\x85b\xa0c d ​", "ŉ ŉ. Ŀ ǰ ĸ", "can't. won't, I'll.", "''s 's. t's's", "\x00a �", "A.B,C;;d%%%e"]
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return tokens.WordEncoder(tokens.default_vocabulary())
+
+
+def whole(encoder, text):
+    return encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_equals_whole_text_encoding(encoder):
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode([t.encode() for t in EDGES])]
+    assert got == [whole(encoder, t) for t in EDGES]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(), max_size=4))
+def test_encoder_any_text(encoder, texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode([t.encode() for t in texts])]
+    assert got == [whole(encoder, t) for t in texts]
+
+
+def test_encoder_forgets_and_cuts_long_texts(monkeypatch):
+    monkeypatch.setattr(tokens, "STORE_PARTS", 5)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 64)
+    e = tokens.WordEncoder(tokens.default_vocabulary())
+    texts = [" ".join(f"word{i} stop." for i in range(n)) for n in (1, 3, 40, 0, 2)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in e.encode([t.encode() for t in texts])] \
+        == [whole(e, t) for t in texts]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2 ** 32 - 1), max_size=400), st.sampled_from([0.5, 0.9, 1.0]))
+def test_blocks_round_trip(ids, share):
+    a = np.array(ids, "<u4")
+    starts, payload = token_blocks.encode_blocks(a, share)
+    assert len(starts) // 4 == -(-len(a) // token_blocks.BLOCK)
+    assert token_blocks.decode_blocks(starts, payload, len(a)).tolist() == ids
+
+
+def test_blocks_hold_outliers_as_exceptions():
+    a = np.arange(128, dtype="<u4") % 8
+    a[5] = 1 << 30
+    starts, payload = token_blocks.encode_blocks(a)
+    assert payload[4] == 3 and payload[5] == 1  # width of the share, one exception
+    assert len(payload) == token_blocks.HEAD + 16 * 3 + 5
+
+
+def expected_tokens(encoder, rows, end):
+    out, start = [], 0
+    for i, t in rows:
+        ids = whole(encoder, t or "") + [end]
+        out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_files_hold_every_document_in_order(spark, tmp_path, encoder, monkeypatch):
+    from pyspark.sql import functions as F
+    rows = [r for r in odd_rows() if r[0] is not None]
+    path = str(tmp_path / "tokens")
+    token_blocks.write_tokens(clashing(docs(spark, rows)).repartition(3), path)
+    got = token_blocks.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("c"))
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == expected_tokens(encoder, rows, 2)
+
+
+def test_null_ids_come_first_and_empty_table(spark, tmp_path):
+    token_blocks.write_tokens(docs(spark, [(2, "b"), (None, "a"), (1, None)]), str(tmp_path / "a"))
+    got = sorted(map(tuple, token_blocks.read_tokens(spark, str(tmp_path / "a")).select("start", "doc_id", "n_tokens").collect()))
+    assert got == [(0, None, 2), (2, 1, 1), (3, 2, 2)]
+    token_blocks.write_tokens(empty(spark), str(tmp_path / "b"))
+    assert token_blocks.read_tokens(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_codec_equals_sentencepiece_and_round_trips(spark):
+    c = pieces.PieceCodec(pieces.default_model())
+    texts = ["", " ", "  ", "a", " a", "a ", "a  b", "\n", "\n\n a", "a\n", " \n ", "x \n  y\t z", "▁a ▁b▁",
+             "日本語 😀", "<s> </s> <0x0A>", "a" * 300, *[t or "" for _, t in odd_rows()]]
+    ids, same = c.encode([t.encode() for t in texts])
+    assert [np.frombuffer(i, "<u4").tolist() for i in ids] == c.reference.encode(texts)
+    assert all(same)
+    assert c.decode(ids) == [t.replace("▁", " ") for t in texts]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet=st.sampled_from(" \n\tab.é▁日") | st.characters(codec="utf-8"), max_size=30))
+def test_codec_any_text(text):
+    c = pieces.codec(pieces.default_model())
+    (ids,), (same,) = c.encode([text.encode()])
+    assert same and np.frombuffer(ids, "<u4").tolist() == c.reference.encode(text)
+
+
+def test_codec_on_the_table(spark):
+    from helpers import DOCS  # noqa: F401
+    d = clashing(docs(spark, odd_rows()))
+    out = pieces.encode_texts(d)
+    assert out.count() == len(odd_rows())
+    assert out.where("not parity or not round_trip").count() == 0
+    back = {r["doc_id"]: r["text"] for r in pieces.decode_ids(out).collect()}
+    assert back[8] == "a" * 5000 and back[1] == ""
+    assert pieces.encode_texts(empty(spark)).count() == 0
+
+
+def test_unigram_model_is_rebuilt(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    m = pb.ModelProto()
+    rows = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)] \
+        + [("▁", -3.0, 1), ("a", -2.0, 1), ("b", -2.5, 1), ("ab", -3.0, 1), ("▁a", -2.2, 1), ("▁ab", -6.0, 1)]
+    for p, s, k in rows:
+        m.pieces.add(piece=p, score=s, type=k)
+    m.trainer_spec.model_type, m.trainer_spec.byte_fallback = 1, True
+    m.normalizer_spec.name, m.normalizer_spec.remove_extra_whitespaces = "identity", False
+    path = tmp_path / "u.model"
+    path.write_bytes(m.SerializeToString())
+    c = pieces.PieceCodec(str(path))
+    texts = ["ab a b", "abab  ba", "c é", ""]
+    ids, same = c.encode([t.encode() for t in texts])
+    assert all(same) and [np.frombuffer(i, "<u4").tolist() for i in ids] == c.reference.encode(texts)
+    assert c.decode(ids) == texts
