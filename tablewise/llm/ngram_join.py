@@ -17,11 +17,12 @@ hash), so the merge reads short lists.
    times are candidates.
 3. The other nodes consist mostly of long lists (large groups of
    near-copies). Their whole sets are read. Against all nodes they merge
-   their remaining short lists. Among themselves they link in rounds of
-   stars: each list sends its members to one center, verified links join
-   components, and a last round compares members of one list that still are
-   in different components. So a group of near-copies costs links in
-   proportion to its members unless it falls apart.
+   their remaining short lists. Among themselves, with the lists that are
+   rarest among them first, they link in rounds of stars: each list names a
+   center, each node is verified against the center it meets most often, and
+   verified links join components. A last round compares members of one list
+   that still are in different components. So a group of near-copies costs
+   links in proportion to its members unless it falls apart.
 4. Candidates are verified on whole sets; components come from the links.
 
 Defined cases: null and empty texts, and texts of white space, have no
@@ -128,8 +129,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: Share) -> DataFrame:
             keep.append(share.linked(both, len(x), len(y)))
         return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]) \
             .filter(pa.array(keep, pa.bool_()))
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b"))
+    sets = sets.select("node", "hashes")
+    sets = bounded_broadcast(sets)  # few sets need no shuffle of pairs
+    both = (pairs.join(sets.withColumnsRenamed({"node": "a", "hashes": "x"}), "a")
+            .join(sets.withColumnsRenamed({"node": "b", "hashes": "y"}), "b"))
     return map_batches(both.select("a", "b", "x", "y"), probe, "a long, b long").distinct()
 
 
@@ -147,31 +150,39 @@ def _meeting(left: DataFrame, right: DataFrame, share: Share) -> DataFrame:
 def _among_crowded(sets: DataFrame, share: Share) -> DataFrame:
     """Links among the nodes of ``sets`` (node, n, hashes) that give their
     components: stars first, then what is left between components."""
-    def first(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for b in batch.column("hashes").to_pylist():
-            s = np.frombuffer(b, "<u8")
-            out.append(s[:int(share.merged(len(s)))].astype(np.int64))
-        return pa.RecordBatch.from_arrays(
-            [batch.column("node"), batch.column("n"), pa.array(out, pa.list_(pa.int64()))], ["node", "n", "low"])
-    lists = materialize(map_batches(sets, first, "node long, n long, low array<long>")
-                        .select("node", "n", F.explode("low").alias("g")))
+    def unpack(batch: pa.RecordBatch) -> pa.RecordBatch:
+        g = [np.frombuffer(b, "<u8").astype(np.int64) for b in batch.column("hashes").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), pa.array(g, pa.list_(pa.int64()))],
+                                          ["node", "n", "gs"])
+    # The order among these nodes: rarest among them first.
+    rows = map_batches(sets, unpack, "node long, n long, gs array<long>").select("node", "n", F.explode("gs").alias("g"))
+    df_ = materialize(rows.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    own = Window.partitionBy("node", "n")
+    lone = F.col("n") - F.count(F.lit(1)).over(own)  # lists of one node come before all others
+    lists = materialize(rows.join(df_, "g")
+                        .withColumn("r", F.row_number().over(own.orderBy("df", "g")) + lone)
+                        .where(F.col("r") <= share.merged_col(F.col("n"))).select("node", "n", "g"))
     links = None
+    label = lists.select("node", F.col("node").alias("component")).distinct()
     for r in range(STAR_ROUNDS):
-        center = F.struct(F.xxhash64("node", F.lit(r)).alias("h"), "node", "n")
-        centers = materialize(lists.groupBy("g").agg(F.min(center).alias("c"), F.max(center).alias("d"))
-                              .where("c != d").select("g", "c"))
-        stars = (lists.join(centers, "g").where(F.col("node") != F.col("c.node"))
-                 .where(share.sizes_fit(F.col("n"), F.col("c.n")))
-                 .select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct())
+        placed = materialize(_placed(lists, label))
+        center = F.struct(F.xxhash64("node", F.lit(r)).alias("h"), "node", "n", "component")
+        centers = materialize(placed.groupBy("g").agg(F.min(center).alias("c"), F.min("component").alias("lo"),
+                                                      F.max("component").alias("hi"))
+                              .where("lo != hi").select("g", "c"))
+        met = (placed.join(centers, "g").where(F.col("component") != F.col("c.component"))
+               .where(share.sizes_fit(F.col("n"), F.col("c.n")))
+               .groupBy("node", F.col("c.node").alias("other")).agg(F.count(F.lit(1)).alias("times")))
+        # The center a node meets most often; any verified link is a right one.
+        stars = (met.groupBy("node").agg(F.max(F.struct("times", "other")).alias("m"))
+                 .select(F.greatest("node", "m.other").alias("a"), F.least("node", "m.other").alias("b")).distinct())
         found = materialize(_verified(stars, sets, share))
         links = found if links is None else links.union(found)
-    label = components(links).withColumnRenamed("id", "node")
-    placed = materialize(lists.join(label, "node", "left")
-                         .withColumn("component", F.coalesce("component", "node")))
-    mixed = (placed.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo != hi").select("g"))
-    left = materialize(placed.join(materialize(mixed), "g"))
+        label = materialize(components(links).withColumnRenamed("id", "node"))
+    placed = materialize(_placed(lists, label))
+    several = materialize(placed.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                          .where("lo != hi").select("g"))
+    left = materialize(placed.join(several, "g"))
     other = left.select("g", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
     met = (left.join(other, "g").where((F.col("node") > F.col("b")) & (F.col("component") != F.col("other"))
                                        & share.sizes_fit(F.col("n"), F.col("m")))
@@ -180,6 +191,11 @@ def _among_crowded(sets: DataFrame, share: Share) -> DataFrame:
     return links.union(materialize(_verified(met, sets, share)))
 
 
+def _placed(lists: DataFrame, label: DataFrame) -> DataFrame:
+    """``lists`` with each node's component so far."""
+    return lists.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
                        short: int = SHORT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row: documents link at a
@@ -214,6 +230,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
     else:
         sets = materialize(_whole_sets(docs, crowded, k))
         links = _among_crowded(sets, share)
+
         # The crowded nodes' first short lists, over their whole sets.
         def unpack(batch: pa.RecordBatch) -> pa.RecordBatch:
             g = [np.frombuffer(b, "<u8").astype(np.int64) for b in batch.column("hashes").to_pylist()]
