@@ -12,7 +12,8 @@ from ..functions.hashing import hash_bucket
 from ..functions.numeric import safe_div
 from ..functions.text import content_key
 from ..plans.broadcast import broadcast_per_group
-from ..plans.keys import join_on_keys
+from ..plans.keys import join_on_keys, skew_join
+from ..plans.lineage import materialize
 
 
 def rule_violations(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -23,28 +24,27 @@ def rule_violations(lineitem: DataFrame, orders: DataFrame, customer: DataFrame)
     * ``order_without_customer``: o_custkey absent from customer;
     * ``shipped_before_order``: l_shipdate earlier than the order's date.
 
-    Columns: rule, key_a, key_b, n (offending rows for that key). Key sides
-    of the anti joins are de-duplicated map-side first; everything else is
-    an aggregate or a shuffle join, which adaptive execution splits when one
-    key is hot.
+    Columns: rule, key_a, key_b, n (offending rows for that key). Lines are
+    counted per key in each map task before any join, so an order with very
+    many lines is one row per task and count, not its lines.
     """
     dup = (lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
            .where(F.col("n") > 1)
            .select(F.lit("duplicate_line_key").alias("rule"), F.col("l_orderkey").alias("key_a"),
                    F.col("l_linenumber").cast("bigint").alias("key_b"), "n"))
     order_keys = orders.select(F.col("o_orderkey").alias("l_orderkey")).distinct()
-    orphan_lines = (lineitem.select("l_orderkey").join(order_keys, "l_orderkey", "left_anti")
-                    .groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    orphan_lines = (lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+                    .join(order_keys, "l_orderkey", "left_anti")
                     .select(F.lit("line_without_order").alias("rule"), F.col("l_orderkey").alias("key_a"),
                             F.lit(None).cast("bigint").alias("key_b"), "n"))
     cust_keys = customer.select(F.col("c_custkey").alias("o_custkey")).distinct()
     orphan_orders = (orders.select("o_orderkey", "o_custkey").join(cust_keys, "o_custkey", "left_anti")
                      .select(F.lit("order_without_customer").alias("rule"), F.col("o_orderkey").alias("key_a"),
                              F.col("o_custkey").alias("key_b"), F.lit(1).cast("bigint").alias("n")))
-    early = (lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
+    early = (lineitem.groupBy("l_orderkey", "l_linenumber", "l_shipdate").agg(F.count(F.lit(1)).alias("_n"))
              .join(orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
              .where(F.col("l_shipdate") < F.col("o_orderdate"))
-             .groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("l_orderkey", "l_linenumber").agg(F.sum("_n").alias("n"))
              .select(F.lit("shipped_before_order").alias("rule"), F.col("l_orderkey").alias("key_a"),
                      F.col("l_linenumber").cast("bigint").alias("key_b"), "n"))
     return dup.unionByName(orphan_lines).unionByName(orphan_orders).unionByName(early)
@@ -55,16 +55,17 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     folding. One row per document in a group of two or more: doc_id,
     keep_id (lowest id of the group), copies (group size).
 
-    Only a 32-character key leaves each row; groups are formed by an
-    aggregate (partial per map task, so a text copied a million times
-    collapses early) and joined back on the key, which adaptive execution
-    splits if one key dominates. Whole texts are hashed.
+    Only a 32-character key leaves each row, written once: texts are read
+    and hashed once, whole. Groups are formed by an aggregate (partial per
+    map task, so a text copied a million times collapses early) and joined
+    back on the key in a join that adaptive execution can split
+    (`skew_join`).
     """
-    keyed = docs.select(id_col, content_key(F.col(text_col)).alias("_key"))
+    keyed = materialize(docs.select(id_col, content_key(F.col(text_col)).alias("_key")))
     groups = (keyed.groupBy("_key").agg(F.min(id_col).alias("keep_id"),
                                         F.count(F.lit(1)).alias("copies"))
               .where(F.col("copies") > 1))
-    return keyed.join(groups, "_key").select(id_col, "keep_id", "copies")
+    return skew_join(keyed, groups, ["_key"]).select(id_col, "keep_id", "copies")
 
 
 def json_field(df: DataFrame, id_col: str, json_col: str, schema: str) -> DataFrame:
@@ -74,13 +75,16 @@ def json_field(df: DataFrame, id_col: str, json_col: str, schema: str) -> DataFr
     return df.select(id_col, parsed.alias("_j")).select(id_col, "_j.*")
 
 
-def daily_pivot(events: DataFrame, ts: str, category: str, values: Sequence[str]) -> DataFrame:
+def daily_pivot(events: DataFrame, ts: str, category: str, values: Sequence[str],
+                other: str = "other") -> DataFrame:
     """Rows per day and category, one column per listed category, zero for
-    missing combinations. Listing the values avoids a distinct-values job."""
-    values = list(values)
-    return (events.groupBy(F.to_date(F.col(ts)).alias("day"))
-            .pivot(category, values).agg(F.count(F.lit(1)))
-            .fillna(0, subset=values))
+    missing combinations; unlisted and null categories are counted in
+    ``other``. Listing the values avoids a distinct-values job."""
+    columns = [*values, other]
+    listed = F.when(F.col(category).isin(list(values)), F.col(category)).otherwise(F.lit(other))
+    return (events.select(F.to_date(F.col(ts)).alias("day"), listed.alias("_c"))
+            .groupBy("day").pivot("_c", columns).agg(F.count(F.lit(1)))
+            .fillna(0, subset=columns))
 
 
 def hash_split(df: DataFrame, id_col: str, buckets: int = 10, train_below: int = 8) -> DataFrame:

@@ -6,31 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_mean, safe_div, stable_round
-from ..plans.ranking import global_row_index
+from ..plans.ranking import running_total
 
 
 def auc_rank_sum(df: DataFrame, score: str, label: str, digits: int = 9) -> DataFrame:
     """Area under the ROC curve by the Mann-Whitney rank sum, ties given
     their average rank: AUC = (sum of positive ranks - P(P+1)/2) / (P N).
 
-    Rows get a global position in score order (`global_row_index`, no
-    single-task window). All rows with one score occupy consecutive
-    positions, so their average rank is (first + last) / 2 + 1: one
-    aggregate per distinct score, then one global aggregate. One row:
-    auc, positives, negatives.
+    Rows are counted per distinct score first, map-side. A positive at a
+    score ranks above the negatives of smaller scores and half of those of
+    its own, so what is needed is a running count of negatives over the
+    distinct scores (`running_total`, no single-task window). Products are
+    decimals, which do not overflow. One row: auc, positives, negatives.
     """
     rows = df.select(F.col(score).cast("double").alias("_s"), F.col(label).cast("int").alias("_y")) \
         .where(F.col("_s").isNotNull() & F.col("_y").isNotNull())
-    idx = global_row_index(rows, ["_s"], "_idx")
-    per_score = (idx.groupBy("_s")
-                 .agg(((F.min("_idx") + F.max("_idx")) / 2 + 1).alias("_avg_rank"),
-                      F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("_pos"),
-                      F.sum(F.when(F.col("_y") == 1, 0).otherwise(1)).alias("_neg")))
-    tot = per_score.agg(F.sum(F.col("_pos") * F.col("_avg_rank")).alias("_rank_sum"),
-                        F.sum("_pos").cast("bigint").alias("positives"),
-                        F.sum("_neg").cast("bigint").alias("negatives"))
-    p, n = F.col("positives"), F.col("negatives")
-    auc = safe_div(F.col("_rank_sum") - p * (p + 1) / 2, (p * n).cast("double"))
+    per_score = rows.groupBy("_s").agg(F.count_if(F.col("_y") == 1).alias("_pos"),
+                                       F.count_if(F.col("_y") != 1).alias("_neg"))
+    ranked = running_total(per_score, "_s", "_neg", "_below")
+    whole = "decimal(19,0)"
+    twice = F.col("_pos").cast(whole) * (2 * F.col("_below") + F.col("_neg")).cast(whole)
+    tot = ranked.agg(F.sum(twice.cast("double")).alias("_u2"),
+                     F.coalesce(F.sum("_pos"), F.lit(0)).cast("bigint").alias("positives"),
+                     F.coalesce(F.sum("_neg"), F.lit(0)).cast("bigint").alias("negatives"))
+    pairs = F.col("positives").cast("double") * F.col("negatives").cast("double")
+    auc = safe_div(F.col("_u2"), 2 * pairs)
     return tot.select(stable_round(auc, digits).alias("auc"), "positives", "negatives")
 
 

@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numeric import exact_mean, stable_round
+from ..functions.numeric import fine_mean, safe_div, stable_round
 from ..plans.broadcast import broadcast_per_group
 from ..plans.keys import join_on_keys
 from ..plans.ranking import exact_percentiles
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 
@@ -24,8 +25,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, approx_distinct
             digits: int = 6) -> DataFrame:
     """One row per column: rows, nulls, distinct values, and for numeric
     columns min, max, mean and sample standard deviation (null otherwise).
-    The mean comes from an exact decimal sum, so it does not depend on how
-    rows are split across tasks.
+    Statistics are doubles: whole numbers are exact up to 2^53.
 
     Moments come from one aggregate over one scan (partial aggregation, no
     column or value skew matters). Exact distinct counts are one
@@ -45,8 +45,11 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, approx_distinct
             aggs.append(F.approx_count_distinct(col).alias(f"_d{i}"))
         if isinstance(types[c], _NUMERIC):
             x = col.cast("double")
-            aggs += [F.min(x).alias(f"_min{i}"), F.max(x).alias(f"_max{i}"),
-                     exact_mean(col).alias(f"_avg{i}"), F.stddev_samp(x).alias(f"_sd{i}")]
+            # Extremes of the column itself: whole numbers keep their order
+            # beyond 2^53. Long and double sums stay in generated code.
+            whole = isinstance(types[c], _WHOLE)
+            aggs += [F.min(col).cast("double").alias(f"_min{i}"), F.max(col).cast("double").alias(f"_max{i}"),
+                     (F.avg(x) if whole else fine_mean(x)).alias(f"_avg{i}"), F.stddev_samp(x).alias(f"_sd{i}")]
     wide = df.agg(*aggs)
     null_d = F.lit(None).cast("double")
     rows = []
@@ -88,19 +91,23 @@ def iqr_outliers(df: DataFrame, value: str, group: str, id_col: str, k: float =
     and there is no global sort. Each quartile is then a value of the group
     whose rank is within n / ``approx_accuracy`` of the exact rank (no
     interpolation).
+
+    NaN values take no part in the quartiles and are flagged null.
     """
+    nan = F.isnan(F.col(value).cast("double"))
+    known = df.where(~F.coalesce(nan, F.lit(False)))
     if approx_accuracy:
-        q = (df.groupBy(group)
+        q = (known.groupBy(group)
              .agg(F.percentile_approx(F.col(value), [0.25, 0.75], approx_accuracy).alias("_q"))
              .select(group, F.col("_q")[0].cast("double").alias("q1"),
                      F.col("_q")[1].cast("double").alias("q3")))
     else:
-        q = exact_percentiles(df, value, [0.25, 0.75], [group]).withColumnRenamed("p25", "q1") \
+        q = exact_percentiles(known, value, [0.25, 0.75], [group]).withColumnRenamed("p25", "q1") \
             .withColumnRenamed("p75", "q3")
     iqr = F.col("q3") - F.col("q1")
     out = (join_on_keys(df.select(id_col, group, value), broadcast_per_group(q), [group])
-           .withColumn("is_outlier", (F.col(value) < F.col("q1") - k * iqr) |
-                       (F.col(value) > F.col("q3") + k * iqr)))
+           .withColumn("is_outlier", F.when(~nan, (F.col(value) < F.col("q1") - k * iqr) |
+                                            (F.col(value) > F.col("q3") + k * iqr))))
     return out.select(id_col, group, value, F.round("q1", digits).alias("q1"),
                       F.round("q3", digits).alias("q3"), "is_outlier")
 
@@ -121,10 +128,15 @@ def histogram(df: DataFrame, value: str, lo: float, hi: float, bins: int) -> Dat
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], digits: int = 9) -> DataFrame:
     """Pearson correlation of every pair of ``columns`` in long form
-    (col_a, col_b, corr), from one aggregate over one scan."""
+    (col_a, col_b, corr), from one aggregate over one scan. Rows where
+    either value is null do not count; null when either column is constant."""
     pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_c{i}")
-                    for i, (a, b) in enumerate(pairs)])
+    aggs = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        aggs.append(safe_div(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"_c{i}"))
+    wide = df.agg(*aggs)
     rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                      F.round(F.col(f"_c{i}"), digits).alias("corr"))
             for i, (a, b) in enumerate(pairs)]

@@ -1,9 +1,8 @@
 """Text and vectors: TF-IDF weights, nearest vectors to class centroids,
-MinHash near-duplicate detection."""
+near-duplicate documents."""
 
 from __future__ import annotations
 
-import random
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -13,6 +12,7 @@ from ..functions.numeric import stable_round
 from ..functions.text import token_rows, tokens
 from ..functions.vectors import as_double, dot, norm
 from ..plans.broadcast import bounded_broadcast, row_count_at_most
+from ..plans.keys import skew_join
 from ..plans.lineage import materialize
 from ..plans.ranking import global_row_index
 from ..plans.spread import spread_by
@@ -28,8 +28,9 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group
     tf is an aggregate per (doc, token); df an aggregate of those per
     (group, token), so a token found in every document is counted from one
     row per document and partial sums. The df table is joined back on
-    (group, token) -- a shuffle join that adaptive execution splits for very
-    common tokens -- and N (one row per group, size-checked) is broadcast.
+    (group, token) in a join that adaptive execution can split for very
+    common tokens (`skew_join`), and N (one row per group, size-checked) is
+    broadcast.
     Texts are spread over the cores by document id when the scan has too
     few tasks (`spread_by`); tf then groups on that partitioning.
     """
@@ -42,7 +43,7 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group
     df_ = tf.groupBy(group, "token").agg(F.count_if(F.col("tf") > 0).alias("df"))
     n_docs = bounded_broadcast(docs.groupBy(group).agg(F.count(F.lit(1)).alias("_N")), 10_000)
     w = F.col("tf") * F.log((F.lit(1) + F.col("_N")) / (F.lit(1) + F.col("df")))
-    return (tf.join(df_, [group, "token"]).join(n_docs, group)
+    return (skew_join(tf, df_, [group, "token"]).join(n_docs, group)
             .select(id_col, group, "token", "tf", "df", stable_round(w, digits).alias("weight")))
 
 
@@ -59,11 +60,12 @@ def nearest_to_centroids(emb: DataFrame, k: int = 5, id_col: str = "vec_id", vec
 
     Centroids are an aggregate per (label, dimension), one row per label and
     dimension. Up to ``max_per_pass`` of them (checked) are fetched and
-    written into the plan as one array literal, so scoring is a single pass
-    over the vectors with no join at all: every vector computes its dot
-    product with each centroid (`aggregate` over `zip_with`, in generated
-    code). Top-k per label uses `row_number`, which Spark limits per map
-    task before the shuffle, so a large label moves only k rows per task.
+    written into the plan as one array literal, so scoring needs no join at
+    all: every vector computes its dot product with each centroid
+    (`aggregate` over `zip_with`, in generated code). A first pass takes the
+    best score of each label in each of ``buckets`` hash buckets of the
+    vectors; the k-th largest of them is a floor that the k best vectors
+    reach, so the second pass ranks only the few vectors at or above it.
 
     With more labels than that, labels are numbered (`global_row_index`)
     and cut into batches of ``max_per_pass``; each batch is one such pass,
@@ -71,8 +73,8 @@ def nearest_to_centroids(emb: DataFrame, k: int = 5, id_col: str = "vec_id", vec
     checkpoint folder. The driver holds one batch of centroids at a time.
     """
     parts = emb.select(label, F.posexplode(as_double(F.col(vec_col))).alias("_d", "_x"))
-    cent = (parts.groupBy(label, "_d").agg(F.avg("_x").alias("_m"))
-            .groupBy(label).agg(F.sort_array(F.collect_list(F.struct("_d", "_m"))).alias("_c")))
+    cent = materialize(parts.groupBy(label, "_d").agg(F.avg("_x").alias("_m"))
+                       .groupBy(label).agg(F.sort_array(F.collect_list(F.struct("_d", "_m"))).alias("_c")))
     if row_count_at_most(cent, max_per_pass):
         # bounded: at most max_per_pass rows, checked above
         return _top_k_to(emb, cent.collect(), k, id_col, vec_col, label, digits)
@@ -86,7 +88,7 @@ def nearest_to_centroids(emb: DataFrame, k: int = 5, id_col: str = "vec_id", vec
 
 
 def _top_k_to(emb: DataFrame, rows: list, k: int, id_col: str, vec_col: str, label: str,
-              digits: int) -> DataFrame:
+              digits: int, buckets: int = 256) -> DataFrame:
     """Top ``k`` vectors by cosine to each centroid row (label, _c)."""
     labels = [r[label] for r in rows]
     vectors = [[float(e["_m"]) for e in r["_c"]] for r in rows]
@@ -99,9 +101,15 @@ def _top_k_to(emb: DataFrame, rows: list, k: int, id_col: str, vec_col: str, lab
     scored = emb.select(id_col, norm(v).alias("_vn"),
                         F.posexplode(sims).alias("_q", "_dot"))
     score = F.col("_dot") / (F.col("_vn") * F.element_at(F.lit(norms).cast("array<double>"), F.col("_q") + 1))
-    scored = scored.select(F.element_at(F.lit(labels).cast(f"array<{label_type}>"), F.col("_q") + 1)
+    scored = scored.select("_q", F.element_at(F.lit(labels).cast(f"array<{label_type}>"), F.col("_q") + 1)
                            .alias("query_label"), id_col,
                            stable_round(score, digits).alias("score"))
+    bucket = F.pmod(F.xxhash64(id_col), F.lit(max(buckets, 2 * k)))
+    best = scored.groupBy("_q", bucket.alias("_b")).agg(F.max("score").alias("_m"))
+    kth = best.groupBy("_q").agg(F.try_element_at(F.sort_array(F.collect_list("_m"), asc=False), F.lit(k)).alias("f"))
+    found = {r["_q"]: r["f"] for r in kth.collect()}  # one row per label of this batch
+    floors = F.lit([found.get(i) if found.get(i) is not None else float("-inf") for i in range(len(labels))])
+    scored = scored.where(F.col("score") >= F.element_at(floors.cast("array<double>"), F.col("_q") + 1)).drop("_q")
     w = Window.partitionBy("query_label").orderBy(F.col("score").desc(), F.col(id_col))
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -127,81 +135,55 @@ def shingle_rows(docs: DataFrame, id_col: str, text_col: str, n: int = 3, distin
     return out.distinct() if distinct else out
 
 
-# Smallest prime above 2^32: the modulus of the MinHash permutations.
-_MINHASH_PRIME = 4294967311
-
-
-def _minhash_coefficients(k: int, seed: int) -> list[tuple[int, int]]:
-    """k pairs (a, b), 1 <= a < 2^30 and 0 <= b < p, from a seeded generator."""
-    rng = random.Random(seed)
-    return [(rng.randrange(1, 1 << 30), rng.randrange(0, _MINHASH_PRIME)) for _ in range(k)]
-
-
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, rows: int = 4,
-                    id_col: str = "doc_id", text_col: str = "text", digits: int = 6,
-                    seed: int = 42) -> DataFrame:
-    """Near-duplicate documents by MinHash LSH, verified by exact Jaccard
-    similarity of word 3-gram sets. Output: doc_id, dup_of, jaccard, where
-    dup_of is the smallest id among the representatives (smallest member)
-    of the LSH band buckets doc_id belongs to that reach Jaccard >=
-    ``threshold`` with it.
-
-    Everything is rows, joins and aggregates. The signature is one
-    aggregate per document: ``bands * rows`` minima of seeded hash functions
-    of the shingle, folded map-side. Band keys hash each band's ``rows`` minima.
-    Band buckets are grouped and every member is paired only with the
-    bucket's smallest id -- a star, never all pairs -- so a bucket holding a
-    third of all documents yields one candidate per member. A candidate's
-    shingle overlap is a join of its two shingle sets on (doc, shingle),
-    which is unique per row. A pair at Jaccard 0.8 shares a band with
-    probability 1 - (1 - 0.8^rows)^bands (0.9998 with 16 x 4).
+def near_duplicates(docs: DataFrame, num: int = 8, den: int = 10, id_col: str = "doc_id",
+                    text_col: str = "text", digits: int = 6) -> DataFrame:
+    """Near-duplicate documents: Jaccard similarity of the word 3-gram sets
+    of at least ``num / den``, found exactly. Output: doc_id, dup_of,
+    jaccard, where dup_of is the smallest id doc_id is a near-duplicate of;
+    documents without a smaller one do not appear.
+
+    Equal sets are one row named by their smallest document. A set of n
+    grams keeps the n - ceil(num / den * n) + 1 grams that are rarest over
+    all sets (ties by hash): two near-duplicates share one of these. Sets
+    that share one and whose sizes allow the similarity are compared whole,
+    each pair once. Grams are compared as 64-bit hashes. Both inputs of the
+    pairing join come out of a shuffle, so that adaptive execution splits a
+    gram that very many sets keep.
     """
-    k = bands * rows
-    # Shingling and hashing are the CPU-heavy part: spread the texts over the
-    # cores when the scan has too few tasks; the signature aggregate then
-    # groups on the same doc-id partitioning without another shuffle.
     docs = spread_by(docs.select(id_col, text_col), id_col)
-    # Repeated shingles do not change a minimum, so the signature needs no
-    # de-duplication (no shuffle of shingle strings): one row per document
-    # with the k minima, as k `min` aggregates folded in each task.
     grams = shingle_rows(docs, id_col, text_col, distinct=False)
-    # One string hash per shingle, cut to 32 bits, then k cheap hash
-    # functions (a*h + b) mod p with p prime above 2^32: each is one-to-one
-    # on the 32-bit hashes and is evaluated as long arithmetic in generated
-    # code. a < 2^30 keeps a*h + b below 2^63 (no overflow under ANSI).
-    h = F.xxhash64(F.col("_g")).bitwiseAND(F.lit(0xFFFFFFFF))
-    sig = grams.select(id_col, h.alias("_h")).groupBy(id_col).agg(
-        *[F.min(F.pmod(F.col("_h") * F.lit(a) + F.lit(b), F.lit(_MINHASH_PRIME))).alias(f"_m{i}")
-          for i, (a, b) in enumerate(_minhash_coefficients(k, seed))])
-    # Signatures (one small row per document) feed several branches below;
-    # writing them once to the shared checkpoint folder means the corpus is
-    # read and tokenised once for them, and cuts the lineage back to the texts.
-    sig = materialize(sig)
-    band_keys = F.array(*[
-        F.struct(F.lit(b).alias("band"),
-                 F.xxhash64(*[F.col(f"_m{b * rows + r}") for r in range(rows)]).alias("key"))
-        for b in range(bands)])
-    members = sig.select(id_col, F.inline(band_keys))
-    reps = (members.groupBy("band", "key").agg(F.min(id_col).alias("dup_of"), F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > 1).drop("_n"))
-    # At most one candidate per document and band; written once, as every
-    # later branch starts from it.
-    cand = materialize(members.join(reps, ["band", "key"])
-                       .where(F.col(id_col) != F.col("dup_of"))
-                       .select(id_col, "dup_of").distinct())
-    # Exact overlap needs shingle sets again, but only of documents that are
-    # in some candidate pair: the corpus is tokenised in full only once. The
-    # candidate shingle sets are written once and read by three branches.
-    need = cand.select(id_col).unionByName(cand.select(F.col("dup_of").alias(id_col))).distinct()
-    cgrams = materialize(shingle_rows(docs.join(need, id_col, "left_semi"), id_col, text_col))
-    sizes = cgrams.groupBy(id_col).agg(F.count(F.lit(1)).alias("_size"))
-    theirs = cgrams.select(F.col(id_col).alias("dup_of"), "_g")
-    overlap = (cand.join(cgrams, id_col).join(theirs, ["dup_of", "_g"])
-               .groupBy(id_col, "dup_of").agg(F.count(F.lit(1)).alias("_inter")))
-    size_b = sizes.select(F.col(id_col).alias("dup_of"), F.col("_size").alias("_size_b"))
-    jac = F.col("_inter") / (F.col("_size") + F.col("_size_b") - F.col("_inter"))
-    verified = (overlap.join(sizes, id_col).join(size_b, "dup_of")
-                .select(id_col, "dup_of", jac.alias("jaccard"))
-                .where(F.col("jaccard") >= threshold))
-    best = verified.groupBy(id_col).agg(F.min(F.struct("dup_of", "jaccard")).alias("_m"))
-    return best.select(id_col, "_m.dup_of", stable_round(F.col("_m.jaccard"), digits).alias("jaccard"))
+    sets = (grams.select(id_col, F.xxhash64("_g").alias("_h")).groupBy(id_col)
+            .agg(F.sort_array(F.collect_set("_h")).alias("_set")))
+    sets = materialize(sets.withColumn("_key", F.md5(F.array_join("_set", ",").cast("binary"))))
+    reps = materialize(sets.groupBy("_key").agg(F.min(id_col).alias("_rep"), F.first("_set").alias("_set"))
+                       .withColumn("_n", F.size("_set")))
+    rows = reps.select("_rep", "_n", F.explode("_set").alias("_h"))
+    df_ = rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1")
+    # A gram of one set pairs nothing; it only takes a place among the rarest.
+    shared = skew_join(rows, df_, ["_h"])
+    ranked = shared.withColumn("_r", F.row_number().over(Window.partitionBy("_rep").orderBy("_df", "_h"))
+                               + F.col("_n") - F.count(F.lit(1)).over(Window.partitionBy("_rep")))
+    kept = materialize(ranked.where(F.col("_r") <= F.col("_n") - F.ceil(num * F.col("_n") / den) + 1)
+                       .select("_rep", "_n", "_h"))
+    other = kept.select(F.col("_rep").alias("_a"), F.col("_n").alias("_m"), "_h")
+    pairs = (kept.join(other, "_h")
+             .where((F.col("_rep") > F.col("_a")) &
+                    (den * F.least("_n", "_m") >= num * F.greatest("_n", "_m")))
+             .select(F.col("_rep").alias("_b"), "_a").distinct())
+    left = reps.select(F.col("_rep").alias("_a"), F.col("_set").alias("_x"))
+    right = reps.select(F.col("_rep").alias("_b"), F.col("_set").alias("_y"))
+    both = F.size(F.array_intersect("_x", "_y")).cast("long")
+    links = (pairs.join(left, "_a").join(right, "_b")
+             .select("_a", "_b", both.alias("_i"), (F.size("_x") + F.size("_y") - both).alias("_u"))
+             .where(den * F.col("_i") >= num * F.col("_u"))
+             .select("_a", "_b", (F.col("_i") / F.col("_u")).alias("jaccard")))
+    # A set's smallest near-duplicates: its own first document, and the first
+    # documents of the linked sets, both ways.
+    links = materialize(links)
+    near = (links.select(F.col("_b").alias("_rep"), F.col("_a").alias("dup_of"), "jaccard")
+            .unionByName(links.select(F.col("_a").alias("_rep"), F.col("_b").alias("dup_of"), "jaccard"))
+            .unionByName(reps.select("_rep", F.col("_rep").alias("dup_of"), F.lit(1.0).alias("jaccard"))))
+    best = near.groupBy("_rep").agg(F.min(F.struct("dup_of", "jaccard")).alias("_m"))
+    named = materialize(reps.select("_key", "_rep").join(best, "_rep").select("_key", "_m.*"))
+    return (sets.select(id_col, "_key").join(named, "_key").where(F.col("dup_of") < F.col(id_col))
+            .select(id_col, "dup_of", stable_round(F.col("jaccard"), digits).alias("jaccard")))

@@ -24,3 +24,16 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
                            *[c for c in right.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` whose hot keys adaptive execution can split.
+
+    It splits a join only if both inputs come straight out of a shuffle. An
+    aggregate grouped by the join keys does not: it is already partitioned
+    as the join wants. A key derived from the others makes the join want a
+    partitioning that the aggregate does not have, so its (few) rows are
+    shuffled once more and both inputs qualify.
+    """
+    tag = F.xxhash64(*keys).alias("_jk")
+    return left.select("*", tag).join(right.select("*", tag), ["_jk", *keys], how).drop("_jk")

@@ -76,6 +76,20 @@ def global_row_index(df: DataFrame, order: Sequence[Column | str], index_col: st
             .drop("_pid", "_mid", "_off"))
 
 
+def running_total(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the rows before this one in
+    ``order`` (distinct). Totals per slice are added up over the slices, one
+    row each; the window runs inside a slice."""
+    tagged = numbered_slices(df, [order])
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tagged.groupBy("_pid").agg(F.sum(value).alias("_n"))
+               .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("_pid", "_off"))
+    here = Window.partitionBy("_pid").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (tagged.withColumn("_in", F.coalesce(F.sum(value).over(here), F.lit(0)))
+            .join(F.broadcast(offsets), "_pid")
+            .withColumn(out, F.col("_off") + F.col("_in")).drop("_pid", "_mid", "_off", "_in"))
+
+
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
                       group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
     """Linearly interpolated percentiles of ``value`` per group, identical to

@@ -57,7 +57,9 @@ SELECT CAST(ts AS DATE) AS day,
        count(*) FILTER (WHERE event_type = 'error') AS error,
        count(*) FILTER (WHERE event_type = 'purchase') AS purchase,
        count(*) FILTER (WHERE event_type = 'signup') AS signup,
-       count(*) FILTER (WHERE event_type = 'view') AS "view"
+       count(*) FILTER (WHERE event_type = 'view') AS "view",
+       count(*) FILTER (WHERE event_type IS NULL OR event_type NOT IN
+                        ('click', 'error', 'purchase', 'signup', 'view')) AS other
 FROM events GROUP BY 1
 """)
 def q_daily_event_pivot(spark, sf_dir):

@@ -1,18 +1,36 @@
-"""Survey group G: streams. Rows-only: results depend on micro-batch and
-watermark progress, not only on the input rows."""
+"""Survey group G: streams. The SQL states what the stream has emitted once
+all input is read: the windows the watermark has closed, and one row per
+event id."""
+
+import hashlib
 
 from ..catalog import register
 from ..sources.tables import events_stream
 from ..streaming import events as st
 
 
-@register("stream_daily_counts", "P32")
+def _name(kind: str, sf_dir: str) -> str:
+    """A stream belongs to a query and the folder it reads."""
+    return f"{kind}-{hashlib.md5(sf_dir.encode()).hexdigest()[:16]}"
+
+
+@register("stream_daily_counts", "P32", sql="""
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, count(*) AS events
+FROM (SELECT date_trunc('day', ts) AS window_start FROM events) t
+GROUP BY window_start
+HAVING window_start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
+""")
 def q_stream_daily_counts(spark, sf_dir):
     """Streaming daily event counts, one-hour watermark, closed windows."""
-    return st.run_to_parquet(spark, st.daily_counts(events_stream(spark, sf_dir)), "daily-counts")
+    return st.run_to_parquet(spark, st.daily_counts(events_stream(spark, sf_dir)), _name("daily-counts", sf_dir))
 
 
-@register("stream_dedupe", "P33")
+@register("stream_dedupe", "P33", sql="""
+SELECT event_id, min(ts) AS ts, min(user_id) AS user_id, min(event_type) AS event_type,
+       min(value) AS value, min(props) AS props
+FROM events GROUP BY event_id
+""")
 def q_stream_dedupe(spark, sf_dir):
     """Streaming removal of repeated event ids within a one-hour watermark."""
-    return st.run_to_parquet(spark, st.dedupe_within_watermark(events_stream(spark, sf_dir)), "dedupe")
+    return st.run_to_parquet(spark, st.dedupe_within_watermark(events_stream(spark, sf_dir)),
+                             _name("dedupe", sf_dir))

@@ -1,7 +1,7 @@
 """Survey group F: text, vectors and models."""
 
 from ..catalog import register, tables
-from ..operators import clean, models, text_vectors
+from ..operators import models, text_vectors
 
 
 @register("language_tfidf", "P27", sql=r"""
@@ -39,9 +39,23 @@ def q_centroid_neighbours(spark, sf_dir):
     return text_vectors.nearest_to_centroids(tables(spark, sf_dir, "embeddings")["embeddings"], 5)
 
 
-@register("near_duplicate_documents", "P29")
+@register("near_duplicate_documents", "P29", sql=r"""
+WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[ \t\r\n]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ')
+                                   ELSE array_to_string(w[p:p + 2], ' ') END AS g
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS p FROM t WHERE len(w) > 0) x),
+s AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id, b.doc_id AS dup_of, count(*) AS both
+      FROM g a JOIN g b ON a.g = b.g AND b.doc_id < a.doc_id GROUP BY a.doc_id, b.doc_id),
+j AS (SELECT o.doc_id, o.dup_of, o.both / CAST(x.n + y.n - o.both AS DOUBLE) AS jaccard
+      FROM o JOIN s x ON o.doc_id = x.doc_id JOIN s y ON o.dup_of = y.doc_id
+      WHERE 10 * o.both >= 8 * (x.n + y.n - o.both))
+SELECT doc_id, min(dup_of) AS dup_of, floor(arg_min(jaccard, dup_of) * 1e6 + 0.5) / 1e6 AS jaccard
+FROM j GROUP BY doc_id
+""")
 def q_near_duplicate_documents(spark, sf_dir):
-    """Near-duplicate documents by MinHash LSH, verified Jaccard >= 0.8."""
+    """For each document, the smallest document it is a near-duplicate of
+    (Jaccard >= 0.8 of word 3-grams), if one is smaller."""
     return text_vectors.near_duplicates(tables(spark, sf_dir, "documents")["documents"])
 
 
@@ -57,6 +71,5 @@ def q_quality_model_holdout(spark, sf_dir):
     """Logistic quality model: held-out predictions on the hash split."""
     t = tables(spark, sf_dir, "labels", "documents")
     rows = t["labels"].join(t["documents"].select("doc_id", "n_chars"), "doc_id")
-    split = clean.hash_split(t["documents"], "doc_id").select("doc_id", "split")
-    out, _ = models.quality_model(rows, split)
+    out, _ = models.quality_model(rows)
     return out

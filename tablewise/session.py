@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -71,8 +70,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints and state.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set -- local runs and tests -- a
-    private folder is created and registered on the session.
+    checkpoint dir). Where neither is set, a local run gets a private folder;
+    on a cluster that is an error, as executors could not reach it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -80,25 +79,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
         # Already registered. Registering again would make Spark create yet
         # another sub-folder inside the current one on every call.
         return current
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="tablewise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", found)
+    found = _shared_folder(spark)
     sc.setCheckpointDir(found)
     return sc.getCheckpointDir() or found
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder for one job's output."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{os.getpid()}-{next(_counter)}")
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
+def _shared_folder(spark: SparkSession) -> str:
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not found:
+        # local-cluster runs executors of their own, like any other cluster.
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+        found = tempfile.mkdtemp(prefix="tablewise-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
 
 
-_counter = _count()
+def stream_home(spark: SparkSession, name: str) -> str:
+    """The folder for a stream's sink and checkpoint: the same for the same
+    ``name`` in every application that shares the folder, so that a restarted
+    stream goes on where it stopped. (The context's checkpoint folder is a
+    new one per application.)"""
+    return f"{_shared_folder(spark).rstrip('/')}/streams/{name}"

@@ -32,10 +32,16 @@ def load_all(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFr
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """`events` as a streaming source: the folder is watched for files named
-    like the table, so new event files dropped next to it are picked up."""
-    schema = load(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
+    """`events` as a streaming source, stored as one file or as a folder of
+    part files; files that arrive in the folder later are picked up. Fails
+    if there is no file to read."""
+    at = path(sf_dir, "events")
+    batch = spark.read.parquet(at)
+    if not batch.inputFiles():
+        raise FileNotFoundError(f"no data file in {at}")
+    reader = spark.readStream.schema(batch.schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(sf_dir)
+    # Written as a pattern, which matches this one path, the source accepts a
+    # single file as well as a folder.
+    return reader.parquet(f"{at[:-1]}[{at[-1]}]")

@@ -2,19 +2,18 @@
 
 Sources are file streams over the events folder; results go to a Parquet
 file sink whose commit log (`_spark_metadata`) makes reads see only
-committed micro-batches. Sink and checkpoint live in the session's shared
-checkpoint folder, so a restarted query resumes from its offsets and state
-instead of recomputing, and a lost executor only replays its micro-batch.
+committed micro-batches. Sink and checkpoint live under a stable name in the
+shared folder of `spark.checkpoint.dir`, so a restarted query resumes from
+its offsets and state instead of recomputing, and a lost executor only
+replays its micro-batch.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import stream_home
 
 
 def utc_instant(ts_ntz: Column) -> Column:
@@ -59,10 +58,11 @@ def run_to_parquet(spark: SparkSession, stream: DataFrame, name: str, mode: str
                    sink: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Run ``stream`` over all input available now (`availableNow`: every
     pending file, split into micro-batches, then stop) into a Parquet sink,
-    and return the sink read as a batch DataFrame."""
-    base = scratch_path(spark, name)
-    sink = sink or os.path.join(base, "out")
-    checkpoint = checkpoint or os.path.join(base, "checkpoint")
+    and return the sink read as a batch DataFrame. Running the same ``name``
+    again reads only files that are new since."""
+    base = stream_home(spark, name)
+    sink = sink or f"{base}/out"
+    checkpoint = checkpoint or f"{base}/checkpoint"
     q = (stream.writeStream.format("parquet").outputMode(mode)
          .option("path", sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

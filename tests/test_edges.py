@@ -1,0 +1,232 @@
+"""Ties, extreme values, hot keys and settings."""
+
+import datetime as dt
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablewise import session
+from tablewise.functions.numeric import fine_mean, stable_round
+from tablewise.operators import behaviour, clean, evaluate, explore, text_vectors
+from tablewise.plans.broadcast import bounded_broadcast, broadcast_per_group
+from test_operators import full_slices
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def events(spark, rows):
+    return spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string")
+
+
+def test_stable_round_keeps_large_values_and_nan(spark):
+    df = spark.createDataFrame([(1.7040672e15,), (9.3e12,), (float("nan"),), (None,), (1.2345675,), (1e300,),
+                                (float("-inf"),)], "x double")
+    got = [r[0] for r in df.select(stable_round(F.col("x"), 6)).collect()]
+    assert got[0] == 1.7040672e15 and got[1] == 9.3e12 and math.isnan(got[2]) and got[3] is None
+    assert got[4] == math.floor(1.2345675 * 1e6 + 0.5) / 1e6 and got[5] == 1e300 and got[6] == float("-inf")
+
+
+def test_profile_of_large_ids_and_nan(spark):
+    df = spark.createDataFrame([(1704067200000000, float("nan")), (1704067300000000, 1.0)], "id long, x double")
+    got = {r["column_name"]: r for r in explore.profile(df).collect()}
+    assert got["id"]["min_value"] == 1704067200000000 and got["id"]["max_value"] == 1704067300000000
+    assert got["id"]["mean"] == 1704067250000000
+    assert math.isnan(got["x"]["max_value"]) and math.isnan(got["x"]["stddev"])
+
+
+def test_fine_mean(spark):
+    rng = random.Random(1)
+    for values in ([rng.uniform(-1e5, 1e5) for _ in range(500)], [None, 0.1, 0.2], [1e300, 1e300], [],
+                   [float("nan"), 1.0]):
+        got = spark.createDataFrame([(v,) for v in values], "x double").agg(fine_mean(F.col("x"))).first()[0]
+        known = [v for v in values if v is not None]
+        want = math.fsum(known) / len(known) if known else None
+        assert got == want or (math.isnan(want) and math.isnan(got)) or math.isclose(got, want, rel_tol=1e-14)
+
+
+def test_quartiles_leave_nan_out(spark):
+    rows = [(i, "a", float(i)) for i in range(20)] + [(100, "a", float("nan")), (101, "a", 500.0), (102, "a", None)]
+    got = {r["id"]: r["is_outlier"] for r in
+           explore.iqr_outliers(spark.createDataFrame(rows, "id long, g string, v double"), "v", "g", "id").collect()}
+    assert got[5] is False and got[101] is True and got[100] is None and got[102] is None
+
+
+def test_correlation_of_a_constant_column_is_null(spark):
+    df = spark.createDataFrame([(float(i), 3.0, float(-i), None) for i in range(5)], "a double, b double, c double, d double")
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in explore.correlation_pairs(df, ["a", "b", "c", "d"]).collect()}
+    assert got["a", "b"] is None and got["a", "c"] == -1.0 and got["a", "d"] is None
+
+
+def test_pivot_counts_unlisted_types(spark):
+    rows = [(1, T0, 1, "refund"), (2, T0, 1, None), (3, T0, 1, "view")]
+    got = clean.daily_pivot(events(spark, rows), "ts", "event_type", ["click", "view"]).first()
+    assert (got["click"], got["view"], got["other"]) == (0, 1, 2)
+
+
+def test_auc_products_do_not_overflow(spark):
+    n = 4_000_000_000
+    whole = "decimal(19,0)"
+    got = spark.range(1).select((F.lit(n).cast(whole) * (2 * F.lit(n) + F.lit(n)).cast(whole)).cast("double")).first()[0]
+    assert got == 3.0 * n * n
+    df = spark.createDataFrame([(0.5, 1), (0.5, 0), (0.2, 0), (0.9, 1)], "s double, y int")
+    assert evaluate.auc_rank_sum(df, "s", "y").first()["auc"] == 0.875
+
+
+def brute_latest(rows):
+    out = {}
+    for i, ts, u, kind in rows:
+        if kind == "purchase":
+            before = [(t, j) for j, t, v, k in rows if k == "view" and v == u and t is not None and ts is not None and t < ts]
+            out[i] = max(before)[1] if before else None
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_latest_before_with_tied_times(spark, seed):
+    rng = random.Random(seed)
+    rows = [(1, T0, 7, "view"), (2, T0 + dt.timedelta(hours=1), 7, "view"), (3, T0 + dt.timedelta(hours=1), 7, "purchase"),
+            (4, None, 7, "view"), (5, None, 7, "purchase")]
+    rows += [(10 + i, T0 + dt.timedelta(minutes=rng.randint(0, 12)), rng.choice([1, 1, 1, 2]),
+              rng.choice(["view", "purchase", "click"])) for i in range(250)]
+    rng.shuffle(rows)
+    with full_slices(spark):
+        got = {r["event_id"]: r["match_id"] for r in
+               behaviour.latest_before(events(spark, rows), "purchase", "view").collect()}
+    assert got == brute_latest(rows)
+
+
+def test_latest_before_of_one_type(spark):
+    rows = [(1, T0, 1, "view"), (2, T0, 1, "view"), (3, T0 + dt.timedelta(1), 1, "view")]
+    got = {r["event_id"]: r["match_id"] for r in behaviour.latest_before(events(spark, rows), "view", "view").collect()}
+    assert got == {1: None, 2: None, 3: 2}
+
+
+def test_sessions_with_tied_times(spark):
+    rows = [(i, T0 + dt.timedelta(hours=i // 40), 1, "view") for i in range(400)]
+    with full_slices(spark):
+        got = sorted((r["session_start"], r["events"]) for r in behaviour.sessions(events(spark, rows)).collect())
+    assert got == [(T0 + dt.timedelta(hours=h), 40) for h in range(10)]
+
+
+def test_moving_average_over_many_small_slices(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([1, 1, 1, 2, 3]), i, rng.choice([None, *map(float, range(9))])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, o long, x double")
+    with full_slices(spark):
+        got = {r["o"]: r["moving_avg"] for r in behaviour.moving_average(df, "k", ["o"], "x").collect()}
+    for k, o, _ in rows:
+        known = [x for kk, oo, x in rows if kk == k and oo <= o][-7:]
+        known = [x for x in known if x is not None]
+        assert got[o] == (math.floor(sum(known) / len(known) * 1e4 + 0.5) / 1e4 if known else None)
+
+
+def test_hourly_counts_span_a_stray_hour(spark):
+    rows = [(1, dt.datetime(2023, 1, 1, 5, 30), 1, "view"), (2, T0, 1, "view"), (3, None, 1, "view")]
+    out = behaviour.hourly_counts(events(spark, rows))
+    assert out.count() == 365 * 24 - 4 and out.agg(F.sum("n")).first()[0] == 2
+
+
+def test_near_duplicates_of_template_families(spark):
+    """Every family's base and copy are found, although bases are alike."""
+    common = [f"c{i}" for i in range(125)]
+    rows = []
+    for f in range(60):
+        base = common + [f"f{f}w{i}" for i in range(16)]
+        copy = base[:128] + ["edit"] + base[129:]
+        rows += [(2 * f, " ".join(base)), (2 * f + 1, " ".join(copy))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def grams(t):
+        w = t.split(" ")
+        return {tuple(w[i:i + 3]) for i in range(len(w) - 2)}
+    sets = {i: grams(t) for i, t in rows}
+    want = {}
+    for i in sets:
+        near = [j for j in sets if j < i and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])]
+        if near:
+            want[i] = min(near)
+    got = {r["doc_id"]: r["dup_of"] for r in text_vectors.near_duplicates(docs).collect()}
+    assert got == want and len(want) >= 60
+
+
+@pytest.fixture
+def no_broadcast_small_skew(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k in conf:  # none of them is set for the tests' session
+        spark.conf.unset(k)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def hot_docs(spark, tmp_path, text):
+    df = spark.range(60_000).select(F.col("id").alias("doc_id"),
+                                    F.when(F.col("id") % 7 == 0, "en").otherwise("de").alias("lang"), text.alias("text"))
+    df.repartition(6).write.parquet(str(tmp_path / "docs"))
+    return spark.read.parquet(str(tmp_path / "docs"))
+
+
+def test_hot_text_is_split(spark, tmp_path, no_broadcast_small_skew):
+    docs = hot_docs(spark, tmp_path, F.when(F.col("id") % 2 == 0, "same text").otherwise(F.concat_ws(" ", F.lit("own"), F.col("id") % 9000)))
+    assert "skew=true" in final_plan(clean.exact_duplicates(docs))
+
+
+def test_hot_token_is_split(spark, tmp_path, no_broadcast_small_skew):
+    docs = hot_docs(spark, tmp_path, F.concat_ws(" ", F.lit("the"), F.concat(F.lit("w"), F.col("id"))))
+    assert "skew=true" in final_plan(text_vectors.tfidf(docs))
+
+
+def test_hot_order_and_hot_user_shrink_before_the_join(spark, tmp_path, no_broadcast_small_skew):
+    n = 60_000
+    day = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")
+    lines = spark.range(n).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).cast("long").alias("l_orderkey"),
+                                  (F.col("id") % 7).cast("int").alias("l_linenumber"), day.alias("l_shipdate"))
+    orders = spark.range(n).select(F.col("id").alias("o_orderkey"), F.lit(1).cast("long").alias("o_custkey"),
+                                   F.expr("TIMESTAMP_NTZ'2024-01-02 00:00:00'").alias("o_orderdate"))
+    customers = spark.range(3).select(F.col("id").alias("c_custkey"))
+    out = clean.rule_violations(lines, orders, customers)
+    got = out.where("rule = 'shipped_before_order' AND key_a = 1").agg(F.sum("n")).first()[0]
+    assert got == n // 2 + 1
+    ev = spark.range(n).select(F.col("id").alias("event_id"), F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).cast("long").alias("user_id"),
+                               F.timestamp_add("SECOND", F.col("id").cast("int"), day).alias("ts"),
+                               F.when(F.col("id") == 0, "signup").otherwise("view").alias("event_type"))
+    steps = {r["step"]: r["users"] for r in behaviour.funnel(ev, ["signup", "view"]).collect()}
+    assert steps == {"signup": 1, "view": 1}
+
+
+def test_broadcast_bounds_count_bytes(spark):
+    wide = spark.range(50).select("id", F.repeat(F.lit("x"), 10_000).alias("s"))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "ResolvedHint" in plan(bounded_broadcast(wide)) or "broadcast" in plan(spark.range(9).join(bounded_broadcast(wide), "id"))
+    assert bounded_broadcast(wide, max_bytes=100_000) is wide
+    assert broadcast_per_group(wide, max_bytes=100_000) is wide
+    assert broadcast_per_group(wide).count() == 50
+
+
+def test_cluster_without_shared_folder_is_an_error(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        Context.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.checkpoint_dir(Session())

@@ -30,7 +30,7 @@ def test_quality_model_auc_equals_rank_sum(spark):
     labels, docs = spark.read.parquet(f"{d}/labels.parquet"), spark.read.parquet(f"{d}/documents.parquet")
     rows = labels.join(docs.select("doc_id", "n_chars"), "doc_id")
     split = clean.hash_split(docs, "doc_id").select("doc_id", "split")
-    out, _ = models.quality_model(rows, split)
+    out, _ = models.quality_model(rows)
     ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", metricName="areaUnderROC")
     auc_ml = ev.evaluate(out.select(F.col("score"), F.col("quality").cast("double").alias("label")))
     auc_rs = evaluate.auc_rank_sum(out, "score", "quality").first().auc

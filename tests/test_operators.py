@@ -189,7 +189,7 @@ def test_hot_user_hour_is_split_and_sessions_stay_right(spark):
              for i, (m, u) in enumerate(zip(rng.choice(5000, 400, replace=False), rng.integers(2, 7, 400)))]
     df = ev(spark, hot + other)
     with full_slices(spark):
-        parts = sliced(df, ["user_id"], "ts").where("user_id = 1").select("_pid").distinct().count()
+        parts = sliced(df, ["user_id"], ["ts"]).where("user_id = 1").select("_pid").distinct().count()
         got = sorted((r.user_id, r.session_start, r.session_end, r.events)
                      for r in behaviour.sessions(df).collect())
     assert parts > 1
