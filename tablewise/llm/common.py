@@ -6,9 +6,12 @@ import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 # ASCII white space: the only characters that separate words here.
 SPACES = b" \t\n\r\x0b\x0c"
 
@@ -66,6 +69,22 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
     return map_stream(df, run, schema)
 
 
+def settle(df: DataFrame, rows_per_file: int = 20_000) -> DataFrame:
+    """``df`` computed once and checkpointed to the session's shared folder,
+    in files of about ``rows_per_file`` rows: most of the tables that cut a
+    lineage here are small, and as many files as the shuffle had partitions
+    would cost more than their rows. The rows are made at full parallelism,
+    held in memory and on the executors' disks until the files are written,
+    and read from the files afterwards."""
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        files = max(1, -(-cached.count() // rows_per_file))
+        return cached.coalesce(files).checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+
+
 def train_fold(doc_id: Column | str) -> Column:
     """crc32 of the id's decimal text modulo 5; 0 is the held-out fold."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.lineage import materialize
+from .common import settle
 
 
 def _point(edges: DataFrame, larger_only: bool) -> DataFrame:
@@ -25,10 +25,10 @@ def _point(edges: DataFrame, larger_only: bool) -> DataFrame:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         moved = (edges.select(F.col("b").alias("a"), F.col("a").alias("b"))  # larger neighbours b of a
-                 .join(materialize(low), "a").select(F.col("b").alias("a"), F.col("low").alias("b")))
+                 .join(settle(low), "a").select(F.col("b").alias("a"), F.col("low").alias("b")))
         return moved.distinct()
     low = edges.groupBy("a").agg(F.min("b").alias("low"))
-    low = materialize(low)
+    low = settle(low)
     moved = edges.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     return moved.union(low.select("a", F.col("low").alias("b"))).where("a > b").distinct()
 
@@ -38,7 +38,7 @@ def components(links: DataFrame) -> DataFrame:
     smallest id reachable. ``links``: two long columns, any order, repeats
     and loops allowed; rows with a null are ignored."""
     x, y = links.columns
-    edges = materialize(links.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"),
+    edges = settle(links.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"),
                                      (F.col(x).isNotNull() & F.col(y).isNotNull()).alias("ok"))
                         .where("ok and a > b").select("a", "b").distinct())
     while True:
@@ -47,6 +47,6 @@ def components(links: DataFrame) -> DataFrame:
         chained = edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").limit(1)
         if not many.count() and not chained.count():
             break
-        edges = materialize(_point(materialize(_point(edges, True)), False))
+        edges = settle(_point(settle(_point(edges, True)), False))
     return (edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
             .union(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()))

@@ -22,8 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.lineage import materialize
-from .common import NULL_ID
+from .common import NULL_ID, settle
 
 WINDOW = 3
 
@@ -43,7 +42,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         lambda i: F.unhex(F.md5(F.array_join(F.slice("lines", i, WINDOW), "\n").cast("binary"))))).alias("pos", "hash"))
     place = F.struct("kid", "ksum", "pos")
     # More than one place: the smallest and the largest differ.
-    first = materialize(windows.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = settle(windows.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                         .where("first != last").select("hash", "first"))
     later = (windows.join(first, "hash")
              .withColumn("same", (F.col("first.kid") == F.col("kid")) & (F.col("first.ksum") == F.col("ksum")))

@@ -42,8 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.broadcast import bounded_broadcast
-from ..plans.lineage import materialize
-from .common import NULL_ID, map_batches, texts
+from .common import NULL_ID, map_batches, settle, texts
 from .components import components
 from .hashing import shingle_set
 
@@ -130,7 +129,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: Share) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]) \
             .filter(pa.array(keep, pa.bool_()))
     sets = sets.select("node", "hashes")
-    sets = bounded_broadcast(sets)  # few sets need no shuffle of pairs
+    sets = bounded_broadcast(sets, max_bytes=8 << 20)  # few sets need no shuffle of pairs
     both = (pairs.join(sets.withColumnsRenamed({"node": "a", "hashes": "x"}), "a")
             .join(sets.withColumnsRenamed({"node": "b", "hashes": "y"}), "b"))
     return map_batches(both.select("a", "b", "x", "y"), probe, "a long, b long").distinct()
@@ -156,18 +155,18 @@ def _among_crowded(sets: DataFrame, share: Share) -> DataFrame:
                                           ["node", "n", "gs"])
     # The order among these nodes: rarest among them first.
     rows = map_batches(sets, unpack, "node long, n long, gs array<long>").select("node", "n", F.explode("gs").alias("g"))
-    df_ = materialize(rows.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    df_ = settle(rows.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     own = Window.partitionBy("node", "n")
     lone = F.col("n") - F.count(F.lit(1)).over(own)  # lists of one node come before all others
-    lists = materialize(rows.join(df_, "g")
+    lists = settle(rows.join(df_, "g")
                         .withColumn("r", F.row_number().over(own.orderBy("df", "g")) + lone)
                         .where(F.col("r") <= share.merged_col(F.col("n"))).select("node", "n", "g"))
     links = None
     label = lists.select("node", F.col("node").alias("component")).distinct()
     for r in range(STAR_ROUNDS):
-        placed = materialize(_placed(lists, label))
+        placed = settle(_placed(lists, label))
         center = F.struct(F.xxhash64("node", F.lit(r)).alias("h"), "node", "n", "component")
-        centers = materialize(placed.groupBy("g").agg(F.min(center).alias("c"), F.min("component").alias("lo"),
+        centers = settle(placed.groupBy("g").agg(F.min(center).alias("c"), F.min("component").alias("lo"),
                                                       F.max("component").alias("hi"))
                               .where("lo != hi").select("g", "c"))
         met = (placed.join(centers, "g").where(F.col("component") != F.col("c.component"))
@@ -176,19 +175,19 @@ def _among_crowded(sets: DataFrame, share: Share) -> DataFrame:
         # The center a node meets most often; any verified link is a right one.
         stars = (met.groupBy("node").agg(F.max(F.struct("times", "other")).alias("m"))
                  .select(F.greatest("node", "m.other").alias("a"), F.least("node", "m.other").alias("b")).distinct())
-        found = materialize(_verified(stars, sets, share))
+        found = settle(_verified(stars, sets, share))
         links = found if links is None else links.union(found)
-        label = materialize(components(links).withColumnRenamed("id", "node"))
-    placed = materialize(_placed(lists, label))
-    several = materialize(placed.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        label = settle(components(links).withColumnRenamed("id", "node"))
+    placed = settle(_placed(lists, label))
+    several = settle(placed.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                           .where("lo != hi").select("g"))
-    left = materialize(placed.join(several, "g"))
+    left = settle(placed.join(several, "g"))
     other = left.select("g", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
     met = (left.join(other, "g").where((F.col("node") > F.col("b")) & (F.col("component") != F.col("other"))
                                        & share.sizes_fit(F.col("n"), F.col("m")))
            .groupBy(F.col("node").alias("a"), "b", "n", "m").agg(F.count(F.lit(1)).alias("times"))
            .where(F.col("times") >= share.times_col(F.col("n"), F.col("m"))).select("a", "b"))
-    return links.union(materialize(_verified(met, sets, share)))
+    return links.union(settle(_verified(met, sets, share)))
 
 
 def _placed(lists: DataFrame, label: DataFrame) -> DataFrame:
@@ -202,33 +201,33 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
     Jaccard similarity of ``num / den`` or more; the component is named by
     its smallest doc_id."""
     share = Share(num, den)
-    sketches = materialize(_sketches(docs, k, share))
+    sketches = settle(_sketches(docs, k, share))
     known = sketches.where("n > 0")
-    nodes = materialize(known.groupBy("key").agg(F.min("kid").alias("node"), F.first("n").alias("n"),
+    nodes = settle(known.groupBy("key").agg(F.min("kid").alias("node"), F.first("n").alias("n"),
                                                  F.first("low").alias("low")))
     posts = nodes.select("node", "n", F.size("low").alias("kept"), F.posexplode("low").alias("rank", "g"))
-    shared = materialize(nodes.select(F.explode("low").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    shared = settle(nodes.select(F.explode("low").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("df"))
                          .where("df > 1").select("g", (F.col("df") > short).cast("int").alias("long")))
     per_node = Window.partitionBy("node", "n")
     before = per_node.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
     hits = (posts.join(bounded_broadcast(shared, 1_000_000), "g")
             .withColumn("long_before", F.coalesce(F.sum("long").over(before), F.lit(0)))
             .withColumn("crowded", F.col("kept") - F.sum("long").over(per_node) < share.merged_col(F.col("n"))))
-    hits = materialize(hits.where(F.col("crowded") | (
+    hits = settle(hits.where(F.col("crowded") | (
         (F.col("long") == 0) & (F.col("rank") - F.col("long_before") < share.merged_col(F.col("n")))))
         .select("node", "n", "g", "crowded"))
     merge = hits.where("not crowded").select("node", "n", "g")
     met = merge.select(F.col("node").alias("b"), F.col("n").alias("m"), "g")
-    pairs = materialize(
+    pairs = settle(
         merge.join(met, "g").where((F.col("node") > F.col("b")) & share.sizes_fit(F.col("n"), F.col("m")))
         .groupBy(F.col("node").alias("a"), "b", "n", "m").agg(F.count(F.lit(1)).alias("times"))
         .where(F.col("times") >= share.times_col(F.col("n"), F.col("m"))).select("a", "b"))
-    crowded = materialize(hits.where("crowded").select("node").distinct())
+    crowded = settle(hits.where("crowded").select("node").distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node"))
     if not crowded.limit(1).count():
-        links = _verified(pairs, materialize(_whole_sets(docs, wanted, k)), share)
+        links = _verified(pairs, settle(_whole_sets(docs, wanted, k)), share)
     else:
-        sets = materialize(_whole_sets(docs, crowded, k))
+        sets = settle(_whole_sets(docs, crowded, k))
         links = _among_crowded(sets, share)
 
         # The crowded nodes' first short lists, over their whole sets.
@@ -238,17 +237,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
                                                pa.array(g, pa.list_(pa.int64()))], ["node", "n", "gs"])
         every = map_batches(sets, unpack, "node long, n long, gs array<long>") \
             .select("node", "n", F.posexplode("gs").alias("rank", "g"))
-        rare = every.join(materialize(shared.where("long = 1").select("g")), "g", "left_anti")
+        rare = every.join(settle(shared.where("long = 1").select("g")), "g", "left_anti")
         nth = F.row_number().over(Window.partitionBy("node", "n").orderBy("rank"))
-        rare = materialize(rare.withColumn("nth", nth).where(F.col("nth") <= share.merged_col(F.col("n")))
+        rare = settle(rare.withColumn("nth", nth).where(F.col("nth") <= share.merged_col(F.col("n")))
                            .select("node", "n", "g"))
         near = _meeting(rare, posts.select("node", "n", "g").join(bounded_broadcast(
             rare.select("g").distinct(), 1_000_000), "g", "left_semi"), share)
-        pairs = materialize(pairs.union(near).distinct())
+        pairs = settle(pairs.union(near).distinct())
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-        links = links.union(_verified(pairs, materialize(_whole_sets(docs, wanted, k)), share))
-    label = materialize(components(links).withColumnRenamed("id", "node"))
-    placed = materialize(nodes.select("key", "node").join(label, "node", "left")
+        links = links.union(_verified(pairs, settle(_whole_sets(docs, wanted, k)), share))
+    label = settle(components(links).withColumnRenamed("id", "node"))
+    placed = settle(nodes.select("key", "node").join(label, "node", "left")
                          .select("key", F.coalesce("component", "node").alias("component")))
     out = sketches.select("doc_id", "kid", "n", "key").join(placed, "key", "left")
     component = F.coalesce("component", "kid")

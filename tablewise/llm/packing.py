@@ -26,10 +26,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.lineage import materialize
 from ..plans.ranking import global_row_index
 from .common import map_batches, texts
 from .tokens import default_vocabulary, encoder
@@ -189,9 +189,13 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = 4096,
 def place(lengths: DataFrame, capacity: int = 4096) -> DataFrame:
     """Give every row of ``lengths`` (a column ``length`` from 1 to
     ``capacity``) a ``sequence_id`` and an ``offset``."""
-    # Written first: finding the ranges reads the rows, and the rows may be
-    # costly to make.
-    ranked = materialize(global_row_index(materialize(lengths), [F.desc("length")], "_rank"))
+    # Kept while they are ranked: finding the ranges reads the rows once
+    # more, and they may be costly to make. The ranked rows are checkpointed.
+    kept = lengths.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranked = global_row_index(kept, [F.desc("length")], "_rank")
+    finally:
+        kept.unpersist()
     histogram = {r["length"]: r["n"] for r in  # at most ``capacity`` rows
                  ranked.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = plan(histogram, capacity)

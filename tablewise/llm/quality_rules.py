@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.lineage import materialize
-from .common import SPACES, binary_labels, map_batches
+from .common import SPACES, binary_labels, map_batches, settle
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
@@ -178,7 +177,7 @@ def verdict(features: DataFrame, thresholds: Thresholds) -> DataFrame:
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang",
                   alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
     """One row per document: doc_id, stratum, the counts, base_failed, kept."""
-    features = materialize(with_counts(docs, stratum))
+    features = settle(with_counts(docs, stratum))
     return verdict(features, fit(features, labels, alpha, delta))
 
 

@@ -39,8 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.lineage import materialize
-from .common import NULL_ID, map_batches, map_stream
+from .common import NULL_ID, map_batches, map_stream, settle
 from .hashing import BASE, CHUNK, mixed, powers, prefix_hashes, span_hash
 
 PLACE_BITS = 21
@@ -239,7 +238,7 @@ def _counted_ranges(fetched: DataFrame, length: int) -> DataFrame:
             [batch.column("digit").take(at), batch.column("whole").take(at), pa.array(nth.astype(np.int32)),
              pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["digit", "whole", "nth", "x", "y"])
     every = map_batches(fetched, windows, f"{SEGMENT}, nth int, x long, y long")
-    twice = materialize(every.groupBy("digit", "x", "y").agg(F.min("whole").alias("lo"), F.max("whole").alias("hi"))
+    twice = settle(every.groupBy("digit", "x", "y").agg(F.min("whole").alias("lo"), F.max("whole").alias("hi"))
                         .where("lo != hi").select("digit", "x", "y"))
     return (every.join(twice, ["digit", "x", "y"])
             .groupBy("digit", "whole").agg(F.collect_list(
@@ -249,23 +248,23 @@ def _counted_ranges(fetched: DataFrame, length: int) -> DataFrame:
 def repeated_spans(texts: DataFrame, length: int, hot: int) -> DataFrame:
     """``(kid, ksum, spans)``: byte ranges covered by repeated windows, as
     they were found (they may overlap)."""
-    digits = materialize(_digits(texts, length, False).groupBy("digit")
+    digits = settle(_digits(texts, length, False).groupBy("digit")
                          .agg(F.min("whole").alias("lo"), F.max("whole").alias("hi"), F.count(F.lit(1)).alias("n"))
                          .where("n > 1").select("digit", (F.col("lo") == F.col("hi")).alias("equal")))
-    places = materialize(_digits(texts, length, True).join(digits, "digit"))
+    places = settle(_digits(texts, length, True).join(digits, "digit"))
     unequal = places.where(~F.col("equal"))
-    kinds = materialize(unequal.groupBy("digit", "whole")
+    kinds = settle(unequal.groupBy("digit", "whole")
                         .agg(F.min(F.struct("kid", "ksum", "first", "count", "off")).alias("p"),
                              F.count(F.lit(1)).alias("n"))
                         .select("digit", "whole", "p.*", "n"))
-    crowded = materialize(kinds.groupBy("digit").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot)
+    crowded = settle(kinds.groupBy("digit").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot)
                           .select("digit"))
     ranges = _sorted_ranges(_fetch(texts, kinds.join(crowded, "digit", "left_anti"), length), length)
     if crowded.limit(1).count():
         ranges = ranges.union(_counted_ranges(_fetch(texts, kinds.join(crowded, "digit"), length), length))
     # A segment that occurs more than once is repeated as a whole.
     everything = F.array(F.struct(F.lit(0).alias("a"), F.col("count").alias("b")))
-    ranges = materialize(kinds.select("digit", "whole", "n", "count").join(ranges, ["digit", "whole"], "left")
+    ranges = settle(kinds.select("digit", "whole", "n", "count").join(ranges, ["digit", "whole"], "left")
                          .select("digit", "whole", F.when(F.col("n") > 1, everything).otherwise(F.col("ranges"))
                                  .alias("ranges")).where("ranges is not null"))
     span = lambda a, b: F.struct((F.col("first") + a).alias("start"),

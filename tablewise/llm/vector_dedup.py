@@ -33,8 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.lineage import materialize
-from .common import NULL_ID, map_batches, map_stream
+from .common import NULL_ID, map_batches, map_stream, settle
 from .components import components
 
 
@@ -175,7 +174,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, tables:
             out.append((a + 0.0).tobytes() if a.size and np.isfinite(a).all() and a.any() else None)
         return pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(out, pa.binary())], ["vec_id", "raw"])
     rows = map_batches(rows, to_bytes, "vec_id long, raw binary")
-    nodes = materialize(rows.where(F.col("raw").isNotNull()).groupBy("raw")
+    nodes = settle(rows.where(F.col("raw").isNotNull()).groupBy("raw")
                         .agg(F.count(F.lit(1)).alias("copies"),
                              F.min(F.coalesce("vec_id", F.lit(NULL_ID))).alias("low"))
                         .withColumn("node", F.monotonically_increasing_id()))
@@ -199,10 +198,10 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, tables:
         return pa.RecordBatch.from_arrays(
             [batch.column("node"), batch.column("copies"), batch.column("raw"), pa.array(out, pa.binary()),
              pa.array(keys, pa.list_(pa.int64()))], ["node", "copies", "raw", "names", "buckets"])
-    named = materialize(map_batches(nodes.select("node", "copies", "raw"), hashed,
+    named = settle(map_batches(nodes.select("node", "copies", "raw"), hashed,
                                     "node long, copies long, raw binary, names binary, buckets array<long>"))
     posts = named.select("node", "copies", "raw", "names", F.explode("buckets").alias("bucket"))
-    shared = materialize(named.select(F.explode("buckets").alias("bucket"))
+    shared = settle(named.select(F.explode("buckets").alias("bucket"))
                          .groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                          .select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
     # Member of block m goes to the block pairs (i, j), i <= j, with i = m or j = m.
@@ -230,17 +229,17 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, tables:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(node[told]), pa.array(node[label][told]), pa.array(links[told])],
                         ["node", "other", "links"])
-    found = materialize(map_stream(dealt, match, "node long, other long, links long")
+    found = settle(map_stream(dealt, match, "node long, other long, links long")
                         .groupBy("node", "other").agg(F.sum("links").alias("links")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     label = components(found.select("node", "other").where("node != other"))
     member = nodes.join(label.withColumnRenamed("id", "node"), "node", "left") \
         .withColumn("component", F.coalesce("component", "node"))
-    low = materialize(member.groupBy("component").agg(F.min("low").alias("component_low")))
+    low = settle(member.groupBy("component").agg(F.min("low").alias("component_low")))
     placed = (member.join(low, "component").join(links, "node", "left")
               .select("raw", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_low"))
     own = F.coalesce("vec_id", F.lit(NULL_ID))
-    out = rows.join(materialize(placed), "raw", "left").withColumn("component_id", F.coalesce("component_low", own))
+    out = rows.join(settle(placed), "raw", "left").withColumn("component_id", F.coalesce("component_low", own))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.when(F.col("component_id") != NULL_ID, F.col("component_id")).alias("component_id"),
                       (F.col("component_id") == own).alias("kept"))
