@@ -15,7 +15,8 @@ from ..session import checkpoint_dir
 # ASCII white space: the only characters that separate words here.
 SPACES = b" \t\n\r\x0b\x0c"
 
-# Bytes of an Arrow batch that are worked on at once.
+# Rows of an Arrow batch, and bytes of it that are worked on at once.
+BATCH_ROWS = 1000
 SLICE_BYTES = 4 << 20
 
 # Stands for a null id where ids are joined or ordered (null sorts first).
@@ -42,7 +43,14 @@ def map_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[
                schema: str) -> DataFrame:
     """``df.mapInArrow`` whose Python workers can import this package from
     where the driver did, whatever folder they start in. (On a cluster the
-    package is installed or sent along with --py-files.)"""
+    package is installed or sent along with --py-files.)
+
+    Rows are texts, so Spark's default of 10,000 rows a batch would hold tens
+    of megabytes several times over in each task; where the session has that
+    default, batches are set to BATCH_ROWS rows. Other settings stay."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = df.sparkSession.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)

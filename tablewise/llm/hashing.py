@@ -8,13 +8,13 @@ from functools import lru_cache
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _space = re.compile(rb"[ \t-\r]")
 
 
-@lru_cache(4)
+@lru_cache(8)
 def _powers(inverse: bool, size: int) -> np.ndarray:
     base = pow(BASE, -1, 1 << 64) if inverse else BASE
     a = np.full(size, base, np.uint64)
@@ -24,7 +24,7 @@ def _powers(inverse: bool, size: int) -> np.ndarray:
 
 def powers(inverse: bool, size: int) -> np.ndarray:
     """Powers of the base (or its inverse) modulo 2**64, at least ``size``."""
-    return _powers(inverse, max(1 << 21, 1 << (size - 1).bit_length()))
+    return _powers(inverse, max(1 << 16, 1 << (size - 1).bit_length()))
 
 
 def prefix_hashes(text: np.ndarray) -> np.ndarray:
