@@ -30,15 +30,6 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
 
-def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``texts`` plus ``(kid, ksum)``, a key without nulls that tells rows of
-    one id with different texts apart; rows equal in both share the key."""
-    return texts(docs, id_col, text_col).select(
-        "doc_id", "text",
-        F.coalesce("doc_id", F.lit(NULL_ID)).alias("kid"),
-        F.xxhash64("text").alias("ksum"))
-
-
 def map_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                schema: str) -> DataFrame:
     """``df.mapInArrow`` whose Python workers can import this package from

@@ -139,3 +139,38 @@ def op4_ngram_join(spark, sf_dir):
     three-word shingles."""
     from .ngram_join import jaccard_components
     return jaccard_components(load(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+# A-Z is lower-cased, other letters are not.
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE_SQL["op4_ngram_join"] = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ')
+                                   ELSE array_to_string(w[p:p + 2], ' ') END AS g
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS p FROM t WHERE len(w) > 0) x),
+s AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+l AS (SELECT o.a, o.b
+      FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+            FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id) o
+      JOIN s x ON o.a = x.doc_id JOIN s y ON o.b = y.doc_id
+      WHERE 100 * o.both >= 90 * (x.n + y.n - o.both)),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents
+                 UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.c) AS component_id
+FROM r LEFT JOIN s ON r.doc_id = s.doc_id GROUP BY r.doc_id
+"""
+
+ORACLE_SQL["op3_embedding_dedup"] = """
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS n FROM e),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.vec_id <> y.vec_id AND x.n > 0 AND y.n > 0
+      WHERE list_dot_product(x.v, y.v) / (x.n * y.n) >= 0.95),
+d AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+r(vec_id, c) AS (SELECT vec_id, vec_id FROM e UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id),
+m AS (SELECT vec_id, min(c) AS component_id FROM r GROUP BY vec_id)
+SELECT m.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, component_id, m.vec_id = component_id AS kept
+FROM m LEFT JOIN d ON m.vec_id = d.a
+"""
