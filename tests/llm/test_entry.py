@@ -110,3 +110,13 @@ print(len(e.queries()), "pipeline" in e.queries(), len(e.oracle_sql()))
     for missing in ("corpus_pipeline", "tablewise.llm"):
         assert "False" in run(missing).stdout
     assert run("tablewise.llm.packing").returncode != 0
+
+
+def test_settled_tables_keep_rows_in_few_files(spark):
+    from tablewise.llm.common import settle
+    df = spark.range(50_000).repartition(40).withColumnRenamed("id", "x")
+    got = settle(df, rows_per_file=20_000)
+    assert got.rdd.getNumPartitions() == 3
+    assert got.agg({"x": "sum"}).first()[0] == sum(range(50_000))
+    assert settle(df.limit(0)).count() == 0
+    assert not df.storageLevel.useMemory and "Scan" in got._jdf.queryExecution().toString()
