@@ -182,11 +182,18 @@ def _among_crowded(sets: DataFrame, share: Share) -> DataFrame:
     several = settle(placed.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                           .where("lo != hi").select("g"))
     left = settle(placed.join(several, "g"))
-    other = left.select("g", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    met = (left.join(other, "g").where((F.col("node") > F.col("b")) & (F.col("component") != F.col("other"))
-                                       & share.sizes_fit(F.col("n"), F.col("m")))
-           .groupBy(F.col("node").alias("a"), "b", "n", "m").agg(F.count(F.lit(1)).alias("times"))
-           .where(F.col("times") >= share.times_col(F.col("n"), F.col("m"))).select("a", "b"))
+    # Every list that two of these nodes share is among them. With the nodes'
+    # lists at hand a pair is made once, in the list where it meets for the
+    # last time that is asked for, and not once per shared list.
+    own_lists = settle(left.groupBy("node", "n").agg(F.sort_array(F.collect_set("g")).alias("gs")))
+    left = left.join(own_lists, ["node", "n"])
+    other = left.select("g", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"),
+                        F.col("gs").alias("hs"))
+    meet = F.try_element_at(F.array_intersect("gs", "hs"), share.times_col(F.col("n"), F.col("m")).cast("int"))
+    met = (left.join(other.withColumnRenamed("g", "h"), (F.col("g") == F.col("h")) & (F.col("node") > F.col("b"))
+                     & (F.col("component") != F.col("other")) & share.sizes_fit(F.col("n"), F.col("m"))
+                     & (meet == F.col("g")))
+           .select(F.col("node").alias("a"), "b").distinct())
     return links.union(settle(_verified(met, sets, share)))
 
 
