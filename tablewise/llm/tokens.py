@@ -26,8 +26,8 @@ import numpy as np
 
 from .hashing import SPACE, pieces, prefix_hashes, span_hash
 
-STORE_PARTS = 200_000
-SLICE_BYTES = 1 << 19
+STORE_PARTS = 400_000
+SLICE_BYTES = 1 << 20
 JOINED = 2000
 # Punctuation without the apostrophe, which can start a contraction.
 PUNCTUATION = np.zeros(256, bool)
