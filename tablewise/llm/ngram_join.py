@@ -7,7 +7,8 @@ DivideSkip, the lists are divided: of the lists in a fixed order only the
 first n - T + t are merged, where any partner occurs at least t times, and
 the rest are probed, by binary search in the sorted set of the few candidates
 that reach t. The order puts lists of at most ``short`` documents first (by
-hash), so the merge reads short lists.
+hash), so the merge reads short lists. Two documents whose sizes are close
+must meet more often than t times (`Share.times_col`).
 
 1. Every distinct set is a node. A sketch keeps its smallest hashes, more
    than the merge needs. Lists over the sketches are counted; those longer
@@ -19,7 +20,7 @@ hash), so the merge reads short lists.
    near-copies). Their whole sets are read. Against all nodes they merge
    their remaining short lists. Among themselves, with the lists that are
    rarest among them first, they link in rounds of stars: each list names a
-   center, each node is verified against the center it meets most often, and
+   center, each node is verified against the centers it meets most often, and
    verified links join components. A last round compares members of one list
    that still are in different components. So a group of near-copies costs
    links in proportion to its members unless it falls apart.
@@ -49,7 +50,7 @@ from .hashing import shingle_set
 #: Times a candidate must occur in the merged lists.
 TIMES = 3
 SHORT = 16
-STAR_ROUNDS = 2
+STAR_ROUNDS, STAR_CENTERS = 2, 8
 
 
 class Share:
@@ -75,8 +76,13 @@ class Share:
         return n - t + F.least(F.lit(TIMES), t)
 
     def times_col(self, n: Column, m: Column) -> Column:
-        """Times two sets of n and m must meet."""
-        return F.least(F.lit(TIMES), F.ceil(self.num * F.least(n, m) / self.den))
+        """Times two sets of n and m must meet in merged lists. Of the lists
+        they share, those before the end of the shorter of their two merged
+        parts (in the common order) are merged for both, and at most the
+        unmerged lists of that set come after: the overlap the similarity
+        asks for, less the larger number of unmerged lists."""
+        overlap = F.ceil(self.num * (n + m) / (self.num + self.den))
+        return overlap - F.greatest(n - self.merged_col(n), m - self.merged_col(m))
 
     def sizes_fit(self, n: Column, m: Column) -> Column:
         return F.least(n, m) * self.den >= F.greatest(n, m) * self.num
@@ -172,9 +178,10 @@ def _among_crowded(sets: DataFrame, share: Share) -> DataFrame:
         met = (placed.join(centers, "g").where(F.col("component") != F.col("c.component"))
                .where(share.sizes_fit(F.col("n"), F.col("c.n")))
                .groupBy("node", F.col("c.node").alias("other")).agg(F.count(F.lit(1)).alias("times")))
-        # The center a node meets most often; any verified link is a right one.
-        stars = (met.groupBy("node").agg(F.max(F.struct("times", "other")).alias("m"))
-                 .select(F.greatest("node", "m.other").alias("a"), F.least("node", "m.other").alias("b")).distinct())
+        # The centers a node meets most often; any verified link is a right one.
+        nth = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), "other"))
+        stars = (met.withColumn("nth", nth).where(F.col("nth") <= STAR_CENTERS)
+                 .select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct())
         found = settle(_verified(stars, sets, share))
         links = found if links is None else links.union(found)
         label = settle(components(links).withColumnRenamed("id", "node"))
