@@ -50,7 +50,7 @@ from .hashing import shingle_set
 #: Times a candidate must occur in the merged lists.
 TIMES = 3
 SHORT = 16
-STAR_ROUNDS, STAR_CENTERS = 2, 8
+STAR_ROUNDS, STAR_CENTERS = 2, 16
 
 
 class Share:
@@ -135,7 +135,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: Share) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]) \
             .filter(pa.array(keep, pa.bool_()))
     sets = sets.select("node", "hashes")
-    sets = bounded_broadcast(sets, max_bytes=8 << 20)  # few sets need no shuffle of pairs
     both = (pairs.join(sets.withColumnsRenamed({"node": "a", "hashes": "x"}), "a")
             .join(sets.withColumnsRenamed({"node": "b", "hashes": "y"}), "b"))
     return map_batches(both.select("a", "b", "x", "y"), probe, "a long, b long").distinct()
@@ -224,7 +223,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
                          .where("df > 1").select("g", (F.col("df") > short).cast("int").alias("long")))
     per_node = Window.partitionBy("node", "n")
     before = per_node.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    hits = (posts.join(bounded_broadcast(shared, 1_000_000), "g")
+    hits = (posts.join(shared, "g")
             .withColumn("long_before", F.coalesce(F.sum("long").over(before), F.lit(0)))
             .withColumn("crowded", F.col("kept") - F.sum("long").over(per_node) < share.merged_col(F.col("n"))))
     hits = settle(hits.where(F.col("crowded") | (
@@ -255,8 +254,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
         nth = F.row_number().over(Window.partitionBy("node", "n").orderBy("rank"))
         rare = settle(rare.withColumn("nth", nth).where(F.col("nth") <= share.merged_col(F.col("n")))
                            .select("node", "n", "g"))
-        near = _meeting(rare, posts.select("node", "n", "g").join(bounded_broadcast(
-            rare.select("g").distinct(), 1_000_000), "g", "left_semi"), share)
+        near = _meeting(rare, posts.select("node", "n", "g").join(
+            rare.select("g").distinct(), "g", "left_semi"), share)
         pairs = settle(pairs.union(near).distinct())
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node"))
         links = links.union(_verified(pairs, settle(_whole_sets(docs, wanted, k)), share))
