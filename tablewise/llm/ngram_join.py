@@ -28,9 +28,10 @@ must meet more often than t times (`Share.times_col`).
 
 Defined cases: null and empty texts, and texts of white space, have no
 shingles and link with nothing; equal sets are one node and always linked;
-rows that share an id are one document with several sets; null ids are an id
-of their own that sorts first and is given back as null; an empty table gives
-an empty result.
+rows that share an id are one document with several sets (`jaccard_rows`:
+each text for itself); a null id is no id: its row links by its text alone and
+names a component only, as null, if no row of it has an id; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -92,8 +93,8 @@ class Share:
 
 
 def _sketches(docs: DataFrame, k: int, share: Share) -> DataFrame:
-    """``(doc_id, kid, n, key, low)``: size and MD5 of every text's set and
-    its smallest hashes."""
+    """``(doc_id, ksum, n, key, low)``: hash of every text, size and MD5 of
+    its set and the set's smallest hashes."""
     def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, key, low = [], [], []
         for text in batch.column("text").to_pylist():
@@ -102,16 +103,20 @@ def _sketches(docs: DataFrame, k: int, share: Share) -> DataFrame:
             key.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
             low.append(s[:share.sketch(len(s))])
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("kid"), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
-             pa.array(low, pa.list_(pa.int64()))], ["doc_id", "kid", "n", "key", "low"])
-    source = texts(docs).select("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)).alias("kid"), "text")
-    return map_batches(source, sketch, "doc_id long, kid long, n long, key binary, low array<long>")
+            [batch.column("doc_id"), batch.column("ksum"), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
+             pa.array(low, pa.list_(pa.int64()))], ["doc_id", "ksum", "n", "key", "low"])
+    source = texts(docs).select("doc_id", F.xxhash64("text").alias("ksum"), "text")
+    return map_batches(source, sketch, "doc_id long, ksum long, n long, key binary, low array<long>")
 
 
-def _whole_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """``(node, n, hashes)``: the whole sets of the nodes in ``ids``."""
-    source = (texts(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("node"), "text")
-              .join(bounded_broadcast(ids.select("node").distinct()), "node"))
+def _whole_sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """``(node, n, hashes)``: the whole sets of the nodes in ``ids``, each
+    read from the text that ``nodes`` names as its first."""
+    wanted = (nodes.join(ids.select("node").distinct(), "node")
+              .select("node", F.col("first.kid").alias("kid"), F.col("first.ksum").alias("ksum")))
+    source = (texts(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("kid"), F.xxhash64("text").alias("ksum"),
+                                 "text")
+              .join(bounded_broadcast(settle(wanted)), ["kid", "ksum"]).select("node", "text"))
 
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(t, k) for t in batch.column("text").to_pylist()]
@@ -208,16 +213,31 @@ def _placed(lists: DataFrame, label: DataFrame) -> DataFrame:
     return lists.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
-                       short: int = SHORT) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` per row: documents link at a
-    Jaccard similarity of ``num / den`` or more; the component is named by
-    its smallest doc_id."""
+def _same_id(known: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the sets of one id, if an id has several rows."""
+    several = settle(known.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+                     .where("rows > 1").select("doc_id"))
+    if not several.limit(1).count():
+        return None
+    member = settle(known.select("doc_id", "key").join(several, "doc_id").distinct()
+                    .join(nodes.select("key", "node"), "key").select("doc_id", F.col("node").alias("a")))
+    return member.join(member.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").where("a != b").select("a", "b")
+
+
+def jaccard_rows(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, short: int = SHORT,
+                 by_id: bool = False) -> DataFrame:
+    """``(doc_id, ksum, n_shingles, first)`` per row: ``ksum`` is xxhash64 of
+    the text; ``first`` (none, kid, ksum) is the id and text hash of the first
+    row of its component, rows without an id (``none``) last. Texts link at a
+    Jaccard similarity of ``num / den`` or more and, with ``by_id``, if they
+    share an id."""
     share = Share(num, den)
     sketches = settle(_sketches(docs, k, share))
     known = sketches.where("n > 0")
-    nodes = settle(known.groupBy("key").agg(F.min("kid").alias("node"), F.first("n").alias("n"),
-                                                 F.first("low").alias("low")))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(NULL_ID)).alias("kid"), "ksum")
+    nodes = settle(known.groupBy("key").agg(F.min(first).alias("first"), F.first("n").alias("n"),
+                                            F.first("low").alias("low"))
+                   .withColumn("node", F.monotonically_increasing_id()))
     posts = nodes.select("node", "n", F.size("low").alias("kept"), F.posexplode("low").alias("rank", "g"))
     shared = settle(nodes.select(F.explode("low").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("df"))
                          .where("df > 1").select("g", (F.col("df") > short).cast("int").alias("long")))
@@ -238,9 +258,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
     crowded = settle(hits.where("crowded").select("node").distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node"))
     if not crowded.limit(1).count():
-        links = _verified(pairs, settle(_whole_sets(docs, wanted, k)), share)
+        links = _verified(pairs, settle(_whole_sets(docs, nodes, wanted, k)), share)
     else:
-        sets = settle(_whole_sets(docs, crowded, k))
+        sets = settle(_whole_sets(docs, nodes, crowded, k))
         links = _among_crowded(sets, share)
 
         # The crowded nodes' first short lists, over their whole sets.
@@ -258,11 +278,22 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
             rare.select("g").distinct(), "g", "left_semi"), share)
         pairs = settle(pairs.union(near).distinct())
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-        links = links.union(_verified(pairs, settle(_whole_sets(docs, wanted, k)), share))
-    label = settle(components(links).withColumnRenamed("id", "node"))
-    placed = settle(nodes.select("key", "node").join(label, "node", "left")
-                         .select("key", F.coalesce("component", "node").alias("component")))
-    out = sketches.select("doc_id", "kid", "n", "key").join(placed, "key", "left")
-    component = F.coalesce("component", "kid")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(component != NULL_ID, component).alias("component_id"))
+        links = links.union(_verified(pairs, settle(_whole_sets(docs, nodes, wanted, k)), share))
+    same = _same_id(known, nodes) if by_id else None
+    label = settle(components(links if same is None else links.union(same)).withColumnRenamed("id", "node"))
+    low = settle(label.join(nodes.select("node", "first"), "node")
+                 .groupBy("component").agg(F.min("first").alias("low")))
+    low = label.join(bounded_broadcast(low), "component").select("node", "low")
+    placed = settle(nodes.select("key", "node", "first").join(low, "node", "left")
+                    .select("key", F.coalesce("low", "first").alias("first")))
+    out = sketches.select("doc_id", "ksum", "n", "key").join(placed, "key", "left")
+    return out.select("doc_id", "ksum", F.col("n").alias("n_shingles"), F.coalesce("first", first).alias("first"))
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
+                       short: int = SHORT) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` per row: documents link at a
+    Jaccard similarity of ``num / den`` or more; the component is named by
+    its smallest doc_id."""
+    rows = jaccard_rows(docs, k, num, den, short, by_id=True)
+    return rows.select("doc_id", "n_shingles", F.when(~F.col("first.none"), F.col("first.kid")).alias("component_id"))

@@ -146,6 +146,17 @@ def test_jaccard_of_odd_rows(spark):
     assert all(a == b for a, b in got)  # rows that share an id are one document
 
 
+def test_rows_without_an_id_link_by_their_text_alone(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(None, a), (5, a), (7, a + " end"), (None, b), (9, b + " end"), (11, b), (None, c), (None, c + " end"),
+            (20, "alone here now"), (30, "x y z x y"), (30, a + " more")]
+    out = ngram_join.jaccard_components(docs(spark, rows))
+    got = sorted(((r["doc_id"], r["component_id"]) for r in out.collect()), key=str)
+    # The two texts of 30 are one document, and one of them is like a.
+    assert got == sorted([(None, 5), (5, 5), (7, 5), (None, 9), (9, 9), (11, 9), (None, None), (None, None), (20, 20),
+                          (30, 5), (30, 5)], key=str)
+
+
 def test_shingles_do_not_depend_on_chunks(monkeypatch):
     text = (" ".join(f"Word{i % 50}" for i in range(400)) + "\t\nend").encode()
     want = hashing.shingle_set(text, 3)

@@ -91,6 +91,14 @@ def test_stages_on_odd_tables(spark, tmp_path):
             assert stage(spark, d, str(tmp_path)).count() <= max(k == 0, 1) * 10_000
 
 
+def test_copies_of_a_row_without_an_id_go(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(None, a), (5, a), (7, a + " end"), (8, a), (None, b), (9, b + " end"), (11, b)]
+    out = corpus_pipeline.near_duplicates(spark, docs(spark, rows), SMALL)
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([(None, a), (5, a), (None, b), (9, b + " end")], key=str)
+
+
 def test_entry_works_without_the_package(tmp_path):
     """The other queries stay when the package and the pipeline are missing;
     an error inside them is not hidden."""
