@@ -111,12 +111,13 @@ def _sketches(docs: DataFrame, k: int, share: Share) -> DataFrame:
 
 def _whole_sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """``(node, n, hashes)``: the whole sets of the nodes in ``ids``, each
-    read from the text that ``nodes`` names as its first."""
+    read once from the text that ``nodes`` names as its first, however many
+    rows repeat it."""
     wanted = (nodes.join(ids.select("node").distinct(), "node")
               .select("node", F.col("first.kid").alias("kid"), F.col("first.ksum").alias("ksum")))
     source = (texts(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("kid"), F.xxhash64("text").alias("ksum"),
                                  "text")
-              .join(bounded_broadcast(settle(wanted)), ["kid", "ksum"]).select("node", "text"))
+              .join(bounded_broadcast(settle(wanted)), ["kid", "ksum"]).select("node", "text").dropDuplicates(["node"]))
 
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(t, k) for t in batch.column("text").to_pylist()]

@@ -146,6 +146,18 @@ def test_jaccard_of_odd_rows(spark):
     assert all(a == b for a, b in got)  # rows that share an id are one document
 
 
+def test_repeated_rows_of_a_crowded_document_keep_their_links(spark):
+    """Words by hash: with a row repeated, the first lists of x would be read
+    several times over and the later ones, which y shares, not at all."""
+    w = sorted((f"w{i}" for i in range(42)), key=lambda t: hashing.shingle_set(t.encode(), 1)[0])
+    long = w[8:14]  # in more than 2 sets, so x is crowded; y has one of them less and two words of its own
+    x, y = [w[0], *w[3:]], [*w[1:8], *long[1:], *w[14:]]
+    rows = [(1, " ".join(x))] * 6 + [(2, " ".join(y))] + [(10 + i, " ".join([*long, f"own{i}"])) for i in range(3)]
+    assert len(x) == len(y) == 40 and jaccard_components(rows, 1, 90, 100)[2] == (40, 1)
+    out = ngram_join.jaccard_components(docs(spark, rows), 1, 90, 100, short=2)
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == {1: 1, 2: 1, 10: 10, 11: 11, 12: 12}
+
+
 def test_rows_without_an_id_link_by_their_text_alone(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
     rows = [(None, a), (5, a), (7, a + " end"), (None, b), (9, b + " end"), (11, b), (None, c), (None, c + " end"),
