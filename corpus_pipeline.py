@@ -9,8 +9,9 @@ where present, follows the text.
 2. line dedup: lines of repeated three-line windows go but for their first
    occurrence; the documents stay.
 3. n-gram Jaccard join: of documents linked at a similarity of 0.8 of
-   five-word shingles, the one with the smallest doc_id stays; of rows equal
-   in id and text one stays. Rows without an id stay.
+   five-word shingles, the one with the smallest doc_id stays, each text
+   judged by itself where several share an id; of rows equal in id and text
+   one stays. Rows without an id stay.
 4. suffix-array dedup: bytes covered by a 200-byte string that occurs
    elsewhere go; the documents stay, even if nothing is left of them.
 5. best-fit packing: the place of every piece of every document in
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewise.llm.line_dedup import dedup_lines
-from tablewise.llm.ngram_join import jaccard_components
+from tablewise.llm.ngram_join import jaccard_rows
 from tablewise.llm.packing import pack
 from tablewise.llm.quality_rules import passing
 from tablewise.llm.suffix_dedup import without_repeats
@@ -52,10 +53,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    found = jaccard_components(docs)
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return (kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"])
+    found = jaccard_rows(docs)
+    gone = (found.where("doc_id != first.kid or ksum != first.ksum")
+            .select(F.col("doc_id").alias("_id"), F.col("ksum").alias("_text")).distinct())
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    kept = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_text": F.xxhash64(text)})
+    return (kept.join(gone, ["_id", "_text"], "left_anti").dropDuplicates(["_id", "_text"])
             .select(*docs.columns))
 
 

@@ -99,6 +99,14 @@ def test_copies_of_a_row_without_an_id_go(spark):
     assert sorted(got, key=str) == sorted([(None, a), (5, a), (None, b), (9, b + " end")], key=str)
 
 
+def test_texts_that_share_an_id_go_one_by_one(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (5, a + " end"), (5, b), (5, b), (6, c), (6, c + " end"), (6, None)]
+    out = corpus_pipeline.near_duplicates(spark, docs(spark, rows), SMALL)
+    got = sorted(((r["doc_id"], (r["text"] or "-").removesuffix(" end")) for r in out.collect()))
+    assert got == [(1, a), (5, b), (6, "-"), (6, c)]
+
+
 def test_entry_works_without_the_package(tmp_path):
     """The other queries stay when the package and the pipeline are missing;
     an error inside them is not hidden."""
