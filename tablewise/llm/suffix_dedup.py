@@ -146,7 +146,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Ta
 
 
 SEGMENT = "digit long, whole long"
-PLACE = "kid long, ksum int, first int, count int, off int"
+PLACE = "kid long, ksum long, first int, count int, off int"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -154,7 +154,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("kid"),
-                       F.hash(text).alias("ksum"), text.alias("text"))
+                       F.xxhash64(text).alias("ksum"), text.alias("text"))
 
 
 def _digits(texts: DataFrame, length: int, places: bool) -> DataFrame:

@@ -69,6 +69,17 @@ def test_windows_across_chunks(spark, monkeypatch):
     check_removed(spark, [(1, text), (2, shared[10:140])], 20)
 
 
+def test_texts_of_one_id_with_equal_short_hashes_stay_apart(spark):
+    """Two texts without an id and with the same 32-bit hash; a third row
+    repeats one of them."""
+    from pyspark.sql import functions as F
+    pair = (spark.range(300_000).select(F.sha2(F.col("id").cast("string"), 256).alias("t"))
+            .groupBy(F.hash(F.col("t").cast("binary"))).agg(F.sort_array(F.collect_list("t")).alias("ts"))
+            .where("size(ts) > 1").orderBy("ts").first()["ts"])
+    got = check_removed(spark, [(None, pair[0]), (None, pair[1]), (1, pair[0])], 20)
+    assert [r[2] for r in got] == [0, 64, 64]
+
+
 def test_cut_text_keeps_whole_characters_and_columns(spark):
     shared = "é" * 120
     d = docs(spark, [(1, "a" + shared + "b"), (2, "c" + shared + "d"), (3, None)])
