@@ -111,8 +111,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, name: str, per_class: in
                           & (F.length("text") <= sample_bytes))
     rows: list[tuple[bytes, int]] = []
     for label in (0, 1):
-        # Twice the wanted ids, as some texts may be missing or too long; ids only travel.
-        ids = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_class)
+        # Of the ids that have a text that fits; ids only travel.
+        ids = (known.where(F.col("label") == label).join(d.select("doc_id"), "doc_id", "left_semi")
+               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class))
         picked = (d.join(F.broadcast(ids), "doc_id")
                   .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(per_class))
         rows += [(bytes(r["text"]), r["label"]) for r in picked.select("text", "label").collect()]

@@ -124,6 +124,14 @@ def test_models_on_odd_tables(spark, score):
     assert len(alone) == len(odd_rows())
 
 
+def test_sample_is_full_where_few_labelled_ids_have_a_text_that_fits(spark):
+    labels = spark.range(4000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality")
+    rows = [(i, "long " * 50 if i < 1000 else f"text {i}") for i in range(1040)]
+    sample, share = common.labelled_sample(docs(spark, rows), labels, "quality", 10, 20)
+    assert sorted(y for _, y in sample) == [0] * 10 + [1] * 10 and abs(share - 0.5) < 0.1
+    assert all(len(t) <= 20 for t, _ in sample)
+
+
 def test_sample_never_holds_the_held_out_fold(spark):
     rows, labels = labelled(spark)
     marked = [(i, f"id{i} " + t) for i, t in rows]
