@@ -5,13 +5,15 @@ event id."""
 import hashlib
 
 from ..catalog import register
-from ..sources.tables import events_stream
+from ..sources.tables import events_stream, files_of
 from ..streaming import events as st
 
 
-def _name(kind: str, sf_dir: str) -> str:
-    """A stream belongs to a query and the folder it reads."""
-    return f"{kind}-{hashlib.md5(sf_dir.encode()).hexdigest()[:16]}"
+def _name(spark, kind: str, sf_dir: str) -> str:
+    """A stream belongs to a query, the folder it reads and the files there:
+    a file rewritten under its name would be taken as read."""
+    state = repr((sf_dir, files_of(spark, sf_dir, "events")))
+    return f"{kind}-{hashlib.md5(state.encode()).hexdigest()[:16]}"
 
 
 @register("stream_daily_counts", "P32", sql="""
@@ -22,7 +24,7 @@ HAVING window_start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM e
 """)
 def q_stream_daily_counts(spark, sf_dir):
     """Streaming daily event counts, one-hour watermark, closed windows."""
-    return st.run_to_parquet(spark, st.daily_counts(events_stream(spark, sf_dir)), _name("daily-counts", sf_dir))
+    return st.run_to_parquet(spark, st.daily_counts(events_stream(spark, sf_dir)), _name(spark, "daily-counts", sf_dir))
 
 
 @register("stream_dedupe", "P33", sql="""
@@ -33,4 +35,4 @@ FROM events GROUP BY event_id
 def q_stream_dedupe(spark, sf_dir):
     """Streaming removal of repeated event ids within a one-hour watermark."""
     return st.run_to_parquet(spark, st.dedupe_within_watermark(events_stream(spark, sf_dir)),
-                             _name("dedupe", sf_dir))
+                             _name(spark, "dedupe", sf_dir))

@@ -31,6 +31,14 @@ def load_all(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFr
     return {n: load(spark, sf_dir, n) for n in names}
 
 
+def files_of(spark: SparkSession, sf_dir: str, name: str) -> list[tuple[str, int, str]]:
+    """Path, size and modification time of the table's files, sorted; the
+    files are listed and not read."""
+    found = spark.read.format("binaryFile").load(path(sf_dir, name))
+    return sorted(tuple(r) for r in found.selectExpr("path", "length", "cast(unix_micros(modificationTime) AS string)")
+                  .collect())
+
+
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """`events` as a streaming source, stored as one file or as a folder of
     part files; files that arrive in the folder later are picked up. Fails

@@ -106,3 +106,13 @@ def test_restart_resumes_without_repeats(spark, tmp_path):
     write(folder, "part-1.parquet", t.slice(600), 1_000_100)
     assert run().count() == t.num_rows
     assert run().count() == t.num_rows
+
+
+def test_query_reads_a_file_rewritten_under_its_name(spark, tmp_path):
+    from tablewise.queries.stream_queries import q_stream_dedupe
+    t = pq.read_table(f"{SF_SMALL}/events.parquet")
+    for part in (t.slice(0, 300), t.slice(300, 400)):
+        pq.write_table(part, tmp_path / "events.parquet")
+        for _ in range(2):
+            got = {r["event_id"] for r in q_stream_dedupe(spark, str(tmp_path)).select("event_id").collect()}
+            assert got == set(part["event_id"].to_pylist())
