@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.broadcast import bounded_broadcast
 from .common import SPACES, binary_labels, map_batches, settle
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -120,12 +121,12 @@ class Thresholds:
 
 
 def choose(counts: list[tuple[str | None, str, float, int, int, int]],
-           alpha: float, delta: float) -> Thresholds:
+           alpha: float, delta: float, sequences: int | None = None) -> Thresholds:
     """Of the certified cutoffs of each stratum and rule, the one that
     rejects the most bad documents less the good ones; ties go to the more
     lenient. ``counts``: (stratum, rule, cutoff, good documents, good
     rejected, bad rejected), the cutoffs of a stratum and rule from lenient
-    to strict."""
+    to strict; ``sequences`` if there are more of them than ``counts`` has."""
     tests: dict[tuple[str | None, str], list[tuple[float, int, int, int]]] = {}
     for stratum, rule, *rest in counts:
         tests.setdefault((stratum, rule), []).append(tuple(rest))
@@ -136,7 +137,7 @@ def choose(counts: list[tuple[str | None, str, float, int, int, int]],
         for cutoff, good, good_rejected, bad_rejected in sequence:
             # Fixed sequence: the first cutoff that fails ends the testing,
             # so the cutoffs of one sequence share one error level.
-            if not certified(good_rejected, good, alpha / rules, delta / len(tests)):
+            if not certified(good_rejected, good, alpha / rules, delta / (sequences or len(tests))):
                 break
             if bad_rejected - good_rejected > best:
                 best = bad_rejected - good_rejected
@@ -144,11 +145,11 @@ def choose(counts: list[tuple[str | None, str, float, int, int, int]],
     return Thresholds(found)
 
 
-def fit(features: DataFrame, labels: DataFrame, alpha: float = 0.05, delta: float = 0.05) -> Thresholds:
-    """Thresholds from the labelled rows of ``features``. Only documents that
-    pass the base rules count. What reaches the driver is one row per
-    stratum (of the 1,000 strata with the most labelled documents; others
-    keep the base rules) and 3 numbers per rule and cutoff."""
+def fit(features: DataFrame, labels: DataFrame, alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
+    """``(stratum, cutoff per rule)`` of the strata with a certified cutoff,
+    from the labelled rows of ``features``. Only documents that pass the base
+    rules count. Every stratum with labels has its share of the error level;
+    those with too few good labels to certify anything are not looked at."""
     rules = ratios()
     joined = (features.where(~base_failed())
               .join(binary_labels(labels, "quality"), "doc_id")
@@ -159,19 +160,33 @@ def fit(features: DataFrame, labels: DataFrame, alpha: float = 0.05, delta: floa
         for i, c in enumerate(CUTOFFS):
             aggs += [F.count_if(good & (F.col(r) > c)).alias(f"{r}_{i}_g"),
                      F.count_if(~good & (F.col(r) > c)).alias(f"{r}_{i}_b")]
-    rows = joined.groupBy("stratum").agg(*aggs).orderBy(F.desc("good"), "stratum").limit(1000).collect()
-    return choose([(s["stratum"], r, c, s["good"], s[f"{r}_{i}_g"], s[f"{r}_{i}_b"])
-                   for s in rows for r in rules for i, c in enumerate(CUTOFFS)], alpha, delta)
-
-
-def verdict(features: DataFrame, thresholds: Thresholds) -> DataFrame:
+    counts = settle(joined.groupBy("stratum").agg(*aggs))
+    names, sequences = list(rules), max(1, counts.count() * len(rules))
+    # Without a single false rejection the tail is (1 - alpha / rules) ** good.
+    least = math.log(delta / sequences) / math.log1p(-alpha / len(names))
+
+    def pick(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = batch.to_pylist()
+        found = choose([(s["stratum"], r, c, s["good"], s[f"{r}_{i}_g"], s[f"{r}_{i}_b"])
+                        for s in rows for r in names for i, c in enumerate(CUTOFFS)], alpha, delta, sequences).cutoffs
+        return pa.RecordBatch.from_arrays(
+            [batch.column("stratum"), *[pa.array([found.get((s["stratum"], r)) for s in rows], pa.float64())
+                                        for r in names]], ["stratum", *names])
+    able = counts.where(F.col("good") >= math.floor(least))
+    return settle(map_batches(able, pick, "stratum string, " + ", ".join(f"{r} double" for r in names))
+                  .where(F.coalesce(*names).isNotNull()))
+
+
+def verdict(features: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """``features`` plus ``base_failed`` and ``kept``."""
     rules = ratios()
+    limits = bounded_broadcast(cutoffs.select(F.col("stratum").alias("_stratum"), F.struct(*rules).alias("_cutoffs")))
     rejected = F.lit(False)
-    for (stratum, rule), cutoff in sorted(thresholds.cutoffs.items(), key=str):
-        rejected = rejected | (F.col("stratum").eqNullSafe(F.lit(stratum)) & (rules[rule] > cutoff))
-    return (features.withColumn("base_failed", base_failed())
-            .withColumn("kept", ~F.col("base_failed") & ~rejected))
+    for rule, value in rules.items():
+        rejected = rejected | F.coalesce(value > F.col(f"_cutoffs.{rule}"), F.lit(False))
+    return (features.join(limits, F.col("stratum").eqNullSafe(F.col("_stratum")), "left")
+            .withColumn("base_failed", base_failed())
+            .withColumn("kept", ~F.col("base_failed") & ~rejected).drop("_stratum", "_cutoffs"))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang",

@@ -72,6 +72,18 @@ def labelled(spark):
     return good + bad, labels
 
 
+def test_every_stratum_with_enough_labels_gets_its_cutoffs(spark):
+    rows = spark.range(8 * 1100).selectExpr(
+        "id AS doc_id", "nullif(concat('s', id % 1100), 's7') AS stratum", "id >= 5 * 1100 AS bad")
+    features = rows.selectExpr("doc_id", "stratum", "100L AS n_words", "500L AS word_chars",
+                               "if(bad, 200L, 0L) AS n_symbols", "0L AS n_dup_lines", "0L AS n_repeat_words")
+    labels = rows.selectExpr("doc_id", "cast(NOT bad AS int) AS quality")
+    # At an alpha of 0.9 a rule, five good documents are enough.
+    out = quality_rules.verdict(features, quality_rules.fit(features, labels, 3.6, 0.05))
+    assert out.where("kept").count() == 5 * 1100 == out.where("kept AND n_symbols = 0").count()
+    assert out.count() == 8 * 1100 and out.columns == [*features.columns, "base_failed", "kept"]
+
+
 def test_rules_reject_what_labels_show(spark):
     rows, labels = labelled(spark)
     rows += [(5000, "%% " * 100), (5001, " ".join(f"clean{j}" for j in range(80))), (None, None)]
