@@ -3,9 +3,10 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
-SF_SMALL = "/root/testdata/sf0.001"
+from small import SF_SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -7,7 +7,7 @@ import pytest
 from tablewise.catalog import REGISTRY
 from tablewise.sources.tables import TABLES
 
-from conftest import SF_SMALL
+from small import SF_SMALL
 
 
 @pytest.fixture(scope="module")

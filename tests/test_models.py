@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablewise.catalog import REGISTRY
 from tablewise.operators import clean, evaluate, models, text_vectors
 
-from conftest import SF_SMALL
+from small import SF_SMALL
 
 
 def test_kmeans_assigns_nearest_centre(spark):

@@ -6,7 +6,7 @@ import pytest
 from oracle_check import compare
 from tablewise.catalog import REGISTRY
 
-from conftest import SF_SMALL
+from small import SF_SMALL
 
 WITH_SQL = sorted(n for n, q in REGISTRY.items() if q.sql)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tablewise.sources.tables import events_stream
 from tablewise.streaming import events as st
 
-from conftest import SF_SMALL
+from small import SF_SMALL
 
 
 def write(folder, name, table, mtime):
