@@ -46,6 +46,36 @@ def span_hash(p: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mixed((p[end] - p[start]) * powers(True, len(p))[start])
 
 
+def distinct_spans(text: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, which): ``first`` are the numbers of the spans [start, stop)
+    that differ from all earlier ones, ``which`` gives every span its place
+    in ``first``. Hashes only propose equal spans; their bytes are compared,
+    eight at a time."""
+    _, first, which = np.unique(span_hash(prefix_hashes(text), start, stop), return_index=True, return_inverse=True)
+    size, same = stop - start, first[which]
+    differs = size != size[same]
+    padded = np.concatenate((text, np.zeros(8, np.uint8)))
+    words = np.lib.stride_tricks.as_strided(padded.view(np.uint8)[:8].view("<u8"), (len(text) + 1,), (1,))
+    rows, done = np.flatnonzero(~differs), 0
+    while len(rows):
+        left = size[rows] - done
+        mask = np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.minimum(left, 8).astype(np.uint64) * np.uint64(8))
+        unlike = ((words[start[rows] + done] ^ words[start[same[rows]] + done]) & mask) != 0
+        differs[rows[unlike]] = True
+        rows, done = rows[~unlike & (left > 8)], done + 8
+    if differs.any():  # one hash, several strings
+        others: dict[bytes, int] = {}
+        more = []
+        for i in np.flatnonzero(differs).tolist():
+            key = text[start[i]:stop[i]].tobytes()
+            if key not in others:
+                others[key] = len(first) + len(more)
+                more.append(i)
+            which[i] = others[key]
+        first = np.concatenate((first, more))
+    return first, which
+
+
 def pieces(text: bytes):
     """The text in pieces of about CHUNK bytes that end at white space."""
     at = 0

@@ -4,7 +4,7 @@ The vocabulary in use drops white space and never forms a token across it,
 and its splitting rule ends a token between a letter and punctuation other
 than an apostrophe. So a text's ids are the ids of its parts, cut at these
 places, one after the other. Parts recur: each Python worker encodes a part
-once and keeps its ids under the part's 64-bit hash, in a store of fixed size
+once and keeps its ids under the part's bytes, in a store of fixed size
 that starts anew when it is full. Cutting, looking up and putting together
 are array operations over a few megabytes of text.
 
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from .hashing import SPACE, pieces, prefix_hashes, span_hash
+from .hashing import SPACE, distinct_spans, pieces
 
 STORE_PARTS = 400_000
 SLICE_BYTES = 1 << 20
@@ -49,14 +49,14 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[int, int] = {}  # hash of a part -> its number
+        self.number: dict[bytes, int] = {}  # a part -> its number
         self.ids = np.empty(1 << 16, "<u4")
         self.first = np.zeros(1, np.int64)  # part n has ids[first[n]:first[n + 1]]
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _learn(self, hashes: list[int], parts: list[bytes]) -> None:
+    def _learn(self, parts: list[bytes]) -> None:
         joined, single = [], []
         for i, w in enumerate(parts):
             if w.isalpha():  # ASCII letters
@@ -82,35 +82,42 @@ class WordEncoder:
             arrays.append(self._encode(parts[i].decode("utf-8", "replace")))
             lengths.append(len(arrays[-1]))
             order.append(i)
+        self._keep([parts[i] for i in order], arrays, lengths)
+
+    def _keep(self, parts: list[bytes], arrays: list[np.ndarray], lengths: list[int]) -> None:
+        """Store parts with their ids, ``lengths`` of the joined ``arrays`` each."""
         n = len(self.number)
-        self.number.update(zip([hashes[i] for i in order], range(n, n + len(order))))
+        self.number.update(zip(parts, range(n, n + len(parts))))
         self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(lengths)))
         old, total = int(self.first[n]), int(self.first[-1])
         if total > len(self.ids):
             self.ids = np.concatenate((self.ids[:old], np.empty(2 * total - old, "<u4")))
         self.ids[old:total] = np.concatenate(arrays)
 
-    def _slice(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each of a few texts without special strings."""
-        if len(self.number) > STORE_PARTS:
-            self._forget()
+    def _cut(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The texts, joined by line ends, and where their parts start and stop."""
         buf = np.frombuffer(b"\n".join(texts).lower(), np.uint8)
         space = SPACE[buf]
         letter = (buf >= 97) & (buf <= 122)
-        cut = np.concatenate(([True], space[:-1] | (letter[:-1] & PUNCTUATION[buf[1:]])))
+        cut = np.concatenate(([True], space[:-1] | (letter[:-1] & PUNCTUATION[buf[1:]])))[:len(buf)]
         start = np.flatnonzero(cut & ~space)
-        stop = np.flatnonzero(np.append(cut[1:] | space[1:], True) & ~space) + 1
-        out = [b""] * len(texts)
+        stop = np.flatnonzero(np.append(cut[1:] | space[1:], True)[:len(buf)] & ~space) + 1
+        return buf, start, stop
+
+    def _slice(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each of a few texts without special strings."""
+        if len(self.number) > STORE_PARTS:
+            self._forget()
+        buf, start, stop = self._cut(texts)
         if not len(start):
-            return out
-        hashes, at, which = np.unique(span_hash(prefix_hashes(buf), start, stop),
-                                      return_index=True, return_inverse=True)
-        known = hashes.tolist()
-        number = np.array([self.number.get(h, -1) for h in known])
+            return [b""] * len(texts)
+        first, which = distinct_spans(buf, start, stop)
+        raw, a, b = buf.tobytes(), start[first].tolist(), stop[first].tolist()
+        known = [raw[i:j] for i, j in zip(a, b)]
+        number = np.array([self.number.get(p, -1) for p in known])
         new = np.flatnonzero(number < 0).tolist()
         if new:
-            raw, a, b = buf.tobytes(), start[at].tolist(), stop[at].tolist()
-            self._learn([known[i] for i in new], [raw[a[i]:b[i]] for i in new])
+            self._learn([known[i] for i in new])
             number[new] = [self.number[known[i]] for i in new]
         part = number[which]
         count = self.first[part + 1] - self.first[part]
