@@ -174,3 +174,71 @@ m AS (SELECT vec_id, min(c) AS component_id FROM r GROUP BY vec_id)
 SELECT m.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, component_id, m.vec_id = component_id AS kept
 FROM m LEFT JOIN d ON m.vec_id = d.a
 """
+
+
+@query
+def op11_fill_in_middle(spark, sf_dir):
+    """Form, cuts and digests of every document's fill-in-middle output."""
+    from pyspark.sql import functions as F
+
+    from .infill import fill_in_middle, restored
+    out = restored(fill_in_middle(load(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2("text", 256).alias("restored_sha256"))
+
+
+ORACLE_SQL["op11_fill_in_middle"] = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS w,
+             CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+             CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM t),
+c AS (SELECT *, CAST(len(w) AS BIGINT) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a,
+             greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                       OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT doc_id, text, n, form, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle,
+             array_to_string(w[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query
+def op12_window_packing(spark, sf_dir):
+    """Place of every piece of every document in windows of 1024 tokens."""
+    from .window_packing import pack_windows
+    return pack_windows(load(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    """Hard negatives of every anchor and positive."""
+    from pyspark.sql import functions as F
+
+    from .hard_negatives import hard_negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(load(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
+ORACLE_SQL["op13_hard_negatives"] = """
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, b.vec_id, b.label = a.label AS alike,
+             CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) AS k FROM s WHERE alike)
+      WHERE k <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+             s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.ar, p.k ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON s.ar = p.ar AND NOT s.alike
+      AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 10
+"""
