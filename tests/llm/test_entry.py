@@ -19,7 +19,7 @@ SMALL = "/root/testdata/sf0.001"
 def test_one_query_per_operator():
     import __spark_entry__
     names = __spark_entry__.queries()
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in names
 
 

@@ -1,0 +1,87 @@
+"""Hard negatives against plain loops."""
+
+import math
+import random
+
+import numpy as np
+
+from tablewise.llm import hard_negatives as hn
+
+SCHEMA = "vec_id long, embedding array<float>, label int, score int, anchor long"
+
+
+def expected(rows, positives=5, negatives=10, low=30, high=90, every=100):
+    ok = [(-math.inf if i is None else i, i, label, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v, label in rows
+          if label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for at, (_, i, label, v) in enumerate(ok):
+        if i is None or i % every:
+            continue
+        others = sorted((-sum(x * y for x, y in zip(v, w)), key, j, m) for k, (key, j, m, w) in enumerate(ok)
+                        if k != at and len(w) == len(v))
+        for s, _, j, m in [o for o in others if o[3] == label][:positives]:
+            inside = [(-t, b) for t, _, b, m in others if m != label and low * -s <= 100 * -t <= high * -s]
+            out += [(i, j, k + 1, b, -s, t) for k, (t, b) in enumerate(inside[:negatives])]
+    return sorted(out, key=str)
+
+
+def rows_of(seed, n=400, width=8):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        v = [rng.choice([-0.5, 0.1, 0.25, 0.5, 1.0]) for _ in range(width)]
+        if rng.random() < 0.3:
+            v = [0.5] * width  # a common vector: many ties
+        rows.append((i * 10 if i % 3 else i, v, rng.choice([0, 0, 0, 1, 2])))
+    rows += [(None, [0.4] * width, 1), (None, [0.5] * width, 0), (700, None, 1), (800, [0.5] * width, None),
+             (900, [float("nan")] + [0.5] * (width - 1), 1), (1000, [None] * width, 0), (1100, [float("inf")] * width, 0),
+             (1200, [0.5, 0.25], 0), (1300, [0.5, 0.5], 0), (1301, [0.3, 0.2], 1), (1400, [], 0), (-200, [0.5] * width, 1),
+             (5000, [0.0] * width, 7), (5001, [0.0] * width, 7), (4, [0.0] * width, 3)]
+    return rows
+
+
+def got(spark, rows, **kw):
+    df = spark.createDataFrame([(i, v, label, 0, 0) for i, v, label in rows], SCHEMA)
+    return sorted(map(tuple, hn.hard_negatives(df, **kw).collect()), key=str)
+
+
+def test_against_plain_loops(spark):
+    rows = rows_of(1)
+    assert got(spark, rows) == expected(rows)
+
+
+def test_many_cells_give_the_same(spark):
+    rows = rows_of(2)
+    assert got(spark, rows, block=40, anchor_block=5) == expected(rows)
+
+
+def test_repeated_rows_and_repeated_anchors(spark):
+    rows = [(100, [1.0, 0.5], 1)] * 2 + [(101, [1.0, 0.5], 1), (102, [0.5, 0.5], 2), (102, [0.5, 0.5], 2), (103, [0.5, 0.0], 3)]
+    want = expected(rows)
+    assert got(spark, rows) == want and len(want) > 4
+
+
+def test_empty_tables_and_no_anchor(spark):
+    assert got(spark, []) == []
+    assert got(spark, [(1, [1.0], 0), (2, [0.5], 1)]) == []
+    assert got(spark, [(100, [1.0], 0)]) == []
+
+
+def test_large_components_stay_exact():
+    a = np.array([[2.0 ** 40, 3.0], [1.0, -1.0]])
+    b = np.array([[2.0 ** 22, 1.0], [2.0 ** 30, 2.0]])
+    want = [[2 ** 62 + 3, hn.LONG], [2 ** 22 - 1, 2 ** 30 - 2]]
+    assert hn.products(a, b).tolist() == want
+
+
+def test_keys_sort_by_anchor_falling_score_kind_and_id():
+    rng = random.Random(3)
+    rows = [(rng.randint(0, 3), rng.choice([-hn.LONG, -1, 0, 5, hn.LONG]), rng.randint(0, 1),
+             rng.choice([hn.NULL_ID, -5, 0, 9, hn.LONG]), rng.randint(0, 2)) for _ in range(300)]
+    assert sorted(rows, key=lambda r: hn.packed_key(*r)) == sorted(rows, key=lambda r: (r[0], -r[1], *r[2:]))
+
+
+def test_windows_hold_their_bounds():
+    for s in range(-50, 300):
+        a, b = hn.windows_of(s, 30, 90)
+        assert [t for t in range(-400, 400) if 30 * s <= 100 * t <= 90 * s] == list(range(a, b + 1))

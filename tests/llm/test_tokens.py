@@ -134,3 +134,13 @@ def test_unigram_model_is_rebuilt(tmp_path):
     ids, same = c.encode([t.encode() for t in texts])
     assert all(same) and [np.frombuffer(i, "<u4").tolist() for i in ids] == c.reference.encode(texts)
     assert c.decode(ids) == texts
+
+
+def test_parts_of_equal_hash_keep_their_own_ids():
+    a, flip = "a", str.maketrans("ab", "ba")
+    for _ in range(11):
+        a += a.translate(flip)
+    a, b = a[:1024], a[:1024].translate(flip)
+    e = tokens.WordEncoder(tokens.default_vocabulary())
+    texts = [f"{a} {b} {a}", b, a]
+    assert [np.frombuffer(i, "<u4").tolist() for i in e.encode([t.encode() for t in texts])] == [whole(e, t) for t in texts]
