@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from functools import lru_cache
 
@@ -86,22 +87,45 @@ def pieces(text: bytes):
         at = end
 
 
-def word_hashes(text: bytes, lower: bool = True) -> np.ndarray:
-    """Hash of each word (no ASCII white space inside), A-Z lower-cased."""
-    out = []
+LONGEST = 64  # bytes of a word that are hashed by table
+
+
+@lru_cache(2)
+def _word_table(seed: int) -> np.ndarray:
+    """A random number for every (place in a word, byte)."""
+    return np.random.default_rng(seed).integers(0, 1 << 64, LONGEST << 8, np.uint64)
+
+
+def word_hashes(text: bytes, lower: bool = True, seed: int = 0) -> np.ndarray:
+    """Hash of each word (no ASCII white space inside), A-Z lower-cased: the
+    sum of random numbers drawn from ``seed`` for its bytes and their places;
+    a keyed digest for words of more than LONGEST bytes. With a seed that is
+    not known beforehand no two words can be made to collide."""
+    table, out = _word_table(seed), []
     for piece in pieces(text):
         b = np.frombuffer(piece, np.uint8)
         if lower:
             b = np.where((b >= 65) & (b <= 90), b + np.uint8(32), b)
-        edge = np.diff(np.concatenate(([0], ~SPACE[b], [0])).astype(np.int8))
-        out.append(span_hash(prefix_hashes(b), np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)))
+        inside = ~SPACE[b]
+        edge = np.diff(np.concatenate(([0], inside, [0])).astype(np.int8))
+        start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        begun = np.concatenate(([0], start))  # of the word a byte is in or after
+        place = np.arange(len(b)) - np.repeat(begun, np.diff(np.append(begun, len(b))))
+        value = table[np.minimum(place, LONGEST - 1) << 8 | b]
+        value[~inside] = 0
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))
+        h = total[stop] - total[start]
+        for i in np.flatnonzero(stop - start > LONGEST).tolist():
+            key = seed.to_bytes(16, "little")
+            h[i] = int.from_bytes(hashlib.blake2b(b[start[i]:stop[i]].tobytes(), digest_size=8, key=key).digest(), "little")
+        out.append(h)
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def shingle_set(text: bytes, k: int) -> np.ndarray:
+def shingle_set(text: bytes, k: int, seed: int = 0) -> np.ndarray:
     """Sorted distinct hashes of the text's ``k``-word shingles; a text of
     fewer words has its whole sequence as one, a text without words none."""
-    w = word_hashes(text)
+    w = word_hashes(text, seed=seed)
     if not len(w):
         return w
     n = min(k, len(w))

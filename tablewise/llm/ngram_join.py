@@ -21,9 +21,12 @@ must meet more often than t times (`Share.times_col`).
    their remaining short lists. Among themselves, with the lists that are
    rarest among them first, they link in rounds of stars: each list names a
    center, each node is verified against the centers it meets most often, and
-   verified links join components. A last round compares members of one list
-   that still are in different components. So a group of near-copies costs
-   links in proportion to its members unless it falls apart.
+   verified links join components. What is left between components is searched
+   in cells (`_between`): nodes are dealt into blocks, two blocks that share a
+   list meet in a task, and inside it every node merges its shortest lists of
+   the cell and probes the long ones. No pair leaves the task, only an edge per
+   component joined. So a group costs links in proportion to its members, and
+   rows in proportion to its members times its blocks.
 4. Candidates are verified on whole sets; components come from the links.
 
 Defined cases: null and empty texts, and texts of white space, have no
@@ -37,6 +40,8 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import secrets
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +49,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.broadcast import bounded_broadcast
-from .common import NULL_ID, map_batches, settle, texts
+from ..plans.ranking import running_total
+from .common import NULL_ID, map_batches, map_stream, settle, texts
 from .components import components
 from .hashing import shingle_set
 
@@ -52,6 +58,8 @@ from .hashing import shingle_set
 TIMES = 3
 SHORT = 16
 STAR_ROUNDS, STAR_CENTERS = 2, 16
+#: Shingles of a block of nodes, a node counted as NODE more; candidates probed at once.
+BLOCK, NODE, PROBES = 1 << 17, 256, 64
 
 
 class Share:
@@ -92,13 +100,13 @@ class Share:
         return self.den * both >= self.num * (n + m - both)
 
 
-def _sketches(docs: DataFrame, k: int, share: Share) -> DataFrame:
+def _sketches(docs: DataFrame, k: int, share: Share, seed: int) -> DataFrame:
     """``(doc_id, ksum, n, key, low)``: hash of every text, size and MD5 of
     its set and the set's smallest hashes."""
     def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, key, low = [], [], []
         for text in batch.column("text").to_pylist():
-            s = shingle_set(text, k).view(np.int64)
+            s = shingle_set(text, k, seed).view(np.int64)
             n.append(len(s))
             key.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
             low.append(s[:share.sketch(len(s))])
@@ -109,7 +117,7 @@ def _sketches(docs: DataFrame, k: int, share: Share) -> DataFrame:
     return map_batches(source, sketch, "doc_id long, ksum long, n long, key binary, low array<long>")
 
 
-def _whole_sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+def _whole_sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, k: int, seed: int) -> DataFrame:
     """``(node, n, hashes)``: the whole sets of the nodes in ``ids``, each
     read once from the text that ``nodes`` names as its first, however many
     rows repeat it."""
@@ -120,7 +128,7 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, k: int) -> Da
               .join(bounded_broadcast(settle(wanted)), ["kid", "ksum"]).select("node", "text").dropDuplicates(["node"]))
 
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingle_set(t, k) for t in batch.column("text").to_pylist()]
+        sets = [shingle_set(t, k, seed) for t in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays(
             [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["node", "n", "hashes"])
@@ -171,7 +179,7 @@ def _among_crowded(sets: DataFrame, share: Share) -> DataFrame:
     lone = F.col("n") - F.count(F.lit(1)).over(own)  # lists of one node come before all others
     lists = settle(rows.join(df_, "g")
                         .withColumn("r", F.row_number().over(own.orderBy("df", "g")) + lone)
-                        .where(F.col("r") <= share.merged_col(F.col("n"))).select("node", "n", "g"))
+                        .where(F.col("r") <= share.merged_col(F.col("n"))).select("node", "n", "g", "r"))
     links = None
     label = lists.select("node", F.col("node").alias("component")).distinct()
     for r in range(STAR_ROUNDS):
@@ -193,20 +201,102 @@ def _among_crowded(sets: DataFrame, share: Share) -> DataFrame:
     placed = settle(_placed(lists, label))
     several = settle(placed.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                           .where("lo != hi").select("g"))
-    left = settle(placed.join(several, "g"))
-    # Every list that two of these nodes share is among them. With the nodes'
-    # lists at hand a pair is made once, in the list where it meets for the
-    # last time that is asked for, and not once per shared list.
-    own_lists = settle(left.groupBy("node", "n").agg(F.sort_array(F.collect_set("g")).alias("gs")))
-    left = left.join(own_lists, ["node", "n"])
-    other = left.select("g", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"),
-                        F.col("gs").alias("hs"))
-    meet = F.try_element_at(F.array_intersect("gs", "hs"), share.times_col(F.col("n"), F.col("m")).cast("int"))
-    met = (left.join(other.withColumnRenamed("g", "h"), (F.col("g") == F.col("h")) & (F.col("node") > F.col("b"))
-                     & (F.col("component") != F.col("other")) & share.sizes_fit(F.col("n"), F.col("m"))
-                     & (meet == F.col("g")))
-           .select(F.col("node").alias("a"), "b").distinct())
-    return links.union(settle(_verified(met, sets, share)))
+    # Two linked nodes share one of each other's first n - T + 1 lists.
+    first = F.col("r") <= F.col("n") - F.ceil(share.num * F.col("n") / share.den) + 1
+    left = settle(placed.where(first).join(several, "g").select("node", "n", "component", "g"))
+    return links.union(_between(left, sets, share))
+
+
+def _between(lists: DataFrame, sets: DataFrame, share: Share) -> DataFrame:
+    """Links (a, b) that join the components of the nodes in ``lists`` (node,
+    n, component, g): any two nodes of different components that share a list
+    are compared, and of the links found a task keeps what joins components."""
+    # Nodes with a list in common stand together in this order.
+    nodes = lists.groupBy("node", "n", "component").agg(F.min("g").alias("near"))
+    order = F.struct("near", "n", "node").alias("place")
+    weighed = running_total(nodes.select("node", "component", order, (F.col("n") + NODE).alias("weight")),
+                            "place", "weight", "before")
+    blocks = settle(weighed.select("node", "component", F.floor(F.col("before") / BLOCK).alias("block")))
+    members = settle(lists.select("node", "g").join(blocks.select("node", "block"), "node"))
+    other = members.select("g", F.col("block").alias("other")).distinct()
+    cells = (members.join(other, "g").select("node", "block", "other").distinct()
+             .select("node", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+                     (F.col("block") > F.col("other")).cast("int").alias("side")))
+    cells = (cells.join(blocks.select("node", "component"), "node").join(sets.select("node", "hashes"), "node")
+             .repartition("x", "y").sortWithinPartitions("x", "y", "side", "node"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, rows = None, []
+        for batch in batches:
+            for x, y, *row in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "side", "node", "component", "hashes"))):
+                if (x, y) != cell:
+                    yield from joined(cell, rows)
+                    cell, rows = (x, y), []
+                rows.append(row)
+        yield from joined(cell, rows)
+
+    def joined(cell: tuple[int, int] | None, rows: list[list]) -> Iterator[pa.RecordBatch]:
+        sets_ = [np.frombuffer(r[3], "<u8") for r in rows]
+        found = joining_links(sets_, np.array([r[2] for r in rows], np.int64), np.array([r[0] for r in rows], np.int64),
+                              not cell or cell[0] == cell[1], share)
+        if found:
+            a, b = zip(*found)
+            yield pa.RecordBatch.from_arrays([pa.array([rows[i][1] for i in a], pa.int64()),
+                                              pa.array([rows[i][1] for i in b], pa.int64())], ["a", "b"])
+    return settle(map_stream(cells, compare, "a long, b long"))
+
+
+def joining_links(sets: list[np.ndarray], component: np.ndarray, side: np.ndarray, one_block: bool,
+                  share: Share) -> list[tuple[int, int]]:
+    """Links between sorted sets of different components, as few as join what
+    is linked: of sets on side 0 with sets on side 1, or in ``one_block`` of
+    all with all. T-occurrence search with DivideSkip: of a set's lists over
+    the other side the T - 1 longest are probed, the others merged."""
+    left = np.arange(len(sets)) if one_block else np.flatnonzero(side == 0)
+    right = left if one_block else np.flatnonzero(side == 1)
+    if not len(left) or not len(right):
+        return []
+    size = np.array([len(s) for s in sets])
+    every = np.concatenate([sets[j] for j in right])
+    order = np.argsort(every, kind="stable")
+    member = np.repeat(right, size[right])[order]  # the lists, one after the other, each in order
+    grams, first, length = np.unique(every[order], return_index=True, return_counts=True)
+    label, links = component.copy(), []
+    for i in left.tolist():
+        least = share.least(len(sets[i]))
+        at = np.searchsorted(grams, sets[i])
+        lists = at[grams[np.minimum(at, len(grams) - 1)] == sets[i]]
+        if len(lists) < least:
+            continue
+        lists = lists[np.argsort(length[lists], kind="stable")]
+        short, long = lists[:len(lists) - least + 1], lists[len(lists) - least + 1:]
+        # Merge: the runs are in order already, so sorting them merges them.
+        n = length[short]
+        runs = np.repeat(first[short] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        partner, times = np.unique(np.sort(member[runs], kind="stable"), return_counts=True)
+        fits = (np.minimum(size[partner], size[i]) * share.den >= np.maximum(size[partner], size[i]) * share.num)
+        while True:
+            keep = fits & (label[partner] != label[i])
+            partner, times, fits = partner[keep], times[keep], fits[keep]
+            if not len(partner):
+                break
+            some, both = partner[:PROBES], times[:PROBES].copy()
+            if len(some) < len(long):
+                wanted = grams[long]
+                for k, j in enumerate(some.tolist()):
+                    p = np.searchsorted(sets[j], wanted)
+                    both[k] += (sets[j][np.minimum(p, size[j] - 1)] == wanted).sum()
+            else:
+                for g in long.tolist():
+                    run = member[first[g]:first[g] + length[g]]
+                    p = np.searchsorted(run, some)
+                    both += run[np.minimum(p, len(run) - 1)] == some
+            for j in some[share.den * both >= share.num * (size[i] + size[some] - both)].tolist():
+                if label[j] != label[i]:
+                    links.append((i, j))
+                    label[label == label[j]] = label[i]
+            partner, times, fits = partner[PROBES:], times[PROBES:], fits[PROBES:]
+    return links
 
 
 def _placed(lists: DataFrame, label: DataFrame) -> DataFrame:
@@ -233,7 +323,8 @@ def jaccard_rows(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, short
     Jaccard similarity of ``num / den`` or more and, with ``by_id``, if they
     share an id."""
     share = Share(num, den)
-    sketches = settle(_sketches(docs, k, share))
+    seed = secrets.randbits(63)  # of this call; every task gets the same
+    sketches = settle(_sketches(docs, k, share, seed))
     known = sketches.where("n > 0")
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(NULL_ID)).alias("kid"), "ksum")
     nodes = settle(known.groupBy("key").agg(F.min(first).alias("first"), F.first("n").alias("n"),
@@ -259,9 +350,9 @@ def jaccard_rows(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, short
     crowded = settle(hits.where("crowded").select("node").distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node"))
     if not crowded.limit(1).count():
-        links = _verified(pairs, settle(_whole_sets(docs, nodes, wanted, k)), share)
+        links = _verified(pairs, settle(_whole_sets(docs, nodes, wanted, k, seed)), share)
     else:
-        sets = settle(_whole_sets(docs, nodes, crowded, k))
+        sets = settle(_whole_sets(docs, nodes, crowded, k, seed))
         links = _among_crowded(sets, share)
 
         # The crowded nodes' first short lists, over their whole sets.
@@ -279,7 +370,7 @@ def jaccard_rows(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, short
             rare.select("g").distinct(), "g", "left_semi"), share)
         pairs = settle(pairs.union(near).distinct())
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-        links = links.union(_verified(pairs, settle(_whole_sets(docs, nodes, wanted, k)), share))
+        links = links.union(_verified(pairs, settle(_whole_sets(docs, nodes, wanted, k, seed)), share))
     same = _same_id(known, nodes) if by_id else None
     label = settle(components(links if same is None else links.union(same)).withColumnRenamed("id", "node"))
     low = settle(label.join(nodes.select("node", "first"), "node")

@@ -242,3 +242,53 @@ def test_components_of_paths_stars_and_loops(spark):
     want = components(sorted(ids), [p for p in links if None not in p])
     assert got == want
     assert spark_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_group_below_the_threshold_makes_no_row_per_pair(spark, monkeypatch):
+    """A template with one own edit per copy: every pair is at 0.885."""
+    from tablewise.llm import ngram_join
+    counted, verified = [], ngram_join._verified
+
+    def count(pairs, sets, share):
+        counted[-1] += pairs.count()
+        return verified(pairs, sets, share)
+    monkeypatch.setattr(ngram_join, "_verified", count)
+    words = [f"t{i}" for i in range(100)]
+    for n in (100, 400):
+        counted.append(0)
+        rows = [(i, " ".join([*words[:1 + i % 97], f"own{i}", *words[2 + i % 97:]])) for i in range(n)]
+        out = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(docs(spark, rows), 3, 90, 100).collect()}
+        assert out == {i: c for i, (_, c) in jaccard_components(rows, 3, 90, 100).items()}
+    assert counted[1] <= 6 * counted[0] and counted[1] <= 20 * 400
+
+
+def test_links_that_join_components():
+    from tablewise.llm.ngram_join import Share, joining_links
+    rng = np.random.default_rng(4)
+    for k in range(60):
+        base = [rng.choice(400, 60, replace=False) for _ in range(4)]
+        sets = []
+        for _ in range(40):
+            s = set(base[rng.integers(4)].tolist())
+            s -= set(rng.choice(sorted(s), rng.integers(0, 8), replace=False).tolist())
+            sets.append(np.array(sorted(s | set(rng.choice(400, rng.integers(0, 5)).tolist())), "<u8"))
+        component = np.where(rng.random(40) < 0.2, rng.integers(0, 40, 40), np.arange(40))
+        side, share = (rng.random(40) < 0.5).astype(int), Share(8, 10)
+        for one in (True, False):
+            def linked(a, b):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                return share.linked(both, len(sets[a]), len(sets[b])) and (one or side[a] != side[b])
+            same = [(a, b) for a in range(40) for b in range(a) if component[a] == component[b]]
+            want = components(range(40), same + [(a, b) for a in range(40) for b in range(a) if linked(a, b)])
+            got = joining_links(sets, component, side, one, share)
+            assert all(linked(a, b) for a, b in got) and len(got) < 40
+            assert components(range(40), same + got) == want
+
+
+def test_words_with_one_polynomial_hash_differ(spark):
+    a, flip = "a", str.maketrans("ab", "ba")
+    for _ in range(11):
+        a += a.translate(flip)
+    rows = [(1, a[:1024]), (2, a[:1024].translate(flip)), (3, "x" * 70), (4, "x" * 71)]
+    out = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(docs(spark, rows), 3, 90, 100).collect()}
+    assert out == {1: 1, 2: 2, 3: 3, 4: 4}
