@@ -23,9 +23,14 @@
 
 The model is fitted on a bounded sample of labelled rows (``per_class`` of
 each label, by a hash of the id, none longer than ``sample_bytes``), its
-score moved to the labels' true odds; every text is scored whole. Defined cases: a null or empty text scores as a text without segments;
-without usable labels of both kinds every text scores 0; repeated rows are
-scored each.
+score moved to the labels' true odds; every text is scored whole.
+
+Defined cases: a null or empty text scores as a text without segments; a text
+of any length is scored whole; without usable labels of both kinds every text
+scores 0; of segments that could be cut in several ways the shortest is
+found; repeated rows are scored each, alike; a null id is held out or not like
+an empty string; an empty table gives no rows; other columns may have any
+name.
 """
 
 from __future__ import annotations
@@ -80,22 +85,27 @@ def segments(hits: list[tuple[int, float]], gap: float) -> list[tuple[int, int,
     """All maximal scoring segments (first word, last word, score) of a text
     whose listed words are ``hits`` (position, score > 0) and whose other
     words score ``gap`` < 0 each."""
-    found: list[list[float]] = []  # [left total, right total, first word, last word]
+    # [left total, right total, first word, last word, the last earlier entry
+    # with a smaller left total]: entries in between have no smaller one and
+    # are never looked at again, which keeps the scan linear.
+    found: list[list[float]] = []
     total, last = 0.0, -1
     for pos, score in hits:
         total += gap * (pos - last - 1)
         left, total, last = total, total + score, pos
-        cur = [left, total, pos, pos]
+        cur, j = [left, total, pos, pos, -1], len(found) - 1
         while True:
-            j = len(found) - 1
             while j >= 0 and found[j][0] >= cur[0]:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][1] >= cur[1]:
+                cur[4] = j
                 found.append(cur)
                 break
-            cur = [found[j][0], cur[1], found[j][2], cur[3]]
+            before = found[j]
+            cur, k = [before[0], cur[1], before[2], cur[3], -1], before[4]
             del found[j:]
-    return [(int(a), int(b), r - l) for l, r, a, b in found]
+            j = k
+    return [(int(a), int(b), r - l) for l, r, a, b, _ in found]
 
 
 def text_segments(model: ToxicityModel, text: bytes) -> tuple[int, list[tuple[int, int, float]]]:
