@@ -10,10 +10,17 @@ lenient to the strict cutoff until one fails (fixed sequence), with a
 Bonferroni correction over strata and rules. A stratum with too few labelled documents gets no cutoff: its
 documents are only held to the base rules.
 
-Empty and null texts have no words and fail the base rules. Repeated rows are
-judged one by one. A null stratum value is a stratum of its own. Labels whose
-document is missing are not used; an id that is labelled twice counts as good
-if one label says so.
+The bounds ask for independent trials, so a text counts once in a stratum,
+however many rows and ids repeat it: the guarantee is over distinct texts.
+(Texts that differ are trials of their own, near-copies too.)
+
+Defined cases: empty and null texts have no words and fail the base rules; a
+text of any length is counted whole; repeated rows are judged one by one, all
+alike; a null stratum value is a stratum of its own; labels whose document is
+missing are not used; an id or text that is labelled twice counts as good if
+one label says so; of cutoffs that reject equally well the more lenient is
+taken; without labels only the base rules hold; an empty table gives no rows;
+other columns may have any name.
 """
 
 from __future__ import annotations
@@ -57,18 +64,19 @@ def count_text(text: bytes) -> tuple[int, int, int, int, int]:
 
 
 def with_counts(docs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """``(doc_id, stratum)`` and the counts of every row."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                         F.col(stratum).cast("string").alias("stratum"),
-                         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
+    """``(doc_id, stratum, text_key)`` and the counts of every row;
+    ``text_key`` is the text's SHA-256."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(stratum).cast("string").alias("stratum"),
+                         F.unhex(F.sha2(text, 256)).alias("text_key"), text.alias("text"))
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [count_text(t) for t in batch.column("text").to_pylist()]
         cols = [pa.array(c, pa.int64()) for c in zip(*rows)]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("stratum"), *cols],
-                                          ["doc_id", "stratum", "n_words", "word_chars", "n_symbols",
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "stratum", "text_key")), *cols],
+                                          ["doc_id", "stratum", "text_key", "n_words", "word_chars", "n_symbols",
                                            "n_dup_lines", "n_repeat_words"])
-    return map_batches(source, count, f"doc_id long, stratum string, {COUNTS}")
+    return map_batches(source, count, f"doc_id long, stratum string, text_key binary, {COUNTS}")
 
 
 def base_failed() -> Column:
@@ -147,13 +155,16 @@ def choose(counts: list[tuple[str | None, str, float, int, int, int]],
 
 def fit(features: DataFrame, labels: DataFrame, alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
     """``(stratum, cutoff per rule)`` of the strata with a certified cutoff,
-    from the labelled rows of ``features``. Only documents that pass the base
+    from the labelled rows of ``features``, each text (or id, without
+    ``text_key``) once. Only documents that pass the base
     rules count. Every stratum with labels has its share of the error level;
     those with too few good labels to certify anything are not looked at."""
     rules = ratios()
+    trial = "text_key" if "text_key" in features.columns else "doc_id"
     joined = (features.where(~base_failed())
               .join(binary_labels(labels, "quality"), "doc_id")
-              .select("stratum", "label", *[v.alias(r) for r, v in rules.items()]))
+              .groupBy("stratum", trial)
+              .agg(F.max("label").alias("label"), *[F.max(v).alias(r) for r, v in rules.items()]))
     good = F.col("label") == 1
     aggs = [F.count_if(good).alias("good")]
     for r in rules:
