@@ -191,3 +191,103 @@ def test_segments_are_all_maximal_ones():
         got = [(a, b, round(s, 6)) for a, b, s in
                toxicity.segments([(i, x) for i, x in enumerate(scores) if x > 0], gap)]
         assert got == all_maximal(scores)
+
+
+def test_copies_of_one_text_certify_nothing(spark):
+    good = " ".join(f"word{j}" for j in range(60))
+    rows = [(i, good) for i in range(600)] + [(1000 + i, " ".join(f"w{i}x{j}%%%" for j in range(60))) for i in range(20)]
+    labels = spark.createDataFrame([(i, int(i < 1000), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    features = quality_rules.with_counts(docs(spark, rows))
+    assert quality_rules.fit(features, labels).count() == 0
+    assert quality_rules.quality_rules(docs(spark, rows), labels).where("NOT kept").count() == 0
+
+
+def test_repeated_rows_keep_the_error_rate(spark):
+    """Strata whose false-rejection rate is just above what is promised, every
+    text given 1 to 40 times: certificates are as rare as without copies."""
+    rng = random.Random(6)
+    alpha, rules, trials, rate = 0.4, 4, 150, 0.105
+    rows, texts = [], 0
+    for s in range(trials):
+        for _ in range(60):
+            texts += 1
+            bad = rng.random() < rate
+            rows += [(len(rows) + k, f"s{s}", texts, 100, 500, 400 if bad else 0, 0, 0) for k in range(rng.choice([1, 1, 40]))]
+    features = spark.createDataFrame(rows, "doc_id long, stratum string, text_key long, n_words long, word_chars long, "
+                                           "n_symbols long, n_dup_lines long, n_repeat_words long")
+    labels = features.selectExpr("doc_id", "1 AS quality")
+    cutoffs = quality_rules.fit(features, labels, alpha, delta=0.2 * trials * rules)  # each sequence at level 0.2
+    assert cutoffs.where("symbols_per_char IS NOT NULL").count() <= 0.3 * trials
+
+
+def test_a_toxicity_score_by_its_definition(spark):
+    rows, _ = labelled(spark)
+    sample = [(t.encode(), int(i >= 1000)) for i, t in rows]
+    sample += [(f"{' '.join(f'plain{k}' for k in range(9))} zap zork {k}".encode(), 1) for k in range(80)]
+    model = toxicity.fit_model(sample)
+    text = "plain1 zap zork zap plain2 " + "plain3 " * 300 + "zork zap zap, " + "plain4 " * 50 + "zork"
+    words = [w.strip(toxicity.TRIM) for w in text.encode().lower().split()]
+    weight = [model.weights.get(w, model.prefixes.get(w[:toxicity.PREFIX], model.gap) if len(w) >= toxicity.LONGER
+                                else model.gap) for w in words]
+    found = [s for *_, s in all_maximal_fast(weight)]
+    normal = [model.lam * s - math.log(model.k * len(words)) for s in found]
+    x = sum(v for v in normal if math.exp(-v) <= model.max_expected) or toxicity.NO_SEGMENT
+    want = 1 / (1 + math.exp(-(model.slope * math.log1p(x + 1) + model.shift)))
+    got = toxicity.score(docs(spark, [(1, text)]), model).first()
+    assert math.isclose(got["score"], want, rel_tol=1e-9) and x > 0
+    assert len(got["spans"]) == sum(math.exp(-v) <= model.max_expected for v in normal)
+
+
+def all_maximal_fast(scores):
+    """`all_maximal` with sums of the runs between positive scores."""
+    hits = [i for i, s in enumerate(scores) if s > 0]
+    total = [0.0]
+    for s in scores:
+        total.append(total[-1] + s)
+
+    def best(part):
+        top = max(((total[j + 1] - total[i], -(j - i), -i, i, j) for a, i in enumerate(part) for j in part[a:]), default=None)
+        if top is None:
+            return []
+        i, j = top[3:]
+        return best([h for h in part if h < i]) + [(i, j, top[0])] + best([h for h in part if h > j])
+    return best(hits)
+
+
+def test_segment_scan_is_linear():
+    import time
+
+    def cost(n):
+        hits = [(3 * i, 1.0 + (i % 7) / 10) for i in range(n)]
+        times = []
+        for _ in range(3):
+            t = time.process_time()
+            toxicity.segments(hits, -0.6)
+            toxicity.segments([(100 * i, 1.0) for i in range(n)], -0.3)
+            times.append(time.process_time() - t)
+        return min(times)
+    assert cost(64_000) <= 8 * cost(16_000)
+
+
+def test_a_quality_score_by_plain_loops():
+    rng = np.random.default_rng(1)
+    h, a = 5, 3
+    m = quality_mil.MilModel(rng.normal(size=(quality_mil.INPUTS, h)), rng.normal(size=h), rng.normal(size=(h, a)),
+                             rng.normal(size=(h, a)), rng.normal(size=a), rng.normal(size=h), 0.3)
+    text = ("some words, some more words and so on " * 60).encode()
+    parts = [text[k:k + quality_mil.PASSAGE] for k in range(0, len(text), quality_mil.PASSAGE)]
+
+    def dot(u, v):
+        return sum(float(x) * float(y) for x, y in zip(u, v))
+
+    def sig(x):
+        return 1 / (1 + math.exp(-x))
+    embedded, attention = [], []
+    for part in parts:
+        x = quality_mil.encode_passages(np.frombuffer(part, np.uint8), np.array([0]))[0]
+        e = [math.tanh(dot(x, m.embed[:, j]) + m.embed_b[j]) for j in range(h)]
+        embedded.append(e)
+        attention.append(sum(float(m.attend[k]) * math.tanh(dot(e, m.tanh[:, k])) * sig(dot(e, m.gate[:, k])) for k in range(a)))
+    weight = [math.exp(v) / sum(map(math.exp, attention)) for v in attention]
+    bag = [sum(w * e[j] for w, e in zip(weight, embedded)) for j in range(h)]
+    assert math.isclose(quality_mil.score_texts(m, [text])[0], sig(dot(bag, m.out) + m.out_b), rel_tol=1e-4)
