@@ -215,7 +215,8 @@ def hard_negatives(vectors: DataFrame, positives: int = 5, negatives: int = 10,
                   .agg(F.slice(F.sort_array(F.collect_list(order)), 1, positives).alias("best")))
     known = near.select(F.col("anchor").alias("row"), F.array_distinct(F.transform("best", lambda p: -p["s"])).alias("scores"))
     first = first_negatives(negatives, low, high)
-    far = map_stream(dealt(anchors.join(known, "row"), rows, chunks, slices), lambda b: scored(b, block, first), PAIRS)
+    far = settle(map_stream(dealt(anchors.join(known, "row"), rows, chunks, slices), lambda b: scored(b, block, first),
+                            PAIRS))
     near = near.select("anchor", "anchor_id", F.explode("best").alias("p")) \
         .select("anchor", "anchor_id", (-F.col("p.s")).alias("score"), "p.vec_id", "p.row")
 
