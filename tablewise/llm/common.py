@@ -47,7 +47,13 @@ def map_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:  # workers are used again: what the task held goes back to the system
+            pa.default_memory_pool().release_unused()
+    return df.mapInArrow(run, schema)
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

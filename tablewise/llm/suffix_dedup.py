@@ -286,10 +286,11 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, hot: int = 20_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, hot: int = 20_000, decoded: bool = False) -> DataFrame:
     """Columns of ``docs`` but text as a struct ``row``; ``kept``, the bytes
-    that are left; ``n_bytes`` of the whole text; ``removed``, the maximal
-    removed byte ranges."""
+    that are left (``decoded``: as a string, without what is left of
+    characters that were cut through); ``n_bytes`` of the whole text;
+    ``removed``, the maximal removed byte ranges."""
     texts = _keyed(docs)
     found = texts.join(repeated_spans(texts, length, hot), ["kid", "ksum"], "left")
 
@@ -305,21 +306,17 @@ def remove_repeats(docs: DataFrame, length: int = 200, hot: int = 20_000) -> Dat
             sizes.append(len(text))
             removed.append([{"start": a, "end": b} for a, b in gone])
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        left = pa.array([b.decode("utf-8", "ignore") for b in kept], pa.string()) if decoded else pa.array(kept, pa.binary())
         return pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(removed, kind)],
+            [batch.column("row"), left, pa.array(sizes, pa.int64()), pa.array(removed, kind)],
             ["row", "kept", "n_bytes", "removed"])
     row = texts.schema["row"].dataType.simpleString()
-    return map_batches(found.select("row", "text", "spans"), cut,
-                       f"row {row}, kept binary, n_bytes long, removed array<struct<start: int, end: int>>")
+    return map_batches(found.select("row", "text", "spans"), cut, f"row {row}, kept {'string' if decoded else 'binary'}, "
+                       "n_bytes long, removed array<struct<start: int, end: int>>")
 
 
 def without_repeats(docs: DataFrame, length: int = 200, hot: int = 20_000) -> DataFrame:
     """``docs`` with the repeated windows cut out of ``text``. Bytes of a
     character that was cut through are dropped; a null text becomes empty."""
-    def decode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        text = [b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(text, pa.string())], ["row", "text"])
-    out = remove_repeats(docs, length, hot)
-    row = out.schema["row"].dataType.simpleString()
-    out = map_batches(out.select("row", "kept"), decode, f"row {row}, text string")
-    return out.select(*["text" if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    out = remove_repeats(docs, length, hot, decoded=True)
+    return out.select(*[F.col("kept").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
