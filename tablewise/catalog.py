@@ -49,4 +49,5 @@ from .queries import (  # noqa: E402,F401
     evaluate_queries,
     text_vector_queries,
     stream_queries,
+    interval_queries,
 )

@@ -55,17 +55,26 @@ def dedupe_within_watermark(events: DataFrame, key: str = "event_id", delay: str
 
 
 def run_to_parquet(spark: SparkSession, stream: DataFrame, name: str, mode: str = "append",
-                   sink: str | None = None, checkpoint: str | None = None) -> DataFrame:
+                   sink: str | None = None, checkpoint: str | None = None,
+                   conf: dict[str, str] | None = None) -> DataFrame:
     """Run ``stream`` over all input available now (`availableNow`: every
     pending file, split into micro-batches, then stop) into a Parquet sink,
     and return the sink read as a batch DataFrame. Running the same ``name``
-    again reads only files that are new since."""
+    again reads only files that are new since. ``conf`` holds for this stream
+    only (a stream copies the session's settings when it starts)."""
     base = stream_home(spark, name)
     sink = sink or f"{base}/out"
     checkpoint = checkpoint or f"{base}/checkpoint"
-    q = (stream.writeStream.format("parquet").outputMode(mode)
-         .option("path", sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    before = {k: spark.conf.get(k, None) for k in conf or {}}
+    for k, v in (conf or {}).items():
+        spark.conf.set(k, v)
+    try:
+        q = (stream.writeStream.format("parquet").outputMode(mode)
+             .option("path", sink).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
