@@ -95,7 +95,7 @@ def quantiles(cells: DataFrame, by: Sequence[str], probs: Sequence[float]) -> Da
     """Cells merged to the groups ``by`` (any part of their dims; none: all
     of them): by, ``n`` and a column ``q<100*p>`` per probability."""
     merged = cells.groupBy(*by).agg(F.kll_merge_agg_double("_sketch").alias("_s"))
-    return merged.where(F.col("_s").isNotNull()).select(
+    return merged.where(F.kll_sketch_get_n_double("_s") > 0).select(
         *by, F.kll_sketch_get_n_double("_s").alias("n"),
         *[F.kll_sketch_get_quantile_double("_s", F.lit(float(p))).alias(f"q{100 * p:g}") for p in probs])
 
