@@ -50,4 +50,5 @@ from .queries import (  # noqa: E402,F401
     text_vector_queries,
     stream_queries,
     interval_queries,
+    frequent_queries,
 )

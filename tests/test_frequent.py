@@ -1,0 +1,57 @@
+"""Heavy hitters and frequent item sets against plain counts."""
+
+import random
+from collections import Counter
+from itertools import combinations
+
+import pytest
+
+from tablewise.operators import frequent
+
+
+def top(rows, k):
+    out = []
+    for g in {g for g, _ in rows}:
+        c = Counter(i for x, i in rows if x == g and i is not None)
+        out += [(g, i, n, r + 1) for r, (i, n) in enumerate(sorted(c.items(), key=lambda p: (-p[1], p[0]))[:k])]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("tracked", [8, 64, 4096])
+def test_heavy_hitters_are_exact(spark, tracked):
+    rng = random.Random(tracked)
+    rows = [("skewed", f"w{int(rng.paretovariate(0.6)) % 3000}") for _ in range(6000)]
+    rows += [("flat", f"f{rng.randint(0, 500)}") for _ in range(2000)]  # nothing stands out
+    rows += [(None, f"n{i % 3}") for i in range(20)] + [("few", "a"), ("few", None), ("nulls", None)]
+    rows += [("ties", f"t{i}") for i in range(40)] * 2
+    df = spark.createDataFrame(rows, "g string, i string")
+    got = frequent.heavy_hitters(df, "g", "i", 5, tracked)
+    assert sorted(map(tuple, got.collect()), key=str) == top(rows, 5)
+    assert frequent.heavy_hitters(df.limit(0), "g", "i", 5, tracked).count() == 0
+
+
+def test_first_pass_shuffles_summaries_only(spark):
+    df = spark.range(100_000).selectExpr("id % 4 AS g", "cast(pow(id % 1000, 2) % 977 AS string) AS i")
+    plan = df.groupBy("g").agg(frequent.F.expr("approx_top_k_accumulate(i, 64)").alias("s"))._jdf.queryExecution().toString()
+    assert "partial_approx_top_k_accumulate" in plan and "hashpartitioning(g" in plan
+
+
+def sets(rows, share):
+    by = {}
+    for b, i in rows:
+        if b is not None and i is not None:
+            by.setdefault(b, set()).add(str(i))
+    c = Counter(s for items in by.values() for k in (2, 3) for s in combinations(sorted(items), k))
+    return {s: n for s, n in c.items() if n >= share * len(by)}
+
+
+@pytest.mark.parametrize("chunk", [20_000, 150])
+def test_item_sets_are_exact(spark, chunk):
+    rng = random.Random(7)
+    rows = [(b, int(rng.expovariate(0.25))) for b in range(900) for _ in range(rng.randint(1, 7))]
+    rows += [(None, 1), (5, None), (6, 0), (6, 0)] + [(10_000, i) for i in range(40)] * 3  # one basket of many items
+    df = spark.createDataFrame(rows, "b long, i int")
+    got = frequent.frequent_sets(frequent.baskets(df, "b", "i"), 0.03, chunk).collect()
+    want = sets(rows, 0.03)
+    assert {tuple(r["items"]): r["baskets"] for r in got} == want and {len(s) for s in want} == {2, 3}
+    assert frequent.frequent_sets(frequent.baskets(df.limit(0), "b", "i"), 0.03).count() == 0
