@@ -13,21 +13,30 @@ segment, about 70 suffixes to a row instead of one row each:
 1. Count the segments per digit (a partial aggregate). A digit that occurs
    once holds no repeated window. If all segments of a digit are equal (by a
    second hash), all their windows are repeated.
-2. Of the other digits, each distinct segment is fetched once with its bytes.
-   Tasks sort the suffixes of these segments by further digits of a quarter
-   of the window each, dropping lone suffixes after each pass.
+2. Of the other digits, each distinct segment is fetched once with its bytes
+   and parted by its second digit: the bytes beside the anchor, on the side
+   where the window holds more of them (at most two parts a segment). Tasks
+   sort the suffixes of a group by further digits of a quarter of the window
+   each, dropping lone suffixes after each pass.
 3. The repeated windows go back to all places of their segments, are merged
    per text and cut out.
 
-A digit with more than ``hot`` distinct segments is not sorted in a task: its
-suffixes are spread by the hash of their whole window and counted by a
-partial aggregate. Digits are compared as 64-bit hashes of their bytes.
+Where a first digit has more than ``run`` distinct segments, the second digit
+is a pass over the cluster too: parts are counted by it and lone ones are
+dropped before any sort. What still has more than ``run`` equal second digits
+is sorted in several runs, dealt by a hash, and the runs are merged: each
+sends the windows it holds once and one of every window it holds more often,
+and an aggregate finds those that two runs share. So no task sorts more than
+about ``run`` segments of one digit. Digits are compared as 64-bit hashes of
+their bytes.
 
 Windows are judged on the input; every occurrence goes, the first included;
 matches never cross texts. Defined cases: null texts are empty; texts shorter
-than ``length`` stay; rows equal in id and text are copies of each other and
-lose all their windows; null ids are ids of their own; an empty table gives
-an empty result.
+than ``length`` stay; very long texts are handled whole, in blocks of window
+starts; of equal strings none is preferred, so ties do not arise; rows equal
+in id and text are copies of each other and lose all their windows; null ids
+are ids of their own; other columns travel inside a struct, so their names
+cannot clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from .common import NULL_ID, map_batches, map_stream, settle
 from .hashing import BASE, CHUNK, mixed, powers, prefix_hashes, span_hash
@@ -81,15 +91,16 @@ def segments(text: bytes, length: int) -> tuple[np.ndarray, ...]:
 
 
 def repeated_windows(group: np.ndarray, size: np.ndarray, count: np.ndarray, off: np.ndarray,
-                     data: bytes, length: int) -> np.ndarray:
+                     data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Sort the suffixes of segments. Segment i has the digit ``group[i]``,
     ``count[i]`` suffixes and the bytes of its place in ``data`` (sizes in
     ``size``). Returns, suffix after suffix, whether its window occurs in
-    another segment of the same digit."""
+    another segment of the same digit, and whether it is the first of such
+    equal ones."""
     first = np.cumsum(size) - size
     owner = np.repeat(np.arange(len(count)), count)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    out = np.zeros(len(owner), bool)
+    out, first_one = np.zeros(len(owner), bool), np.zeros(len(owner), bool)
     buf = np.frombuffer(data, np.uint8)
     p = np.concatenate([prefix_hashes(buf[a:a + s]) for a, s in zip(first, size)])
     base = first + np.arange(len(first))  # each segment has one prefix value more than bytes
@@ -112,7 +123,8 @@ def repeated_windows(group: np.ndarray, size: np.ndarray, count: np.ndarray, off
         if not len(live):
             break
     out[live] = True
-    return out
+    first_one[live[np.unique(key, return_index=True)[1]]] = True
+    return out, first_one
 
 
 def runs(flags: np.ndarray) -> tuple[list[int], list[int]]:
@@ -122,19 +134,19 @@ def runs(flags: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
-    """Tables of about ``rows`` rows or more that never part equal digits;
-    the input is sorted by ``digit``."""
+    """Tables of about ``rows`` rows or more that never part equal values of
+    ``deal``, by which the input is sorted."""
     held: list[pa.RecordBatch] = []
     n = 0
     for batch in batches:
         if not batch.num_rows:
             continue
         if n >= rows:
-            last = held[-1].column("digit")[-1].as_py()
-            digit = batch.column("digit").to_numpy()
-            same = int((digit == last).argmin()) if digit[-1] != last else len(digit)
+            last = held[-1].column("deal")[-1].as_py()
+            deal = batch.column("deal").to_numpy()
+            same = int((deal == last).argmin()) if deal[-1] != last else len(deal)
             held.append(batch.slice(0, same))
-            if same == len(digit):
+            if same == len(deal):
                 n += same
                 continue
             yield pa.Table.from_batches(held)
@@ -180,72 +192,109 @@ def _digits(texts: DataFrame, length: int, places: bool) -> DataFrame:
                        f"{SEGMENT}, {PLACE}" if places else SEGMENT)
 
 
+PART = "second long, many boolean, nth int, count int, off int, data binary"
+OPEN = "array<struct<nth: int, x: bigint, y: bigint, once: boolean>>"
+
+
+def parted(digit: int, count: int, off: int, data: bytes, length: int) -> Iterator[tuple[int, int, int]]:
+    """A segment's parts by second digit: (second digit, first suffix, number
+    of suffixes). A window with its anchor in its first half (or middle) is
+    known by the bytes after the anchor, another by those before it."""
+    gram = max(1, length * 3 // 10)
+    half = (length - gram) // 2
+    left = max(0, min(count, off - half))  # windows that hold more bytes before the anchor
+    seed = digit & ((1 << 63) - 1)
+    if left:
+        yield xxh3_64_intdigest(data[off - half:off + gram], seed) - (1 << 63), 0, left
+    if left < count:
+        yield xxh3_64_intdigest(data[off:off + gram + half], seed + 1) - (1 << 63), left, count - left
+
+
 def _fetch(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``(digit, whole, count, off, data)``: ``wanted`` segments with their bytes."""
-    per_text = wanted.groupBy("kid", "ksum").agg(F.collect_list(F.struct("digit", "whole", "first", "count", "off"))
-                                                 .alias("segments"))
+    """``wanted`` segments with their bytes, parted by second digit."""
+    per_text = wanted.groupBy("kid", "ksum").agg(F.collect_list(F.struct(
+        "digit", "whole", "first", "count", "off", (F.col("n") > 1).alias("many"))).alias("segments"))
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[] for _ in range(8)]
         for text, found in zip(batch.column("text").to_pylist(), batch.column("segments").to_pylist()):
             for s in found:
-                for column, x in zip(out, (s["digit"], s["whole"], s["count"], s["off"],
-                                           text[s["first"]:s["first"] + s["count"] + length - 1])):
-                    column.append(x)
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                data = text[s["first"]:s["first"] + s["count"] + length - 1]
+                for second, nth, count in parted(s["digit"], s["count"], s["off"], data, length):
+                    for column, x in zip(out, (s["digit"], s["whole"], second, s["many"], nth, count, s["off"] - nth,
+                                               data[nth:nth + count + length - 1])):
+                        column.append(x)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)],
-                                          ["digit", "whole", "count", "off", "data"])
+                                          ["digit", "whole", "second", "many", "nth", "count", "off", "data"])
     # Rows equal in id and text are one text here.
     joined = texts.select("kid", "ksum", "text").join(per_text, ["kid", "ksum"]).select("text", "segments")
-    return map_batches(joined, read, f"{SEGMENT}, count int, off int, data binary")
+    return map_batches(joined, read, f"{SEGMENT}, {PART}")
 
 
-def _sorted_ranges(fetched: DataFrame, length: int) -> DataFrame:
-    """``(digit, whole, ranges)``: runs [a, b) of repeated windows per segment."""
+def _sorted_runs(parts: DataFrame, length: int, rows: int) -> DataFrame:
+    """``(digit, whole, second, ranges, open)`` of parts dealt by ``deal``:
+    runs [a, b) of repeated windows, and for groups of several runs the
+    windows to merge (hashes, and whether the run holds the window once)."""
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, 20_000):
-            digit, whole = table.column("digit").to_numpy(), table.column("whole").to_numpy()
-            count = table.column("count").to_numpy().astype(np.int64)
+        for table in whole_groups(batches, rows):
+            second, many, several = (table.column(c).to_numpy() for c in ("second", "many", "several"))
+            count, nth = (table.column(c).to_numpy().astype(np.int64) for c in ("count", "nth"))
             data = table.column("data").to_pylist()
-            flags = repeated_windows(digit, np.array([len(x) for x in data]), count,
-                                     table.column("off").to_numpy().astype(np.int64), b"".join(data), length)
+            flags, first_one = repeated_windows(second, np.array([len(x) for x in data]), count,
+                                                table.column("off").to_numpy().astype(np.int64), b"".join(data), length)
             ends = np.cumsum(count)
-            rows, ranges = [], []
-            for i in np.unique(np.searchsorted(ends, np.flatnonzero(flags), "right")).tolist():
-                rows.append(i)
-                ranges.append([{"a": a, "b": b} for a, b in zip(*runs(flags[ends[i] - count[i]:ends[i]]))])
-            kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([pa.array(digit[rows]), pa.array(whole[rows]), pa.array(ranges, kind)],
-                                             ["digit", "whole", "ranges"])
-    dealt = fetched.repartition("digit").sortWithinPartitions("digit")
-    return map_stream(dealt, sort, f"{SEGMENT}, ranges array<struct<a: int, b: int>>")
-
-
-def _counted_ranges(fetched: DataFrame, length: int) -> DataFrame:
-    """The same for digits with very many segments: windows are spread by
-    their hash and counted."""
-    def windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        parts, rows = [], []
-        for i, data in enumerate(batch.column("data").to_pylist()):
-            p = prefix_hashes(np.frombuffer(data, np.uint8))
-            start = np.arange(len(data) - length + 1)
-            half = start + length // 2
-            parts.append((start, span_hash(p, start, half), span_hash(p, half, start + length)))
-            rows.append(np.full(len(start), i))
-        nth, x, y = (np.concatenate(c) for c in zip(*parts))
-        at = pa.array(np.concatenate(rows))
-        return pa.RecordBatch.from_arrays(
-            [batch.column("digit").take(at), batch.column("whole").take(at), pa.array(nth.astype(np.int32)),
-             pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["digit", "whole", "nth", "x", "y"])
-    every = map_batches(fetched, windows, f"{SEGMENT}, nth int, x long, y long")
-    twice = settle(every.groupBy("digit", "x", "y").agg(F.min("whole").alias("lo"), F.max("whole").alias("hi"))
-                        .where("lo != hi").select("digit", "x", "y"))
-    return (every.join(twice, ["digit", "x", "y"])
-            .groupBy("digit", "whole").agg(F.collect_list(
-                F.struct(F.col("nth").alias("a"), (F.col("nth") + 1).alias("b"))).alias("ranges")))
-
-
-def repeated_spans(texts: DataFrame, length: int, hot: int) -> DataFrame:
+            # Segments that occur more than once are repeated as a whole anyway.
+            told = np.unique(np.searchsorted(ends, np.flatnonzero(flags), "right"))
+            keep, ranges, windows = np.union1d(told[~many[told]], np.flatnonzero(several)), [], []
+            for i in keep.tolist():
+                mine = slice(ends[i] - count[i], ends[i])
+                ranges.append([] if many[i] else [{"a": a + nth[i], "b": b + nth[i]} for a, b in zip(*runs(flags[mine]))])
+                if not several[i]:
+                    windows.append([])
+                    continue
+                at = np.flatnonzero(~flags[mine] | first_one[mine])
+                p = prefix_hashes(np.frombuffer(data[i], np.uint8))
+                x, y = (span_hash(p, a, b).view(np.int64).tolist()
+                        for a, b in ((at, at + length // 2), (at + length // 2, at + length)))
+                once = (~flags[mine][at] & ~many[i]).tolist()
+                windows.append([{"nth": n, "x": u, "y": v, "once": o}
+                                for n, u, v, o in zip((at + nth[i]).tolist(), x, y, once)])
+            kinds = (pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])),
+                     pa.list_(pa.struct([("nth", pa.int32()), ("x", pa.int64()), ("y", pa.int64()), ("once", pa.bool_())])))
+            yield pa.RecordBatch.from_arrays(
+                [table.column(c).combine_chunks().take(pa.array(keep)) for c in ("digit", "whole", "second")]
+                + [pa.array(x, k) for x, k in zip((ranges, windows), kinds)],
+                ["digit", "whole", "second", "ranges", "open"])
+    dealt = parts.repartition("deal").sortWithinPartitions("deal")
+    return map_stream(dealt, sort, f"{SEGMENT}, second long, ranges array<struct<a: int, b: int>>, open {OPEN}")
+
+
+def _repeated_ranges(texts: DataFrame, kinds: DataFrame, length: int, run: int) -> DataFrame:
+    """``(digit, whole, ranges)`` of the windows that distinct segments share."""
+    crowded = settle(kinds.groupBy("digit").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > run).select("digit"))
+    parts = _fetch(texts, kinds.join(crowded, "digit", "left_anti"), length).select(
+        "*", F.col("second").alias("deal"), F.lit(False).alias("several"))
+    if crowded.isEmpty():
+        return _sorted_runs(parts, length, run).where(F.size("ranges") > 0).select("digit", "whole", "ranges")
+    hot = settle(_fetch(texts, kinds.join(crowded, "digit"), length))
+    sizes = settle(hot.groupBy("second").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+                   .select("second", F.ceil(F.col("m") / run).alias("runs")))
+    split = hot.join(sizes, "second").select(
+        *hot.columns, F.xxhash64("second", F.pmod(F.col("whole"), F.col("runs"))).alias("deal"),
+        (F.col("runs") > 1).alias("several"))
+    found = settle(_sorted_runs(parts.unionByName(split), length, run))
+    window = found.select("digit", "whole", "second", F.explode("open").alias("w")).select(
+        "digit", "whole", "second", "w.*")
+    shared = (window.groupBy("second", "x", "y").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+              .select("second", "x", "y"))
+    merged_runs = (window.where("once").join(shared, ["second", "x", "y"])
+                   .groupBy("digit", "whole").agg(F.collect_list(
+                       F.struct(F.col("nth").alias("a"), (F.col("nth") + 1).alias("b"))).alias("ranges")))
+    return found.where(F.size("ranges") > 0).select("digit", "whole", "ranges").unionByName(merged_runs)
+
+
+def repeated_spans(texts: DataFrame, length: int, run: int) -> DataFrame:
     """``(kid, ksum, spans)``: byte ranges covered by repeated windows, as
     they were found (they may overlap)."""
     digits = settle(_digits(texts, length, False).groupBy("digit")
@@ -257,16 +306,10 @@ def repeated_spans(texts: DataFrame, length: int, hot: int) -> DataFrame:
                         .agg(F.min(F.struct("kid", "ksum", "first", "count", "off")).alias("p"),
                              F.count(F.lit(1)).alias("n"))
                         .select("digit", "whole", "p.*", "n"))
-    crowded = settle(kinds.groupBy("digit").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot)
-                          .select("digit"))
-    ranges = _sorted_ranges(_fetch(texts, kinds.join(crowded, "digit", "left_anti"), length), length)
-    if crowded.limit(1).count():
-        ranges = ranges.union(_counted_ranges(_fetch(texts, kinds.join(crowded, "digit"), length), length))
     # A segment that occurs more than once is repeated as a whole.
     everything = F.array(F.struct(F.lit(0).alias("a"), F.col("count").alias("b")))
-    ranges = settle(kinds.select("digit", "whole", "n", "count").join(ranges, ["digit", "whole"], "left")
-                         .select("digit", "whole", F.when(F.col("n") > 1, everything).otherwise(F.col("ranges"))
-                                 .alias("ranges")).where("ranges is not null"))
+    ranges = settle(kinds.where("n > 1").select("digit", "whole", everything.alias("ranges"))
+                    .unionByName(_repeated_ranges(texts, kinds, length, run)))
     span = lambda a, b: F.struct((F.col("first") + a).alias("start"),
                                  (F.col("first") + b + (length - 1)).alias("end"))
     equal = places.where("equal").select("kid", "ksum", span(F.lit(0), F.col("count")).alias("span"))
@@ -286,13 +329,13 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, hot: int = 20_000, decoded: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, run: int = 2_000, decoded: bool = False) -> DataFrame:
     """Columns of ``docs`` but text as a struct ``row``; ``kept``, the bytes
     that are left (``decoded``: as a string, without what is left of
     characters that were cut through); ``n_bytes`` of the whole text;
     ``removed``, the maximal removed byte ranges."""
     texts = _keyed(docs)
-    found = texts.join(repeated_spans(texts, length, hot), ["kid", "ksum"], "left")
+    found = texts.join(repeated_spans(texts, length, run), ["kid", "ksum"], "left")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, sizes, removed = [], [], []
@@ -315,8 +358,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, hot: int = 20_000, decode
                        "n_bytes long, removed array<struct<start: int, end: int>>")
 
 
-def without_repeats(docs: DataFrame, length: int = 200, hot: int = 20_000) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = 200, run: int = 2_000) -> DataFrame:
     """``docs`` with the repeated windows cut out of ``text``. Bytes of a
     character that was cut through are dropped; a null text becomes empty."""
-    out = remove_repeats(docs, length, hot, decoded=True)
+    out = remove_repeats(docs, length, run, decoded=True)
     return out.select(*[F.col("kept").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
