@@ -3,8 +3,10 @@
 The model file's protobuf is parsed and rebuilt as a `tokenizers` object:
 normaliser (character map, dummy prefix, white-space marker), unigram scores
 or BPE merges in score order, byte fallback, and the matching decoder. Texts
-are encoded and decoded in batches by the library's threads (``threads`` per
-Spark task; set it to the cores a task owns).
+are encoded in batches by the library's threads (``threads`` per Spark task;
+set it to the cores a task owns). Ids are decoded by gathering the bytes of
+their pieces; where these are no UTF-8 (byte pieces in an order no text has)
+the library's decoder has its say.
 
 No piece of a usual model holds the white-space marker after another
 character, and none holds a line break; then the ids of a text are those of
@@ -13,13 +15,15 @@ after it). Chunks recur, so each Python worker encodes a chunk once and keeps
 its ids in a cache of fixed size. Models for which this does not hold, and
 texts that hold the marker itself, are encoded whole.
 
-Parity: every chunk that is encoded is also encoded by the sentencepiece
-library, and ``parity`` says whether all chunks of a document agreed;
-``round_trip`` says whether the decoded ids are the normalised text. The
-tests compare whole documents.
+Parity: the sentencepiece library encodes every whole text too, and
+``parity`` says whether the ids are the same; ``round_trip`` says whether the
+decoded ids are the normalised text.
 
-Defined cases: null and empty texts have no ids and round-trip; repeated rows
-are encoded each; bytes that are no UTF-8 are replaced before encoding.
+Defined cases: null and empty texts have no ids and round-trip; very long
+texts are encoded whole; repeated rows are encoded each, and no order among
+rows matters, so there are no ties; bytes that are no UTF-8 are replaced
+before encoding; columns other than ``doc_id`` and ``text`` are left behind,
+so their names cannot clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +36,6 @@ from pyspark.sql import DataFrame
 from .common import map_batches, texts
 
 MARK = "▁"
-MARK_BYTES = MARK.encode()
 CACHE_CHUNKS = 1_000_000
 # Fixed values of the model format: model and piece types.
 UNIGRAM, BPE = 1, 2
@@ -61,7 +64,7 @@ class PieceCodec:
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
-        from tokenizers import Tokenizer, decoders, models, normalizers
+        from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
         proto = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as f:
@@ -82,7 +85,7 @@ class PieceCodec:
         if spec.precompiled_charsmap:
             steps.append(normalizers.Precompiled(spec.precompiled_charsmap))
         if spec.remove_extra_whitespaces:
-            steps += [normalizers.Strip(), normalizers.Replace("  ", " ")]
+            steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
         self.clean = normalizers.Sequence(steps) if steps else None
         marks = [normalizers.Prepend(MARK)] if spec.add_dummy_prefix else []
         marks.append(normalizers.Replace(" ", MARK))
@@ -95,9 +98,13 @@ class PieceCodec:
         self.prefix = bool(spec.add_dummy_prefix)
         self.split = (self.prefix and proto.trainer_spec.model_type == BPE
                       and not any(MARK in p.lstrip(MARK) or "\n" in p for p in scores))
-        self.mark_id = self.whole.token_to_id(MARK)
         self.cache: dict[bytes, bytes] = {}
-        self.differ: set[bytes] = set()
+        # Bytes of every piece, one after the other, for decoding.
+        raw = [bytes([int(p.piece[3:5], 16)]) if fallback and p.type == BYTE else p.piece.replace(MARK, " ").encode()
+               for p in pieces]
+        self.piece_size = np.array([len(r) for r in raw])
+        self.piece_start = np.cumsum(self.piece_size) - self.piece_size
+        self.piece_bytes = np.frombuffer(b"".join(raw), np.uint8)
 
     @staticmethod
     def cut(text: bytes) -> list[bytes]:
@@ -123,48 +130,61 @@ class PieceCodec:
         return out
 
     def learn(self, new: list[bytes]) -> None:
-        """Encode chunks in one multithreaded batch, compare with the
-        sentencepiece library, keep the ids."""
+        """Encode chunks in one multithreaded batch, keep the ids."""
         raw = [w.decode() for w in new]
         given = [s.replace(" ", MARK) if s[0] in " \n" else MARK + s for s in raw]
-        asked = [s[1:] if s[0] == " " else s for s in raw]
-        found = [e.ids for e in self.chunks.encode_batch(given, add_special_tokens=False)]
-        for w, ids, other in zip(new, found, self.reference.encode(asked, num_threads=1)):
-            if w[0] == 10 and other[:1] == [self.mark_id]:
-                other = other[1:]
-            elif w == b" ":
-                other = [self.mark_id]  # the library gives nothing for an empty text
-            if ids != other:
-                self.differ.add(w)
-            self.cache[w] = np.array(ids, "<u4").tobytes()
-
-    def encode(self, batch: list[bytes]) -> tuple[list[bytes], list[bool]]:
-        """Ids of each text (little-endian uint32) and whether all its parts
-        agree with the sentencepiece library."""
+        for w, e in zip(new, self.chunks.encode_batch(given, add_special_tokens=False)):
+            self.cache[w] = np.array(e.ids, "<u4").tobytes()
+
+    def encode(self, batch: list[str]) -> list[bytes]:
+        """Ids of each text (little-endian uint32)."""
         if self.clean:
-            batch = [self.clean.normalize_str(t.decode("utf-8", "replace")).encode() for t in batch]
-        whole = [i for i, t in enumerate(batch) if not self.split or MARK_BYTES in t]
-        cut = [[] if not t or not self.split or MARK_BYTES in t else self.cut(t) for t in batch]
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-            self.differ.clear()
-        new = set().union(*cut).difference(self.cache)
-        if new:
-            self.learn(sorted(new))
-        get = self.cache.__getitem__
-        ids = [b"".join(map(get, c)) for c in cut]
-        same = [self.differ.isdisjoint(c) for c in cut] if self.differ else [True] * len(cut)
+            batch = [self.clean.normalize_str(t) for t in batch]
+        ids = [b""] * len(batch)
+        whole = [i for i, t in enumerate(batch) if not self.split or MARK in t]
+        if len(whole) < len(batch):
+            cut = [[] if not t or not self.split or MARK in t else self.cut(t.encode()) for t in batch]
+            if len(self.cache) > CACHE_CHUNKS:
+                self.cache.clear()
+            get, late = self.cache.__getitem__, []
+            for i, c in enumerate(cut):
+                try:
+                    ids[i] = b"".join(map(get, c))
+                except KeyError:
+                    late.append(i)
+            if late:
+                self.learn(list(set().union(*(cut[i] for i in late)).difference(self.cache)))
+                for i in late:
+                    ids[i] = b"".join(map(get, cut[i]))
         if whole:
-            raw = [batch[i].decode() for i in whole]
-            other = self.reference.encode(raw, num_threads=1)
-            for i, e, o in zip(whole, self.whole.encode_batch(raw, add_special_tokens=False), other):
-                ids[i], same[i] = np.array(e.ids, "<u4").tobytes(), e.ids == o
-        return ids, same
+            for i, e in zip(whole, self.whole.encode_batch([batch[i] for i in whole], add_special_tokens=False)):
+                ids[i] = np.array(e.ids, "<u4").tobytes()
+        return ids
+
+    def parity(self, batch: list[str], ids: list[bytes]) -> list[bool]:
+        """Whether the sentencepiece library gives these ids for the whole texts."""
+        return [self.reference.encode(t) == np.frombuffer(i, "<u4").tolist() for t, i in zip(batch, ids)]
 
     def decode(self, batch: list[bytes]) -> list[str]:
-        """Texts of ids, in one multithreaded batch."""
-        return self.whole.decode_batch([np.frombuffer(b, "<u4").tolist() for b in batch],
-                                       skip_special_tokens=False)
+        """Texts of ids."""
+        out: list[str | None] = []
+        for b in batch:
+            ids = np.frombuffer(b, "<u4")
+            size = self.piece_size[ids]
+            ends = np.cumsum(size)
+            at = np.repeat(self.piece_start[ids] - (ends - size), size) + np.arange(ends[-1] if len(ids) else 0)
+            try:
+                text = self.piece_bytes[at].tobytes().decode()
+            except UnicodeDecodeError:
+                out.append(None)
+                continue
+            out.append(text[1:] if self.prefix and text[:1] == " " else text)
+        odd = [i for i, t in enumerate(out) if t is None]
+        if odd:
+            lists = [np.frombuffer(batch[i], "<u4").tolist() for i in odd]
+            for i, t in zip(odd, self.whole.decode_batch(lists, skip_special_tokens=False)):
+                out[i] = t
+        return out
 
 
 _codecs: dict[tuple[str, int], PieceCodec] = {}
@@ -185,12 +205,12 @@ def encode_texts(docs: DataFrame, model: str | None = None, threads: int = 2) ->
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         c = codec(model, threads)
         part = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
-        ids, same = c.encode([t.encode() for t in part])
+        ids = c.encode(part)
         wanted = [(c.clean.normalize_str(t) if c.clean else t).replace(MARK, " ") for t in part]
         back = [x == y for x, y in zip(c.decode(ids), wanted)]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
-             pa.array(same), pa.array(back)], ["doc_id", "ids", "n_tokens", "parity", "round_trip"])
+             pa.array(c.parity(part, ids), pa.bool_()), pa.array(back, pa.bool_())], ["doc_id", "ids", "n_tokens", "parity", "round_trip"])
     return map_batches(texts(docs), run,
                        "doc_id long, ids binary, n_tokens long, parity boolean, round_trip boolean")
 

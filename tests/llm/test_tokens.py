@@ -1,5 +1,6 @@
 """Token encoder, block format and SentencePiece codec."""
 
+import re
 import zlib
 
 import numpy as np
@@ -93,18 +94,32 @@ def test_codec_equals_sentencepiece_and_round_trips(spark):
     c = pieces.PieceCodec(pieces.default_model())
     texts = ["", " ", "  ", "a", " a", "a ", "a  b", "\n", "\n\n a", "a\n", " \n ", "x \n  y\t z", "▁a ▁b▁",
              "日本語 😀", "<s> </s> <0x0A>", "a" * 300, *[t or "" for _, t in odd_rows()]]
-    ids, same = c.encode([t.encode() for t in texts])
+    ids = c.encode(texts)
     assert [np.frombuffer(i, "<u4").tolist() for i in ids] == c.reference.encode(texts)
-    assert all(same)
+    assert all(c.parity(texts, ids))
     assert c.decode(ids) == [t.replace("▁", " ") for t in texts]
 
 
+def test_a_wrong_cut_breaks_parity(monkeypatch):
+    c = pieces.PieceCodec(pieces.default_model())
+    monkeypatch.setattr(pieces.PieceCodec, "cut", staticmethod(lambda t: [t[:3], t[3:]]))
+    texts = ["some words", "another text"]
+    assert c.parity(texts, c.encode(texts)) == [False, False]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 600) | st.integers(0, 31_000), max_size=12))
+def test_any_ids_decode_as_the_library_does(ids):
+    c = pieces.codec(pieces.default_model())
+    assert c.decode([np.array(ids, "<u4").tobytes()]) == c.whole.decode_batch([ids], skip_special_tokens=False)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet=st.sampled_from(" \n\tab.é▁日") | st.characters(codec="utf-8"), max_size=30))
 def test_codec_any_text(text):
     c = pieces.codec(pieces.default_model())
-    (ids,), (same,) = c.encode([text.encode()])
-    assert same and np.frombuffer(ids, "<u4").tolist() == c.reference.encode(text)
+    (ids,) = c.encode([text])
+    assert c.parity([text], [ids]) == [True] and np.frombuffer(ids, "<u4").tolist() == c.reference.encode(text)
 
 
 def test_codec_on_the_table(spark):
@@ -118,7 +133,8 @@ def test_codec_on_the_table(spark):
     assert pieces.encode_texts(empty(spark)).count() == 0
 
 
-def test_unigram_model_is_rebuilt(tmp_path):
+@pytest.mark.parametrize("extra", [False, True])
+def test_unigram_model_is_rebuilt(tmp_path, extra):
     from sentencepiece import sentencepiece_model_pb2 as pb
     m = pb.ModelProto()
     rows = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)] \
@@ -126,14 +142,14 @@ def test_unigram_model_is_rebuilt(tmp_path):
     for p, s, k in rows:
         m.pieces.add(piece=p, score=s, type=k)
     m.trainer_spec.model_type, m.trainer_spec.byte_fallback = 1, True
-    m.normalizer_spec.name, m.normalizer_spec.remove_extra_whitespaces = "identity", False
+    m.normalizer_spec.name, m.normalizer_spec.remove_extra_whitespaces = "identity", extra
     path = tmp_path / "u.model"
     path.write_bytes(m.SerializeToString())
     c = pieces.PieceCodec(str(path))
-    texts = ["ab a b", "abab  ba", "c é", ""]
-    ids, same = c.encode([t.encode() for t in texts])
-    assert all(same) and [np.frombuffer(i, "<u4").tolist() for i in ids] == c.reference.encode(texts)
-    assert c.decode(ids) == texts
+    texts = ["ab a b", "abab  ba", "a     b   ab", "  ab  ", "c é", "", "   "]
+    ids = c.encode(texts)
+    assert all(c.parity(texts, ids)) and [np.frombuffer(i, "<u4").tolist() for i in ids] == c.reference.encode(texts)
+    assert c.decode(ids) == [re.sub(" +", " ", t).strip(" ") if extra else t for t in texts]
 
 
 def test_parts_of_equal_hash_keep_their_own_ids():
