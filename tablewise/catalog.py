@@ -51,4 +51,5 @@ from .queries import (  # noqa: E402,F401
     stream_queries,
     interval_queries,
     frequent_queries,
+    compare_queries,
 )
