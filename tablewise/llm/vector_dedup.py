@@ -10,6 +10,12 @@ cosine in double precision, so no reported link is wrong; ``parts`` grows
 with the logarithm of the number of nodes, which keeps buckets of unrelated
 vectors small.
 
+A node meets the others of its buckets twice. First as a sketch of 32 bytes:
+the head of one more rotation, rounded, and the length of the rest. By
+Cauchy-Schwarz it bounds the cosine from above, so a node that no other of a
+bucket can reach leaves that bucket and no link is lost. Only what is left,
+mostly real near-duplicates, is joined with its vector and verified.
+
 A bucket larger than ``block`` nodes is dealt into blocks, and every two
 blocks meet in a task of their own: a bucket of any size is whole, and no
 task holds more than two blocks. A pair that meets several times counts in
@@ -33,9 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.broadcast import bounded_broadcast
 from .common import NULL_ID, map_batches, map_stream, settle
 from .components import components
 
+# A sketch is HEAD rounded coordinates and the length of the rest, a byte each.
+HEAD = 31
+
 
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Fast Walsh-Hadamard transform of the rows (length a power of two)."""
@@ -89,6 +99,42 @@ def bucket_names(x: np.ndarray, tables: int, parts: int, probes: int) -> np.ndar
     return out
 
 
+def sketches(x: np.ndarray) -> np.ndarray:
+    """(rows, HEAD + 1) bytes of unit vectors: the first coordinates after a
+    rotation in 127ths, and the length of the others in 255ths, rounded up."""
+    n, d = x.shape
+    padded = np.zeros((n, 1 << max(0, d - 1).bit_length()))
+    padded[:, :d] = x
+    z = rotate(padded, 1_000_000_007 + d)
+    out = np.zeros((n, HEAD + 1), np.uint8)
+    head = z[:, :HEAD]
+    out[:, :head.shape[1]] = np.rint(head * 127).astype(np.int8).view(np.uint8)
+    rest = np.sqrt((z[:, HEAD:] ** 2).sum(axis=1))
+    out[:, HEAD] = np.minimum(255, np.ceil(rest * 255))
+    return out
+
+
+def reachable(sketch: np.ndarray, side: np.ndarray, threshold: float, diagonal: bool) -> np.ndarray:
+    """Which of the nodes another one (``diagonal``) or one of the other side
+    may reach: the product of the heads, that of the rests and the most that
+    rounding took away are no less than the cosine."""
+    head = sketch[:, :HEAD].view(np.int8).astype(np.float32) / np.float32(127)
+    rest = sketch[:, HEAD].astype(np.float32) / np.float32(255)
+    error = 0.5 * math.sqrt(HEAD) / 127
+    least = threshold - error * (2 + error) - 1e-3
+    left = np.arange(len(sketch)) if diagonal else np.flatnonzero(side == 0)
+    right = left if diagonal else np.flatnonzero(side == 1)
+    out = np.zeros(len(sketch), bool)
+    for at in range(0, len(left), 512):
+        rows = left[at:at + 512]
+        near = head[rows] @ head[right].T + np.outer(rest[rows], rest[right]) >= least
+        if diagonal:
+            near[np.arange(len(rows)), rows] = False
+        out[rows] |= near.any(axis=1)
+        out[right] |= near.any(axis=0)
+    return out
+
+
 def unit(raw: list[bytes]) -> np.ndarray:
     x = np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
     x = x / np.abs(x).max(axis=1, keepdims=True)
@@ -147,17 +193,44 @@ def verify(bucket: int, node: np.ndarray, side: np.ndarray, copies: np.ndarray,
     return links.astype(np.int64), label
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """Rows of one (bucket, i, j) at a time from sorted batches."""
-    group: list[dict] = []
+def dealt(posts: DataFrame, block: int) -> DataFrame:
+    """``posts`` (bucket, node, ...) with ``cell``, every cell of a bucket
+    whole and sorted in one task. A member of block m goes to the cells of
+    the block pairs (i, j), i <= j, with i = m or j = m; a cell is i, j (31
+    bits) and the side the member is on (a bit)."""
+    crowded = (posts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
+               .select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+    found = posts.join(bounded_broadcast(settle(crowded)), "bucket", "left") \
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    m = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long")
+    found = found.withColumn("m", m).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = (F.shiftleft(F.least("m", "other"), 32) + F.shiftleft(F.greatest("m", "other"), 1)
+            + (F.col("m") > F.col("other")).cast("long"))
+    return (found.withColumn("cell", cell).drop("m", "other", "blocks")
+            .repartition("bucket", F.shiftright("cell", 1)).sortWithinPartitions("bucket", "cell"))
+
+
+def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int]]]]:
+    """Sorted batches with the row ranges of their cells, each cell whole:
+    the last one of a batch waits for the next batch."""
+    held: list[pa.RecordBatch] = []
+
+    def joined() -> tuple[pa.RecordBatch, list[int]]:
+        batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        bucket, cell = (batch.column(c).to_numpy() for c in ("bucket", "cell"))
+        cut = (bucket[1:] != bucket[:-1]) | (cell[1:] >> 1 != cell[:-1] >> 1)
+        return batch, [0, *(np.flatnonzero(cut) + 1).tolist(), batch.num_rows]
     for batch in batches:
-        for row in batch.to_pylist():
-            if group and (row["bucket"], row["i"], row["j"]) != (group[0]["bucket"], group[0]["i"], group[0]["j"]):
-                yield group
-                group = []
-            group.append(row)
-    if group:
-        yield group
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        whole, at = joined()
+        held = [whole.slice(at[-2])]
+        if len(at) > 2:
+            yield whole.slice(0, at[-2]), list(zip(at[:-2], at[1:-1]))
+    if held:
+        whole, at = joined()
+        yield whole, list(zip(at[:-1], at[1:]))
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, tables: int = 12, probes: int = 3,
@@ -184,52 +257,62 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, tables:
         parts = max(1, round(math.log(max(2, shape["n"])) / math.log(width)))
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        raw, out = batch.column("raw").to_pylist(), [b""] * batch.num_rows
+        raw = batch.column("raw").to_pylist()
+        names = np.empty((len(raw), tables * probes), np.int64)
+        sketch = np.empty((len(raw), HEAD + 1), np.uint8)
         by_length: dict[int, list[int]] = {}
         for i, r in enumerate(raw):
             by_length.setdefault(len(r), []).append(i)
         for size, at in by_length.items():
-            names = bucket_names(unit([raw[i] for i in at]), tables, parts, probes)
+            x = unit([raw[i] for i in at])
             # Vectors of different lengths never meet: mix the length in.
-            names = names * np.int64(0x9E3779B97F4A7C1) + np.int64(size)
-            for i, x in zip(at, names):
-                out[i] = x.astype("<i8").tobytes()
-        keys = [np.unique(np.frombuffer(b, "<i8")).tolist() for b in out]
+            names[at] = (bucket_names(x, tables, parts, probes) * np.int64(0x9E3779B97F4A7C1)
+                         + np.int64(size)).reshape(len(at), -1)
+            sketch[at] = sketches(x)
         return pa.RecordBatch.from_arrays(
-            [batch.column("node"), batch.column("copies"), batch.column("raw"), pa.array(out, pa.binary()),
-             pa.array(keys, pa.list_(pa.int64()))], ["node", "copies", "raw", "names", "buckets"])
+            [batch.column("node"), batch.column("copies"), batch.column("raw"),
+             pa.array([s.tobytes() for s in sketch], pa.binary()),
+             pa.array(names.tolist(), pa.list_(pa.int64()))], ["node", "copies", "raw", "sketch", "names"])
     named = settle(map_batches(nodes.select("node", "copies", "raw"), hashed,
-                                    "node long, copies long, raw binary, names binary, buckets array<long>"))
-    posts = named.select("node", "copies", "raw", "names", F.explode("buckets").alias("bucket"))
-    shared = settle(named.select(F.explode("buckets").alias("bucket"))
-                         .groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                         .select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-    # Member of block m goes to the block pairs (i, j), i <= j, with i = m or j = m.
-    m = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = (posts.join(shared, "bucket").withColumn("m", m)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("bucket", F.least("m", "other").alias("i"), F.greatest("m", "other").alias("j"),
-                     (F.col("m") > F.col("other")).cast("int").alias("side"), "node", "copies", "raw", "names")
-             .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"))
+                               "node long, copies long, raw binary, sketch binary, names array<long>"))
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, ranges in cells(batches):
+            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, HEAD + 1)
+            cell = batch.column("cell").to_numpy()
+            keep = np.zeros(batch.num_rows, bool)
+            for a, b in ranges:
+                if b - a > 1:
+                    first = int(cell[a])
+                    keep[a:b] = reachable(sketch[a:b], cell[a:b] & 1, threshold,
+                                          first >> 32 == (first >> 1) % (1 << 31))
+            yield batch.select(["node", "bucket"]).filter(pa.array(keep))
+    posts = named.select("node", "sketch", F.explode(F.array_distinct("names")).alias("bucket"))
+    left = settle(map_stream(dealt(posts, block), narrow, "node long, bucket long")
+                  .groupBy("node").agg(F.collect_set("bucket").alias("buckets")))
+    posts = named.drop("sketch").join(left, "node").withColumn("bucket", F.explode("buckets")).drop("buckets")
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in blocks_of(batches):
-            by_length: dict[int, list[dict]] = {}
-            for r in group:
-                by_length.setdefault(len(r["raw"]), []).append(r)
-            for part in by_length.values():
-                node = np.array([r["node"] for r in part])
-                x = unit([r["raw"] for r in part])
-                names = np.frombuffer(b"".join(r["names"] for r in part), "<i8").reshape(len(part), tables, probes)
-                links, label = verify(group[0]["bucket"], node, np.array([r["side"] for r in part]),
-                                      np.array([r["copies"] for r in part]), x, names, threshold,
-                                      group[0]["i"] == group[0]["j"])
-                told = (links > 0) | (label != np.arange(len(part)))
-                if told.any():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(node[told]), pa.array(node[label][told]), pa.array(links[told])],
-                        ["node", "other", "links"])
-    found = settle(map_stream(dealt, match, "node long, other long, links long")
+        for batch, ranges in cells(batches):
+            raw = batch.column("raw").to_pylist()
+            nodes_, copies, cell, bucket = (batch.column(c).to_numpy() for c in ("node", "copies", "cell", "bucket"))
+            names = batch.column("names").flatten().to_numpy().reshape(-1, tables, probes)
+            told = []
+            for a, b in ranges:
+                by_length: dict[int, list[int]] = {}
+                for i in range(a, b):
+                    by_length.setdefault(len(raw[i]), []).append(i)
+                for part in by_length.values():
+                    at, first = np.array(part), int(cell[a])
+                    links, label = verify(int(bucket[a]), nodes_[at], cell[at] & 1, copies[at],
+                                          unit([raw[i] for i in part]), names[at], threshold,
+                                          first >> 32 == (first >> 1) % (1 << 31))
+                    some = (links > 0) | (label != np.arange(len(part)))
+                    told.append((nodes_[at][some], nodes_[at][label][some], links[some]))
+            if told:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*told)],
+                                                 ["node", "other", "links"])
+    found = settle(map_stream(dealt(posts, block), match, "node long, other long, links long")
                         .groupBy("node", "other").agg(F.sum("links").alias("links")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     label = components(found.select("node", "other").where("node != other"))

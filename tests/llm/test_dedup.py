@@ -249,6 +249,38 @@ def test_hadamard_keeps_lengths_and_near_vectors_share_buckets():
     assert np.mean([bool(set(p) & set(q)) for p, q in zip(a, b)]) >= 0.99
 
 
+@pytest.mark.parametrize("width", [1, 3, 16, 31, 32, 33, 64, 200])
+def test_sketches_lose_no_link_and_tell_unrelated_vectors_apart(width):
+    rng = np.random.default_rng(width)
+    x = rng.normal(size=(300, width))
+    x[100:200] = x[:100] + rng.normal(scale=0.3, size=(100, width))
+    x[200] = 0
+    x[200, 0] = 1
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sketch, side = vector_dedup.sketches(x), np.arange(300) % 2
+    for threshold in (0.95, 0.5, -1.0):
+        near = x @ x.T >= threshold
+        np.fill_diagonal(near, False)
+        got = vector_dedup.reachable(sketch, side, threshold, True)
+        assert got[near.any(axis=1)].all()
+        across = near & (side[:, None] != side)
+        assert vector_dedup.reachable(sketch, side, threshold, False)[across.any(axis=1)].all()
+        if width == 64 and threshold == 0.95:
+            assert got[201:].mean() < 0.05
+
+
+def test_cells_are_whole_across_batches():
+    import pyarrow as pa
+    keys = sorted((int(b), int(c)) for b, c in np.random.default_rng(1).integers(0, 6, (500, 2)))
+    batches = [pa.RecordBatch.from_pydict({"bucket": [k[0] for k in keys[i:i + n]], "cell": [k[1] for k in keys[i:i + n]]})
+               for i, n in [(0, 3), (3, 0), (3, 1), (4, 200), (204, 296)]]
+    got = [[(r["bucket"], r["cell"] >> 1) for r in whole.slice(a, b - a).to_pylist()]
+           for whole, ranges in vector_dedup.cells(iter(batches)) for a, b in ranges]
+    assert [k for g in got for k in g] == [(b, c >> 1) for b, c in keys]
+    assert all(len(set(g)) == 1 for g in got) and len(got) == len({(b, c >> 1) for b, c in keys})
+    assert list(vector_dedup.cells(iter([]))) == []
+
+
 def test_components_of_paths_stars_and_loops(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (None, 3), (200, 199)]
     got = {r["id"]: r["component"] for r in
