@@ -52,4 +52,6 @@ from .queries import (  # noqa: E402,F401
     interval_queries,
     frequent_queries,
     compare_queries,
+    graph_queries,
+    series_queries,
 )
