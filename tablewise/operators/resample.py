@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import safe_div, stable_round
@@ -22,16 +22,19 @@ def poisson_bounds(most: int = 8) -> list[int]:
     return [int(PRIME * p) for p in below]
 
 
-def draw(key: Column, replicate: Column) -> Column:
-    """A number in [0, PRIME) that depends on key and replicate alone:
-    rounds of a multiplication and a square, each modulo PRIME, in arithmetic
-    that every engine has."""
-    low, high = F.pmod(key, F.lit(PRIME)), F.floor(key / F.lit(PRIME)).cast("long")
-    x = F.pmod(low * F.lit(ROUNDS[0]) + replicate * F.lit(40_692) + F.pmod(high, F.lit(PRIME)), F.lit(PRIME))
-    for k, m in enumerate(ROUNDS):
-        x = F.pmod(x * x + replicate * F.lit(69_621 + k) + F.lit(m), F.lit(PRIME))
-        x = F.pmod(x * F.lit(m) + low, F.lit(PRIME))
-    return x
+def draw(rows: DataFrame, key: str, replicate: str, name: str = "x") -> DataFrame:
+    """``rows`` with a number in [0, PRIME) that depends on the longs key and
+    replicate alone: rounds of a multiplication and a square, each modulo
+    PRIME, in arithmetic that every engine has. Every step is a projection of
+    its own: it uses the one before it twice, and as one expression the
+    steps would double each other."""
+    k, r, x, prime = F.col(key), F.col(replicate), F.col(name), F.lit(PRIME)
+    high = F.floor(k / prime).cast("long")
+    rows = rows.withColumn(name, F.pmod(F.pmod(k, prime) * F.lit(ROUNDS[0]) + r * F.lit(40_692) + F.pmod(high, prime), prime))
+    for i, m in enumerate(ROUNDS):
+        rows = rows.withColumn(name, F.pmod(x * x + r * F.lit(69_621 + i) + F.lit(m), prime))
+        rows = rows.withColumn(name, F.pmod(x * F.lit(m) + F.pmod(k, prime), prime))
+    return rows
 
 
 def bootstrap_means(rows: DataFrame, group: str, value: str, key: str, replicates: int = 200,
@@ -63,13 +66,15 @@ def bootstrap_means(rows: DataFrame, group: str, value: str, key: str, replicate
     if key_repeats:
         rows = rows.groupBy("g", "k").agg(*[F.sum(c).alias(c) for c in "abn"])
     # Replicate 0 is the data itself.
-    drawn = rows.select("g", "k", "a", "b", "n", F.explode(F.sequence(F.lit(0), F.lit(replicates))).alias("r"))
-    drawn = drawn.withColumn("x", draw(F.col("k"), F.col("r").cast("long")))
+    drawn = rows.select("g", "k", "a", "b", "n",
+                        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(replicates).cast("long"))).alias("r"))
+    drawn = draw(drawn, "k", "r")
     more = [(F.col("x") >= F.lit(t)).cast("long") for t in poisson_bounds()]
     w = F.when(F.col("r") == 0, F.lit(1).cast("long")).otherwise(sum(more[1:], more[0]))
-    sums = drawn.withColumn("w", w).where("w > 0").groupBy("g", "r").agg(
+    # Weights of 0 are added too: a filter on them would compute them twice.
+    sums = drawn.withColumn("w", w).groupBy("g", "r").agg(
         *[F.sum(F.col("w") * F.col(c)).alias(c) for c in "abn"])
-    mean = (F.col("a") + F.col("b") / F.lit(float(MICRO))) / F.col("n")
+    mean = safe_div(F.col("a") + F.col("b") / F.lit(float(MICRO)), F.col("n"))
     # At most one mean per replicate is gathered.
     found = sums.withColumn("m", mean).groupBy("g").agg(
         F.max(F.when(F.col("r") == 0, F.col("n"))).alias("n"), F.max(F.when(F.col("r") == 0, F.col("m"))).alias("mean"),
