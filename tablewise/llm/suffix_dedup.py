@@ -49,6 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from ..plans.broadcast import bounded_broadcast
 from .common import NULL_ID, map_batches, map_stream, settle
 from .hashing import BASE, CHUNK, mixed, powers, prefix_hashes, span_hash
 
@@ -273,17 +274,18 @@ def _sorted_runs(parts: DataFrame, length: int, rows: int) -> DataFrame:
 def _repeated_ranges(texts: DataFrame, kinds: DataFrame, length: int, run: int) -> DataFrame:
     """``(digit, whole, ranges)`` of the windows that distinct segments share."""
     crowded = settle(kinds.groupBy("digit").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > run).select("digit"))
-    parts = _fetch(texts, kinds.join(crowded, "digit", "left_anti"), length).select(
-        "*", F.col("second").alias("deal"), F.lit(False).alias("several"))
+    parts = _fetch(texts, kinds, length)
+    cold = lambda rows: rows.select("*", F.col("second").alias("deal"), F.lit(False).alias("several"))
     if crowded.isEmpty():
-        return _sorted_runs(parts, length, run).where(F.size("ranges") > 0).select("digit", "whole", "ranges")
-    hot = settle(_fetch(texts, kinds.join(crowded, "digit"), length))
+        return _sorted_runs(cold(parts), length, run).where(F.size("ranges") > 0).select("digit", "whole", "ranges")
+    parts, few = settle(parts), bounded_broadcast(crowded)
+    hot = parts.join(few, "digit")
     sizes = settle(hot.groupBy("second").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
                    .select("second", F.ceil(F.col("m") / run).alias("runs")))
     split = hot.join(sizes, "second").select(
         *hot.columns, F.xxhash64("second", F.pmod(F.col("whole"), F.col("runs"))).alias("deal"),
         (F.col("runs") > 1).alias("several"))
-    found = settle(_sorted_runs(parts.unionByName(split), length, run))
+    found = settle(_sorted_runs(cold(parts.join(few, "digit", "left_anti")).unionByName(split), length, run))
     window = found.select("digit", "whole", "second", F.explode("open").alias("w")).select(
         "digit", "whole", "second", "w.*")
     shared = (window.groupBy("second", "x", "y").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
