@@ -29,6 +29,8 @@ so their names cannot clash; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,7 +38,9 @@ from pyspark.sql import DataFrame
 from .common import map_batches, texts
 
 MARK = "▁"
+_MARK = MARK.encode()
 CACHE_CHUNKS = 1_000_000
+JOINED = 16
 # Fixed values of the model format: model and piece types.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -103,6 +107,7 @@ class PieceCodec:
         raw = [bytes([int(p.piece[3:5], 16)]) if fallback and p.type == BYTE else p.piece.replace(MARK, " ").encode()
                for p in pieces]
         self.piece_size = np.array([len(r) for r in raw])
+        self.marked_size = np.array([len(r) if p.type == BYTE else len(p.piece.encode()) for p, r in zip(pieces, raw)])
         self.piece_start = np.cumsum(self.piece_size) - self.piece_size
         self.piece_bytes = np.frombuffer(b"".join(raw), np.uint8)
 
@@ -130,11 +135,29 @@ class PieceCodec:
         return out
 
     def learn(self, new: list[bytes]) -> None:
-        """Encode chunks in one multithreaded batch, keep the ids."""
-        raw = [w.decode() for w in new]
-        given = [s.replace(" ", MARK) if s[0] in " \n" else MARK + s for s in raw]
-        for w, e in zip(new, self.chunks.encode_batch(given, add_special_tokens=False)):
-            self.cache[w] = np.array(e.ids, "<u4").tobytes()
+        """Encode chunks in one multithreaded batch, keep the ids. Chunks of a
+        text are encoded alone or together alike, so JOINED of them are one
+        text, and the lengths of the pieces tell their ids apart: where no piece spans two chunks, no merge did."""
+        given = [w.replace(b" ", _MARK) if w[0] in b" \n" else _MARK + w for w in new]
+        groups = [range(i, min(i + JOINED, len(new))) for i in range(0, len(new), JOINED)]
+        single = []
+        for some, ids in zip(groups, self._ids([b"".join(given[g.start:g.stop]) for g in groups])):
+            reached = np.cumsum(self.marked_size[ids])
+            ends = np.cumsum([len(given[i]) for i in some])
+            last = np.searchsorted(reached, ends)
+            if len(ids) and reached[-1] == ends[-1] and (reached[last] == ends).all():
+                raw, at = ids.tobytes(), 0
+                for i, stop in zip(some, (4 * (last + 1)).tolist()):
+                    self.cache[new[i]] = raw[at:stop]
+                    at = stop
+            else:  # an unknown piece, whose bytes are not known
+                single += some
+        for i, ids in zip(single, self._ids([given[i] for i in single])):
+            self.cache[new[i]] = ids.tobytes()
+
+    def _ids(self, given: list[bytes]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in
+                self.chunks.encode_batch_fast([g.decode() for g in given], add_special_tokens=False)]
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """Ids of each text (little-endian uint32)."""
@@ -163,7 +186,7 @@ class PieceCodec:
 
     def parity(self, batch: list[str], ids: list[bytes]) -> list[bool]:
         """Whether the sentencepiece library gives these ids for the whole texts."""
-        return [self.reference.encode(t) == np.frombuffer(i, "<u4").tolist() for t, i in zip(batch, ids)]
+        return [array("I", self.reference.encode(t)).tobytes() == i for t, i in zip(batch, ids)]
 
     def decode(self, batch: list[bytes]) -> list[str]:
         """Texts of ids."""

@@ -160,3 +160,26 @@ def test_parts_of_equal_hash_keep_their_own_ids():
     e = tokens.WordEncoder(tokens.default_vocabulary())
     texts = [f"{a} {b} {a}", b, a]
     assert [np.frombuffer(i, "<u4").tolist() for i in e.encode([t.encode() for t in texts])] == [whole(e, t) for t in texts]
+
+
+def test_chunks_are_learned_in_joined_texts():
+    c = pieces.PieceCodec(pieces.default_model(), 1)
+    words = [f" w{i}ord" if i % 9 == 0 else f"w{i}ord" for i in range(600)]
+    new = [w.encode() for w in words] + [b"\nline", b"\n", b"   ", "über".encode(), "漢字🙂".encode(), b"  two"]
+    calls = []
+
+    class Seen:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, batch, **k):
+            calls.append(len(batch))
+            return self.inner.encode_batch_fast(batch, **k)
+    real, c.chunks = c.chunks, Seen(c.chunks)
+    c.learn(new)
+    mark = pieces.MARK
+    for w in new:
+        s = w.decode()
+        alone = real.encode(s.replace(" ", mark) if s[0] in " \n" else mark + s, add_special_tokens=False).ids
+        assert c.cache[w] == b"".join(i.to_bytes(4, "little") for i in alone), w
+    assert sum(calls) < len(new) / 4
