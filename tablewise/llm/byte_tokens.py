@@ -10,6 +10,10 @@ letter (lead byte C3 or more, which leaves out the two-byte white space), and
 before punctuation after an ASCII letter.
 
 Texts that hold the vocabulary's special string are encoded as they stand.
+
+New parts that are a space and a word of Latin letters are encoded many at
+once, as one text that this rule cuts into them; a token's length in bytes is
+that of its name, so the ids are told apart by the parts' lengths.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 
@@ -25,6 +30,7 @@ from .hashing import CHUNK, SPACE
 
 SPECIAL = b"<|endoftext|>"
 BATCH = 20_000
+JOINED = 500
 # Punctuation that never shares a token with a letter before it.
 PUNCTUATION = tokens.PUNCTUATION
 LETTER = np.zeros(256, bool)
@@ -32,6 +38,7 @@ LETTER[[*range(65, 91), *range(97, 123)]] = True
 PRINTABLE = np.zeros(256, bool)
 PRINTABLE[0x21:0x7F] = True
 _break = re.compile(rb"[!-~][ \t-\r]")
+_word = re.compile(rb" (?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 def pieces(text: bytes) -> Iterator[bytes]:
@@ -51,14 +58,39 @@ class ByteEncoder(tokens.WordEncoder):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.token_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]  # a character stands for a byte
         self._forget()
 
     def _learn(self, parts: list[bytes]) -> None:
-        for at in range(0, len(parts), BATCH):
-            some = parts[at:at + BATCH]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(
-                [p.decode("utf-8", "replace") for p in some], add_special_tokens=False)]
-            self._keep(some, [np.concatenate([np.array(i, "<u4") for i in found])], [len(i) for i in found])
+        words, single = [], []
+        for p in parts:
+            (words if _word.fullmatch(p) else single).append(p)
+        for at in range(0, len(words), BATCH):
+            groups = [words[i:i + JOINED] for i in range(at, min(at + BATCH, len(words)), JOINED)]
+            done, arrays, lengths = [], [], []
+            for some, found in zip(groups, self._ids([b"".join(g) for g in groups])):
+                ids = np.array(found, "<u4")
+                reached = np.cumsum(self.token_bytes[ids])
+                ends = np.cumsum([len(p) for p in some])
+                last = np.searchsorted(reached, ends)
+                if reached[-1] == ends[-1] and (reached[last] == ends).all():
+                    done += some
+                    arrays.append(ids)
+                    lengths += np.diff(last, prepend=-1).tolist()
+                else:  # a token spans two parts
+                    single += some
+            if done:
+                self._keep(done, arrays, lengths)
+        for at in range(0, len(single), BATCH):
+            some = single[at:at + BATCH]
+            found = self._ids(some)
+            self._keep(some, [np.fromiter(chain.from_iterable(found), "<u4")], [len(i) for i in found])
+
+    def _ids(self, parts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in parts],
+                                                                add_special_tokens=False)]
 
     def _cut(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         buf = np.frombuffer(b"\n".join(texts), np.uint8)

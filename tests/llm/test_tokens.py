@@ -183,3 +183,22 @@ def test_chunks_are_learned_in_joined_texts():
         alone = real.encode(s.replace(" ", mark) if s[0] in " \n" else mark + s, add_special_tokens=False).ids
         assert c.cache[w] == b"".join(i.to_bytes(4, "little") for i in alone), w
     assert sum(calls) < len(new) / 4
+
+
+def test_byte_parts_are_learned_in_joined_texts():
+    from tablewise.llm import byte_tokens
+    e = byte_tokens.ByteEncoder(byte_tokens.default_vocabulary())
+    parts = [f" w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'éüñßa'[i // 100]}".encode() for i in range(500)]
+    parts += [b" 12", b"x", b"  two", " y".encode(), " 漢字".encode(), b"'s", b".", b" it's"]
+    sizes, real = [], e._ids
+
+    def seen(some):
+        sizes.append(len(some))
+        return real(some)
+    e._ids = seen
+    e._learn(parts)
+    for p in parts:
+        n = e.number[p]
+        alone = e.tokenizer.encode(p.decode(), add_special_tokens=False).ids
+        assert e.ids[e.first[n]:e.first[n + 1]].tolist() == alone, p
+    assert sum(sizes) < len(parts) / 4
