@@ -15,7 +15,7 @@ from ..plans.broadcast import bounded_broadcast, row_count_at_most
 from ..plans.keys import skew_join
 from ..plans.lineage import materialize
 from ..plans.ranking import global_row_index
-from ..plans.spread import spread_by
+from ..plans.spread import dealt_by, spread_by
 
 
 def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: str = "lang",
@@ -25,21 +25,18 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group
     ``group`` (language). Tokens: whole text, lower-cased, split on
     whitespace.
 
-    tf is an aggregate per (doc, token); df an aggregate of those per
-    (group, token), so a token found in every document is counted from one
-    row per document and partial sums. The df table is joined back on
-    (group, token) in a join that adaptive execution can split for very
-    common tokens (`skew_join`), and N (one row per group, size-checked) is
-    broadcast.
-    Texts are spread over the cores by document id when the scan has too
-    few tasks (`spread_by`); tf then groups on that partitioning.
+    Texts are dealt by document id before they are tokenised (`dealt_by`), so
+    tf, an aggregate per (doc, token), needs no shuffle of its own: texts
+    travel once, and token rows only to the join. df is an aggregate of tf
+    per (group, token), so a token found in every document is counted from
+    partial sums. The df table is joined back on (group, token) in a join
+    that adaptive execution can split for very common tokens (`skew_join`),
+    and N (one row per group, size-checked) is broadcast.
     """
-    toks = token_rows(spread_by(docs.select(id_col, group, text_col), id_col), [id_col, group], text_col)
+    toks = token_rows(dealt_by(docs.select(id_col, group, text_col), id_col), [id_col, group], text_col)
     tf = toks.groupBy(id_col, group, "token").agg(F.count(F.lit(1)).alias("tf"))
-    # df counts the documents whose tf is positive. Reading tf keeps tf's
-    # own aggregate in this branch, so both uses of tf share one exchange
-    # and the texts are tokenised once; a row count would let the optimizer
-    # prune it into a separate distinct over the tokens (a second pass).
+    # df counts the documents whose tf is positive. Both uses of tf share the
+    # exchange of the texts; token rows are three times their size.
     df_ = tf.groupBy(group, "token").agg(F.count_if(F.col("tf") > 0).alias("df"))
     n_docs = bounded_broadcast(docs.groupBy(group).agg(F.count(F.lit(1)).alias("_N")), 10_000)
     w = F.col("tf") * F.log((F.lit(1) + F.col("_N")) / (F.lit(1) + F.col("df")))

@@ -34,6 +34,9 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     as the join wants. A key derived from the others makes the join want a
     partitioning that the aggregate does not have, so its (few) rows are
     shuffled once more and both inputs qualify.
+
+    The derived key is one of 128 numbers: a whole hash, which does not
+    compress, would be most of a short row.
     """
-    tag = F.xxhash64(*keys).alias("_jk")
-    return left.select("*", tag).join(right.select("*", tag), ["_jk", *keys], how).drop("_jk")
+    tag = F.pmod(F.xxhash64(*keys), F.lit(128)).cast("byte").alias("_jk")
+    return left.select("*", tag).join(right.select("*", tag), [*keys, "_jk"], how).drop("_jk")
