@@ -32,11 +32,3 @@ def spread_by(df: DataFrame, key: str, min_partitions: int | None = None) -> Dat
     if partitions >= target:
         return df
     return df.repartition(target, key)
-
-
-def dealt_by(df: DataFrame, key: str) -> DataFrame:
-    """``df`` hash-partitioned on ``key``, whatever its partitions: what is
-    made of a row and grouped by the key then needs no shuffle. For rows that
-    are smaller than what is made of them."""
-    few = spread_by(df, key)
-    return df.repartition(key) if few is df else few

@@ -1,20 +1,13 @@
-"""What the text operators send through a shuffle."""
+"""What a join on hot keys sends through a shuffle."""
 
-import re
+from tablewise.plans.keys import skew_join
 
-from tablewise.operators import text_vectors
 
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_tfidf_sends_texts_and_not_token_rows_by_document(spark):
-    rows = [(i, "a b b c" if i % 2 else f"b w{i}", "x") for i in range(40)] + [(3, "c d", "x"), (None, "a", "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(16)
-    out = text_vectors.tfidf(docs)
-    assert not re.search(r"hashpartitioning\(doc_id#\d+L?, lang", plan(out))
-    got = {(r["doc_id"], r["token"]): (r["tf"], r["df"]) for r in out.collect()}
-    # Rows of one id are one document.
-    assert got[3, "c"] == (2, 20) and got[3, "b"] == (2, 40) and got[3, "d"] == (1, 1) and got[None, "a"] == (1, 21)
-    assert len(got) == 20 * 3 + 1 + 20 * 2 + 1
+def test_skew_join_sends_a_short_key(spark):
+    left = spark.createDataFrame([(i % 5, str(i)) for i in range(40)] + [(None, "x")], "k long, v string")
+    right = left.groupBy("k").count()
+    out = skew_join(left, right, ["k"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "tinyint" in plan
+    assert out.columns == ["k", "v", "count"]
+    assert sorted(map(tuple, out.collect())) == sorted((i % 5, str(i), 8) for i in range(40))
