@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import stable_round
@@ -135,6 +135,57 @@ def shingle_rows(docs: DataFrame, id_col: str, text_col: str, n: int = 3, distin
     return out.distinct() if distinct else out
 
 
+# Two fifths of the grams are enough to choose a fifth of rare ones from.
+_POOL = 2, 5
+
+
+def _short(h: Column) -> Column:
+    """40 bits of a 64-bit hash."""
+    return F.shiftrightunsigned(h, 24)
+
+
+def _in_pool(h: Column) -> Column:
+    return h % _POOL[1] < _POOL[0]
+
+
+def _by_id(df: DataFrame, key: str) -> DataFrame:
+    """``df`` hash-partitioned on ``key``, into no fewer partitions than it
+    has, the cluster has cores and shuffles have: rows travel as they are and
+    later joins on ``key`` find them in place."""
+    spark = df.sparkSession
+    parts = max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts, key)
+
+
+def _smallest_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """For every ``_b`` of the candidate ``pairs`` (_b, _a) the smallest _a
+    whose set has the similarity: columns _rep, dup_of, jaccard.
+
+    A set is compared with its candidates in ascending order, one at first and
+    eight times as many in each further round, until one is similar or none is
+    left: in a large group of near-copies few pairs meet whole. ``sets`` lie by
+    ``_rep``; those of a round's pairs are sent, no others."""
+    left = materialize(pairs.withColumn("_p", F.row_number().over(Window.partitionBy("_b").orderBy("_a"))))
+    found, upto = [], 1
+    while not found or not left.isEmpty():
+        now = left.where(F.col("_p") <= upto)
+        ids = now.select(F.explode(F.array("_a", "_b")).alias("_rep")).distinct()
+        whole = materialize(sets.join(ids, "_rep", "left_semi"))
+        x = whole.select(F.col("_rep").alias("_a"), F.col("_set").alias("_x"))
+        y = whole.select(F.col("_rep").alias("_b"), F.col("_set").alias("_y"))
+        both = F.size(F.array_intersect("_x", "_y")).cast("long")
+        links = (now.join(x, "_a").join(y, "_b")
+                 .select("_a", "_b", both.alias("_i"), (F.size("_x") + F.size("_y") - both).alias("_u"))
+                 .where(den * F.col("_i") >= num * F.col("_u")))
+        link = F.min(F.struct(F.col("_a").alias("dup_of"), (F.col("_i") / F.col("_u")).alias("jaccard")))
+        found.append(materialize(links.groupBy(F.col("_b").alias("_rep")).agg(link.alias("_m")).select("_rep", "_m.*")))
+        left = materialize(left.where(F.col("_p") > upto)
+                           .join(found[-1].select(F.col("_rep").alias("_b")), "_b", "left_anti"))
+        upto *= 8
+    return reduce(DataFrame.unionByName, found)
+
+
 def near_duplicates(docs: DataFrame, num: int = 8, den: int = 10, id_col: str = "doc_id",
                     text_col: str = "text", digits: int = 6) -> DataFrame:
     """Near-duplicate documents: Jaccard similarity of the word 3-gram sets
@@ -142,48 +193,57 @@ def near_duplicates(docs: DataFrame, num: int = 8, den: int = 10, id_col: str =
     jaccard, where dup_of is the smallest id doc_id is a near-duplicate of;
     documents without a smaller one do not appear.
 
-    Equal sets are one row named by their smallest document. A set of n
-    grams keeps the n - ceil(num / den * n) + 1 grams that are rarest over
-    all sets (ties by hash): two near-duplicates share one of these. Sets
+    Equal sets are one row named by their smallest document. Grams are ordered
+    by a rule that looks at the gram only, and a set of n grams keeps its first
+    n - ceil(num / den * n) + 1: two near-duplicates share one of these. Sets
     that share one and whose sizes allow the similarity are compared whole,
-    each pair once. Grams are compared as 64-bit hashes. Both inputs of the
-    pairing join come out of a shuffle, so that adaptive execution splits a
-    gram that very many sets keep.
+    each pair once.
+
+    The order puts grams of a fixed part of the hash space (`_POOL`) first and
+    there the rarest (ties by hash), so a set has only its grams of that part
+    counted, or all of them if the part holds too few to choose from. Such a
+    set's other grams come last, by their count among sets of its kind. A gram
+    counted once pairs nothing.
+
+    Sets are compared as 64-bit hashes; to count and pair grams, 40 bits do, as
+    a collision only makes one more pair to compare. Texts travel once, by id;
+    whole sets only if they are in a pair. Both inputs of the joins on grams
+    come out of a shuffle, so that adaptive execution splits a gram that very
+    many sets keep.
     """
-    docs = spread_by(docs.select(id_col, text_col), id_col)
+    docs = _by_id(docs.select(id_col, text_col), id_col)
     grams = shingle_rows(docs, id_col, text_col, distinct=False)
     sets = (grams.select(id_col, F.xxhash64("_g").alias("_h")).groupBy(id_col)
             .agg(F.sort_array(F.collect_set("_h")).alias("_set")))
-    sets = materialize(sets.withColumn("_key", F.md5(F.array_join("_set", ",").cast("binary"))))
-    reps = materialize(sets.groupBy("_key").agg(F.min(id_col).alias("_rep"), F.first("_set").alias("_set"))
-                       .withColumn("_n", F.size("_set")))
-    rows = reps.select("_rep", "_n", F.explode("_set").alias("_h"))
+    sets = materialize(sets.withColumn("_key", F.md5(F.array_join("_set", ",").cast("binary"))), in_place=True)
+    first = materialize(sets.groupBy("_key").agg(F.min(id_col).alias("_rep")))
+    # Sets lie by id already, so only the names of the first ones travel here.
+    reps = (sets.select(F.col(id_col).alias("_rep"), "_set").join(first.select("_rep"), "_rep", "left_semi")
+            .withColumn("_n", F.size("_set")).withColumn("_keep", F.col("_n") - F.ceil(num * F.col("_n") / den) + 1))
+    pool = F.filter("_set", lambda h: _in_pool(_short(h)))
+    reps = reps.withColumn("_in", F.size(pool))
+    enough = 2 * F.col("_in") >= 3 * F.col("_keep")
+    rows = reps.select("_rep", F.explode(F.when(enough, pool).otherwise(F.col("_set"))).alias("_h")).select(
+        "_rep", _short(F.col("_h")).alias("_h"))
     df_ = rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1")
-    # A gram of one set pairs nothing; it only takes a place among the rarest.
-    shared = skew_join(rows, df_, ["_h"])
-    ranked = shared.withColumn("_r", F.row_number().over(Window.partitionBy("_rep").orderBy("_df", "_h"))
-                               + F.col("_n") - F.count(F.lit(1)).over(Window.partitionBy("_rep")))
-    kept = materialize(ranked.where(F.col("_r") <= F.col("_n") - F.ceil(num * F.col("_n") / den) + 1)
-                       .select("_rep", "_n", "_h"))
+    # Count and gram as one number, which sorts by both.
+    shared = (skew_join(rows, df_, ["_h"])
+              .select("_rep", F.shiftleft(F.least("_df", F.lit((1 << 23) - 1)), 40).bitwiseOR(F.col("_h")).alias("_g"))
+              .join(reps.select("_rep", "_n", "_in", "_keep"), "_rep")
+              .withColumn("_h", F.col("_g").bitwiseAND((1 << 40) - 1)))
+    # Places of the grams of a part: those counted once, then the shared ones.
+    inside = _in_pool(F.col("_h"))
+    part = Window.partitionBy("_rep", inside)
+    place = (F.row_number().over(part.orderBy("_g")) - F.count(F.lit(1)).over(part)
+             + F.when(inside, F.col("_in")).otherwise(F.col("_n")))
+    kept = materialize(shared.withColumn("_r", place).where(F.col("_r") <= F.col("_keep")).select("_rep", "_n", "_h"))
     other = kept.select(F.col("_rep").alias("_a"), F.col("_n").alias("_m"), "_h")
     pairs = (kept.join(other, "_h")
              .where((F.col("_rep") > F.col("_a")) &
                     (den * F.least("_n", "_m") >= num * F.greatest("_n", "_m")))
              .select(F.col("_rep").alias("_b"), "_a").distinct())
-    left = reps.select(F.col("_rep").alias("_a"), F.col("_set").alias("_x"))
-    right = reps.select(F.col("_rep").alias("_b"), F.col("_set").alias("_y"))
-    both = F.size(F.array_intersect("_x", "_y")).cast("long")
-    links = (pairs.join(left, "_a").join(right, "_b")
-             .select("_a", "_b", both.alias("_i"), (F.size("_x") + F.size("_y") - both).alias("_u"))
-             .where(den * F.col("_i") >= num * F.col("_u"))
-             .select("_a", "_b", (F.col("_i") / F.col("_u")).alias("jaccard")))
-    # A set's smallest near-duplicates: its own first document, and the first
-    # documents of the linked sets, both ways.
-    links = materialize(links)
-    near = (links.select(F.col("_b").alias("_rep"), F.col("_a").alias("dup_of"), "jaccard")
-            .unionByName(links.select(F.col("_a").alias("_rep"), F.col("_b").alias("dup_of"), "jaccard"))
-            .unionByName(reps.select("_rep", F.col("_rep").alias("dup_of"), F.lit(1.0).alias("jaccard"))))
-    best = near.groupBy("_rep").agg(F.min(F.struct("dup_of", "jaccard")).alias("_m"))
-    named = materialize(reps.select("_key", "_rep").join(best, "_rep").select("_key", "_m.*"))
+    best = _smallest_links(pairs, reps.select("_rep", "_set"), num, den)
+    named = materialize(first.join(best, "_rep", "left").select(
+        "_key", F.coalesce("dup_of", "_rep").alias("dup_of"), F.coalesce("jaccard", F.lit(1.0)).alias("jaccard")))
     return (sets.select(id_col, "_key").join(named, "_key").where(F.col("dup_of") < F.col(id_col))
             .select(id_col, "dup_of", stable_round(F.col("jaccard"), digits).alias("jaccard")))
