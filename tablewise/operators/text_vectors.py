@@ -13,7 +13,7 @@ from ..functions.text import token_rows, tokens
 from ..functions.vectors import as_double, dot, norm
 from ..plans.broadcast import bounded_broadcast, row_count_at_most
 from ..plans.keys import skew_join
-from ..plans.lineage import materialize
+from ..plans.lineage import in_place, materialize
 from ..plans.ranking import global_row_index
 from ..plans.spread import spread_by
 
@@ -215,7 +215,8 @@ def near_duplicates(docs: DataFrame, num: int = 8, den: int = 10, id_col: str =
     grams = shingle_rows(docs, id_col, text_col, distinct=False)
     sets = (grams.select(id_col, F.xxhash64("_g").alias("_h")).groupBy(id_col)
             .agg(F.sort_array(F.collect_set("_h")).alias("_set")))
-    sets = materialize(sets.withColumn("_key", F.md5(F.array_join("_set", ",").cast("binary"))), in_place=True)
+    with in_place(docs.sparkSession):
+        sets = materialize(sets.withColumn("_key", F.md5(F.array_join("_set", ",").cast("binary"))))
     first = materialize(sets.groupBy("_key").agg(F.min(id_col).alias("_rep")))
     # Sets lie by id already, so only the names of the first ones travel here.
     reps = (sets.select(F.col(id_col).alias("_rep"), "_set").join(first.select("_rep"), "_rep", "left_semi")

@@ -56,7 +56,7 @@ def test_only_sets_of_compared_pairs_travel_and_few_grams_are_counted(spark, mon
     rows += [(100 + i, " ".join([*text[:75], f"n{i}", *text[76:]])) for i in range(30)]  # each like each
     frames, joined = [], []
     real, join = text_vectors.materialize, text_vectors.skew_join
-    monkeypatch.setattr(text_vectors, "materialize", lambda df, **k: frames.append(real(df, **k)) or frames[-1])
+    monkeypatch.setattr(text_vectors, "materialize", lambda df: frames.append(real(df)) or frames[-1])
     monkeypatch.setattr(text_vectors, "skew_join", lambda x, y, *a: joined.append(x.count()) or join(x, y, *a))
     assert found(spark, rows) == {100 + i: (100, 0.960265) for i in range(1, 30)}
     sent = [f.count() for f in frames if "_set" in f.columns]
@@ -71,6 +71,7 @@ def test_only_sets_of_compared_pairs_travel_and_few_grams_are_counted(spark, mon
 def test_rows_written_in_place_are_not_shuffled_again(spark):
     df = spark.range(100).repartition(8, "id").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     before = spark.conf.get("spark.sql.adaptive.enabled")
-    kept = text_vectors.materialize(df, in_place=True)
+    with text_vectors.in_place(spark):
+        kept = text_vectors.materialize(df)
     assert spark.conf.get("spark.sql.adaptive.enabled") == before
     assert "Exchange" not in kept.groupBy("id").agg(F.sum("n"))._jdf.queryExecution().executedPlan().toString()
