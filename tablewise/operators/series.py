@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import stable_round
+from ..plans.lineage import materialize
 
 
 def best_segments(x: np.ndarray, penalty: float) -> list[int]:
@@ -37,6 +35,37 @@ def best_segments(x: np.ndarray, penalty: float) -> list[int]:
     return cuts[::-1]
 
 
+def _with(value: Column, f) -> Column:
+    """``f`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _starts(x: Column, penalty: Column) -> Column:
+    """`best_segments` of an array of doubles, as an expression."""
+    start = lambda j, best, s, q: F.struct(j.alias("j"), best.alias("best"), s.alias("s"), q.alias("q"))
+    zero = F.lit(0.0)
+    first = F.struct(zero.alias("s"), zero.alias("q"), F.lit(0).alias("t"), penalty.alias("p"),
+                     F.array(start(F.lit(0), -penalty, zero, zero)).alias("open"),
+                     F.array().cast("array<int>").alias("start"))
+
+    def step(acc: Column, v: Column) -> Column:
+        s, q, t = acc["s"] + v, acc["q"] + v * v, acc["t"] + 1
+        costs = F.transform(acc["open"], lambda o: o["best"] + ((q - o["q"]) - (s - o["s"]) * (s - o["s"]) / (t - o["j"])))
+        return _with(costs, lambda c: _with(F.array_min(c), lambda least: F.struct(
+            s.alias("s"), q.alias("q"), t.alias("t"), acc["p"].alias("p"),
+            F.concat(F.filter(acc["open"], lambda o, i: F.get(c, i) <= least + acc["p"]),
+                     F.array(start(t, least + acc["p"], s, q))).alias("open"),
+            F.concat(acc["start"], F.array(F.get(acc["open"], (F.array_position(c, least) - 1).cast("int"))["j"])).alias("start"))))
+
+    def back(acc: Column, _: Column) -> Column:
+        at = F.get(acc["start"], acc["at"] - 1)
+        return F.when(acc["at"] == 0, acc).otherwise(F.struct(
+            at.alias("at"), F.concat(F.array(at), acc["cuts"]).alias("cuts"), acc["start"].alias("start")))
+    starts = F.aggregate(x, first, step, lambda acc: acc["start"])
+    return _with(starts, lambda all_: F.aggregate(all_, F.struct(
+        F.size(all_).alias("at"), F.array().cast("array<int>").alias("cuts"), all_.alias("start")), back, lambda acc: acc["cuts"]))
+
+
 def count_change_points(rows: DataFrame, group: str, time: str, unit: str = "day", factor: float = 1.0,
                         digits: int = 6) -> DataFrame:
     """Segments of steady counts per group: group, ``segment`` (from 1),
@@ -46,7 +75,7 @@ def count_change_points(rows: DataFrame, group: str, time: str, unit: str = "day
     shuffle, and units without rows between a group's first and last count 0.
     So a series is as long as the calendar, however many rows a group holds;
     one task segments it. The segmentation is the optimal one of
-    `best_segments`, with a penalty of ``factor`` x variance x log(units).
+    `best_segments`, by expressions in the JVM, with a penalty of ``factor`` x variance x log(units).
 
     Defined cases: rows without a time are left out; a null group is a group
     like any other; a group of one unit, or of equal counts, is one segment;
@@ -59,19 +88,23 @@ def count_change_points(rows: DataFrame, group: str, time: str, unit: str = "day
     counts = (rows.where(F.col(time).isNotNull()).select(F.col(group).alias("g"), number.cast("long").alias("u"))
               .groupBy("g", "u").agg(F.count(F.lit(1)).alias("n")))
 
-    def cut(series: pd.DataFrame) -> pd.DataFrame:
-        low = int(series["u"].min())
-        x = np.zeros(int(series["u"].max()) - low + 1)
-        x[series["u"].to_numpy() - low] = series["n"].to_numpy()
-        n, total = len(x), x.sum()
-        variance = ((x * x).sum() - total * total / n) / n
-        at = [*best_segments(x, factor * variance * math.log(n)), n] if variance > 0 else [0, n]
-        return pd.DataFrame({"g": [series["g"].iloc[0]] * (len(at) - 1), "segment": range(1, len(at)),
-                             "first": [low + a for a in at[:-1]], "last": [low + b - 1 for b in at[1:]],
-                             "units": np.diff(at), "total": [x[a:b].sum() for a, b in zip(at, at[1:])]})
-    kind = counts.schema["g"].dataType.simpleString()
-    found = counts.groupBy("g").applyInPandas(
-        cut, f"g {kind}, segment int, first long, last long, units long, total double")
+    by_unit = materialize(counts.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("u", "n"))).alias("c")))
+    # Units without rows follow the unit before them, as zeros.
+    gap = lambda e, i: F.coalesce(F.get("c", i + 1)["u"] - e["u"] - 1, F.lit(0)).cast("int")
+    x = F.flatten(F.transform("c", lambda e, i: F.concat(F.array(e["n"].cast("double")),
+                                                        F.array_repeat(F.lit(0.0), gap(e, i)))))
+    series = materialize(by_unit.select("g", F.get("c", F.lit(0))["u"].alias("low"), x.alias("x")))
+    n = F.size("x")
+    total, squares = (F.aggregate("x", F.lit(0.0), f) for f in (lambda s, v: s + v, lambda s, v: s + v * v))
+    variance = (squares - total * total / n) / n
+    cuts = materialize(series.withColumn("_v", variance).select(
+        "g", "low", "x", F.when(F.col("_v") > 0, _starts(F.col("x"), F.lit(factor) * F.col("_v") * F.log(n)))
+        .otherwise(F.array(F.lit(0))).alias("at")))
+    pieces = cuts.select("g", "low", "x", F.concat("at", F.array(n)).alias("ends"), F.posexplode("at").alias("i", "a"))
+    b = F.get("ends", F.col("i") + 1)
+    found = pieces.select("g", (F.col("i") + 1).alias("segment"), (F.col("low") + F.col("a")).alias("first"),
+                          (F.col("low") + b - 1).alias("last"), (b - F.col("a")).cast("long").alias("units"),
+                          F.aggregate(F.slice("x", F.col("a") + 1, b - F.col("a")), F.lit(0.0), lambda s, v: s + v).alias("total"))
 
     def when(c: str) -> Column:
         u = F.col(c)
