@@ -50,7 +50,7 @@ def triangles(edges: DataFrame, a: str, b: str, digits: int = 6, kind: Callable[
     at is a hot key of the first join; adaptive execution splits it. Of a
     triangle one row per node is added up in the task before the shuffle.
 
-    ``edges`` is read twice. Defined cases: repeated and reversed edges are one
+    ``edges`` is read three times (twice for the counts). Defined cases: repeated and reversed edges are one
     edge; loops and edges with a null end are left out, and so are nodes that
     have no others; an empty table gives no rows.
     """
