@@ -10,6 +10,7 @@ import numpy as np
 
 BASE = 0x9E3779B97F4A7C15
 CHUNK = 1 << 18
+SLICED = 512  # longer spans are compared whole
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _space = re.compile(rb"[ \t-\r]")
@@ -47,23 +48,44 @@ def span_hash(p: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mixed((p[end] - p[start]) * powers(True, len(p))[start])
 
 
-def distinct_spans(text: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first, which): ``first`` are the numbers of the spans [start, stop)
-    that differ from all earlier ones, ``which`` gives every span its place
-    in ``first``. Hashes only propose equal spans; their bytes are compared,
-    eight at a time."""
-    _, first, which = np.unique(span_hash(prefix_hashes(text), start, stop), return_index=True, return_inverse=True)
-    size, same = stop - start, first[which]
-    differs = size != size[same]
+def _words(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of the text on, as one number."""
     padded = np.concatenate((text, np.zeros(8, np.uint8)))
-    words = np.lib.stride_tricks.as_strided(padded.view(np.uint8)[:8].view("<u8"), (len(text) + 1,), (1,))
-    rows, done = np.flatnonzero(~differs), 0
+    return np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(text) + 1,), (1,))
+
+
+def equal_spans(a: np.ndarray, a_start: np.ndarray, b: np.ndarray, b_start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes of text ``a`` from ``a_start`` on are those
+    of ``b`` from ``b_start`` on, eight at a time; long spans by their slices."""
+    a_words = _words(a)
+    b_words = a_words if b is a else _words(b)
+    equal = np.ones(len(size), bool)
+    for i in np.flatnonzero(size > SLICED).tolist():
+        n = size[i]
+        equal[i] = np.array_equal(a[a_start[i]:a_start[i] + n], b[b_start[i]:b_start[i] + n])
+    rows, done = np.flatnonzero(size <= SLICED), 0
     while len(rows):
         left = size[rows] - done
         mask = np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.minimum(left, 8).astype(np.uint64) * np.uint64(8))
-        unlike = ((words[start[rows] + done] ^ words[start[same[rows]] + done]) & mask) != 0
-        differs[rows[unlike]] = True
+        unlike = ((a_words[a_start[rows] + done] ^ b_words[b_start[rows] + done]) & mask) != 0
+        equal[rows[unlike]] = False
         rows, done = rows[~unlike & (left > 8)], done + 8
+    return equal
+
+
+def distinct_spans(text: np.ndarray, start: np.ndarray, stop: np.ndarray,
+                   hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(first, which): ``first`` are the numbers of the spans [start, stop)
+    that differ from all earlier ones, ``which`` gives every span its place
+    in ``first``. Hashes (the spans' ``span_hash``) only propose equal spans;
+    their bytes are compared."""
+    if hashes is None:
+        hashes = span_hash(prefix_hashes(text), start, stop)
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    size, same = stop - start, first[which]
+    differs = size != size[same]
+    rows = np.flatnonzero(~differs & (same != np.arange(len(same))))
+    differs[rows] = ~equal_spans(text, start[rows], text, start[same[rows]], size[rows])
     if differs.any():  # one hash, several strings
         others: dict[bytes, int] = {}
         more = []

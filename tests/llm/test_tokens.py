@@ -162,6 +162,38 @@ def test_parts_of_equal_hash_keep_their_own_ids():
     assert [np.frombuffer(i, "<u4").tolist() for i in e.encode([t.encode() for t in texts])] == [whole(e, t) for t in texts]
 
 
+def test_stored_parts_of_equal_hash_keep_their_own_ids(monkeypatch):
+    real = tokens.span_hash
+    monkeypatch.setattr(tokens, "span_hash", lambda *a: real(*a) % np.uint64(3))
+    e = tokens.WordEncoder(tokens.default_vocabulary())
+    texts = [" ".join(f"w{'abcdefghij'[i % 10]}{i}" for i in range(n)) for n in (1, 7, 30)] + [t + " x" for t in EDGES]
+    for _ in range(2):  # learnt, then found in the store
+        for t in texts:
+            assert [np.frombuffer(b, "<u4").tolist() for b in e.encode([t.encode()])] == [whole(e, t)]
+    assert len(e.keys) == 3 and len(e.clashing) == len(e.first) - 4
+
+
+def test_parts_are_learned_many_at_once_and_found_again_without_the_library():
+    e = tokens.WordEncoder(tokens.default_vocabulary())
+    text = " ".join(f"w{i} {i}. größe{'abcdefghij'[i % 10]}{'klm'[i % 3]}. 漢{i}" for i in range(300))
+    calls = []
+
+    class Seen:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            def call(*a, **k):
+                calls.append(name)
+                return getattr(self.inner, name)(*a, **k)
+            return call
+    real = whole(e, text)
+    e.tokenizer = Seen(e.tokenizer)
+    for _ in range(3):
+        assert [np.frombuffer(b, "<u4").tolist() for b in e.encode([text.encode()])] == [real]
+    assert 0 < len(calls) < 5
+
+
 def test_chunks_are_learned_in_joined_texts():
     c = pieces.PieceCodec(pieces.default_model(), 1)
     words = [f" w{i}ord" if i % 9 == 0 else f"w{i}ord" for i in range(600)]
